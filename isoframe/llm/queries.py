@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isoframe.llm import packing, token_counts, token_output
+from isoframe.llm import neardup, packing, quality, token_counts, token_output
 from isoframe.llm.scratch import new_path
 from isoframe.llm.tokens import vocabulary
 
@@ -18,6 +18,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals and the trained classifier's verdict on every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose two-word shingle sets are 80 % alike."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), 2)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every text before and after edits to it."""
     return token_counts.edited_counts(_table(spark, sf_dir, "documents"), vocabulary())
@@ -36,5 +47,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_token_counts, op8_packing, op10_token_output)
+    f.__name__: f for f in (op3_quality_rules, op6_near_duplicates, op7_token_counts, op8_packing, op10_token_output)
 }

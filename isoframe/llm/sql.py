@@ -2,4 +2,29 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+OP6 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+         ELSE list_distinct(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) END AS s
+  FROM words
+), classes AS (SELECT min(doc_id) AS doc, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)
+), shingles AS (SELECT doc, len(s) AS n, unnest(s) AS x FROM classes
+), pairs AS (
+  SELECT a.doc AS a, b.doc AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc < b.doc
+   AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc, b.doc, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+  UNION SELECT t.doc_id, c.doc FROM sets t JOIN classes c ON list_sort(t.s) = c.s
+  UNION SELECT c.doc, t.doc_id FROM sets t JOIN classes c ON list_sort(t.s) = c.s
+), reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r
+), least_of AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.s) AS BIGINT) AS n_shingles, l.component_id, t.doc_id = l.component_id AS kept
+FROM sets t JOIN least_of l ON l.doc_id = t.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op6_near_duplicates": OP6}

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
 #: Pieces remembered by each Python worker.
-REMEMBER = 250_000
+REMEMBER = 600_000
 #: Longest piece remembered, in characters.
 LONGEST = 64
 
@@ -23,16 +25,19 @@ def vocabulary() -> str:
 
 #: A space between two white space characters, or between one and the end.
 _INSIDE = re.compile(r"(?<=\s) (?:\s|\Z)")
+#: A line end between two characters that aren't white space.
+_LINE = re.compile(r"(?<=\S)\n(?=\S)")
 
 
 class Encoder:
     """Encodes texts piece by piece, remembering pieces that recur.
 
     This byte-level vocabulary splits a text before each space, but for one
-    inside white space, and merges nothing across such a place; so the ids of
-    a text are those of its space-led pieces, one after another.  Texts with a
-    space inside white space or with a special token's string go to the
-    library whole.  All ids come from the ``tokenizers`` library.
+    inside white space, and before and after a single line end, and merges
+    nothing across such a place; so the ids of a text are those of its pieces,
+    one after another.  Texts with a space inside white space or before a line
+    end, or with a special token's string, go to the library whole.  All ids come from the
+    ``tokenizers`` library.
     """
 
     def __init__(self, path: str):
@@ -42,24 +47,44 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._known: dict[str, bytes] = {}
+        self._newline = self.whole("\n")
+
+    def _all(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._all([text])[0]
+
+    def _pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of each piece, which follows a space unless it begins a line.
+
+        A call to the library costs more than a piece, so those without other
+        white space are encoded as the lines of one text, and the ids cut where
+        a line ends.
+        """
+        plain = [p for p in pieces if p.split() == [p if p[:1] != "\n" else p[1:]]]
+        if len(self._newline) == 4 and plain:
+            lines = self.whole("\n".join([" " + p if p[0] != "\n" else p[1:] for p in plain]))
+            ends = np.flatnonzero(np.frombuffer(lines, "<u4") == np.frombuffer(self._newline, "<u4")) * 4
+            for p, a, b in zip(plain, [0, *(ends + 4).tolist()], [*ends.tolist(), len(lines)], strict=True):
+                yield p, lines[a:b] if p[0] != "\n" else self._newline + lines[a:b]
+            pieces = list(set(pieces).difference(plain))
+        yield from zip(pieces, self._all([" " + p if p[:1] != "\n" else p for p in pieces]), strict=True)
 
     def ids(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if _INSIDE.search(text) or any(s in text for s in self.special):
+        if " \n" in text or _INSIDE.search(text) or any(s in text for s in self.special):
             return self.whole(text)
-        head, *rest = text.split(" ")
+        head, *rest = _LINE.sub(" \n", text).split(" ")
         known = self._known
         if len(known) > REMEMBER:
             known.clear()
-        missing = list({p for p in rest if p not in known})
+        missing = list(set(rest).difference(known))
         if missing:
-            found = self.tokenizer.encode_batch_fast([" " + p for p in missing], add_special_tokens=False)
-            known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(missing, found, strict=True))
+            known.update(self._pieces(missing))
         out = self.whole(head) + b"".join(map(known.__getitem__, rest))
         for p in missing:
             if len(p) > LONGEST:

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isoframe.llm import neardup, packing, quality, token_counts, token_output
+from isoframe.llm import decontaminate, neardup, packing, quality, token_counts, token_output
 from isoframe.llm.scratch import new_path
 from isoframe.llm.tokens import vocabulary
 
@@ -39,6 +39,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, but for a few edits."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text, written as compressed blocks and read back."""
     path = new_path(spark, "token-ids")
@@ -47,5 +52,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op6_near_duplicates, op7_token_counts, op8_packing, op10_token_output)
+    f.__name__: f for f in (op3_quality_rules, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output)
 }

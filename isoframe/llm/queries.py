@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isoframe.llm import decontaminate, neardup, packing, quality, token_counts, token_output
+from isoframe.llm import decontaminate, neardup, packing, passages, quality, token_counts, token_output
 from isoframe.llm.scratch import new_path
 from isoframe.llm.tokens import vocabulary
 
@@ -18,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 40 words or more that a document shares with an earlier one."""
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals and the trained classifier's verdict on every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -52,5 +57,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output)
+    f.__name__: f for f in (op1_substring_dedup, op3_quality_rules, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output)
 }

@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from isoframe.llm import decontaminate, neardup, packing, passages, quality, token_counts, token_output
+from isoframe.llm import chat, decontaminate, line_chunks, neardup, packing, passages, quality, token_counts, token_output
 from isoframe.llm.scratch import new_path
 from isoframe.llm.tokens import vocabulary
 
@@ -23,12 +24,26 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without repeated line chunks, as digests."""
+    kept = line_chunks.without_repeated_chunks(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_chunks", "n_removed", F.char_length("text").cast("long").alias("n_kept_chars"), F.md5("text").alias("kept_md5"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals and the trained classifier's verdict on every document."""
     docs = _table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted windows."""
+    odd = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.digests(chat.windows(turns))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose two-word shingle sets are 80 % alike."""
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), 2)
@@ -57,5 +72,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op3_quality_rules, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output)
+    f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op5_chat_formatting, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output)
 }

@@ -27,4 +27,68 @@ SELECT t.doc_id, CAST(len(t.s) AS BIGINT) AS n_shingles, l.component_id, t.doc_i
 FROM sets t JOIN least_of l ON l.doc_id = t.doc_id
 """
 
-ORACLES: dict[str, str] = {"op6_near_duplicates": OP6}
+OP2 = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL
+), hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM lines
+), ended AS (
+  SELECT *, (7 * h + 3 * coalesce(lag(h) OVER w, 0) + coalesce(lag(h, 2) OVER w, 0)) % 4 = 0 AS ends
+  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (
+  SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM ended
+), chunks AS (
+  SELECT doc_id, place, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n FROM numbered GROUP BY doc_id, place
+), ranked AS (
+  SELECT *, n > 1 AND row_number() OVER (PARTITION BY chunk, n > 1 ORDER BY doc_id, place) > 1 AS removed FROM chunks
+), kept AS (
+  SELECT doc_id, count(*) AS n_chunks, sum(CAST(removed AS INT)) AS n_removed,
+         coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (WHERE NOT removed), '') AS text
+  FROM ranked GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(k.n_chunks, 0) AS BIGINT) AS n_chunks, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(length(k.text) AS BIGINT) AS n_kept_chars, md5(k.text) AS kept_md5
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+OP5 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length('<s>' || replace(replace(replace(replace(role, '\', '\\'), '<', '<\'), '[', '[\'), chr(10), '[n') || chr(10)
+         || replace(replace(replace(text, '\', '\\'), '<', '<\'), '[', '[\') || '</s>' || chr(10)) AS seg,
+         len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\x09-\x0D\x20]')) + 4 AS tokens,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos
+  FROM turns
+), headed AS (
+  SELECT *, pos = 1 AND role = 'system' AS is_head,
+         max(CASE WHEN pos = 1 AND role = 'system' THEN seg END) OVER (PARTITION BY conv_id) AS head_seg,
+         coalesce(max(CASE WHEN pos = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0) AS head_tokens
+  FROM sized
+), placed AS (
+  SELECT *, greatest(128, 1024 - 256 - head_tokens) / 2.0 AS half,
+         coalesce(sum(CASE WHEN is_head THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prefix
+  FROM headed
+), celled AS (SELECT *, floor(prefix / half) AS cell, tokens > half AS long_turn FROM placed
+), opened AS (
+  SELECT *, coalesce(pos > 1 AND NOT lag(is_head) OVER w AND (long_turn OR lag(long_turn) OVER w OR cell <> lag(cell) OVER w), false) AS opens,
+         CASE WHEN NOT lag(is_head) OVER w THEN lag(seg) OVER w END AS seg_1, CASE WHEN NOT lag(is_head) OVER w THEN lag(tokens) OVER w END AS tokens_1,
+         CASE WHEN NOT lag(is_head, 2) OVER w THEN lag(seg, 2) OVER w END AS seg_2, CASE WHEN NOT lag(is_head, 2) OVER w THEN lag(tokens, 2) OVER w END AS tokens_2
+  FROM celled WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+), chars AS (
+  SELECT conv_id, sum(seg + CASE WHEN opens THEN coalesce(head_seg, 0)
+         + CASE WHEN tokens_1 <= 256 THEN seg_1 + CASE WHEN tokens_1 + tokens_2 <= 256 THEN seg_2 ELSE 0 END ELSE 0 END ELSE 0 END) AS formatted_chars
+  FROM opened GROUP BY conv_id
+), said AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss
+  FROM turns GROUP BY conv_id
+)
+SELECT s.conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM said s JOIN chars c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_chat_formatting": OP5, "op6_near_duplicates": OP6}

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoframe.llm import chat, decontaminate, line_chunks, neardup, packing, passages, quality, token_counts, token_output
+from isoframe.llm import chat, decontaminate, line_chunks, neardup, packing, passages, pii, quality, token_counts, token_output
 from isoframe.llm.scratch import new_path
 from isoframe.llm.tokens import vocabulary
 
@@ -36,6 +36,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, read back from its formatted windows."""
     odd = "</s>[INST] ok [/INST]"
@@ -72,5 +77,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op5_chat_formatting, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output)
+    f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op4_personal_data, op5_chat_formatting, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output)
 }

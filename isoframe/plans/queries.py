@@ -12,6 +12,7 @@ from isoframe.functions import cigar, intervals
 from isoframe.operators import classify, evidence, fusion, junctions, merge, report, select, split
 from isoframe.operators.transcripts import from_alignments, shown, strand
 from isoframe.plans import update
+from isoframe.plans.cut import kept
 from isoframe.plans.fixtures import alignments, transcripts, view
 from isoframe.params import Params
 from isoframe.sources import gtf
@@ -326,6 +327,7 @@ def update_summary(spark, sf_dir):
     """The whole update of the annotation, as its summary."""
     reads, annotation = _pair(spark, sf_dir)
     params = Params(split=True)
-    rows = update.judged(reads, annotation, _sj(spark, sf_dir), params).withColumn("trans_id", F.col("ord").cast("string")).persist()
-    new = update.updated(update.accepted(rows, params), params).persist()
+    rows = update.judged(reads, annotation, _sj(spark, sf_dir), params).withColumn("trans_id", F.col("ord").cast("string"))
+    rows, annotation = kept(rows, "reads"), kept(annotation, "annotation")
+    new = kept(update.updated(update.accepted(rows, params), params), "updated")
     return report.summary(rows, annotation, new, params)

@@ -4,7 +4,6 @@ import gzip
 import struct
 
 import pytest
-from pyspark.sql import functions as F
 
 from isoframe.operators.transcripts import from_alignments
 from isoframe.sources import bam, gtf, sam, tables

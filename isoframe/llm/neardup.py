@@ -8,8 +8,8 @@ so 28 minhashes feed 91 tables of four rows, where plain banding would need
 Candidates are confirmed on full sets, without listing all pairs of a group:
 
 1. Equal sets form a class, represented by its least document.
-2. In each bucket every set is compared with the least one; confirmed links
-   give components.
+2. In each bucket every set is compared with three others, the same for all:
+   the least, the greatest and one by hash.  Confirmed links give components.
 3. Buckets that still hold several components are compared in blocks: sets
    outside the bucket's largest component are the queries, all its sets are
    compared with them, and pairs within a component are passed over.  So each
@@ -33,7 +33,7 @@ COLLECTIONS, ROWS = 14, 2
 #: Linked if 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Queries and compared sets of a block, on average.
-QUERIES, COMPARED = 64, 256
+QUERIES, COMPARED = 512, 512
 
 _RNG = np.random.Generator(np.random.PCG64(77))
 _MULTIPLY = _RNG.integers(1, 1 << 63, COLLECTIONS * ROWS, dtype=np.uint64) * U64(2) + U64(1)
@@ -91,12 +91,18 @@ def _linked(strings: list[str], others: list[str], k: int) -> Iterator[tuple[int
     """Pairs of a query and another text whose sets are similar enough."""
     queries = list(_sets(strings, k))
     sizes = np.array([len(q) for q in queries], np.int64)
-    vocabulary, where = np.unique(np.concatenate(queries), return_inverse=True)
-    has = np.zeros((len(vocabulary), len(queries)), bool)
-    has[where, np.repeat(np.arange(len(queries)), sizes)] = True
+    owner = np.repeat(np.arange(len(queries)), sizes)
+    values = np.concatenate(queries)
+    order = np.argsort(values, kind="stable")
+    owner = owner[order]
+    vocabulary, first = np.unique(values[order], return_index=True)
+    first = np.append(first, len(values))
     for j, s in enumerate(_sets(others, k)):
         at = np.minimum(np.searchsorted(vocabulary, s), len(vocabulary) - 1)
-        both = has[at[vocabulary[at] == s]].sum(0)
+        at = at[vocabulary[at] == s]
+        length = first[at + 1] - first[at]
+        inside = np.arange(length.sum()) + np.repeat(first[at] - np.cumsum(length) + length, length)
+        both = np.bincount(owner[inside], minlength=len(queries))
         for i in np.flatnonzero(100 * both >= PERCENT * (sizes + len(s) - both)):
             yield int(i), j
 
@@ -166,15 +172,19 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     """
     signed = written(signatures(docs, k), "signatures")
     full = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("n_shingles", "sum_1", "sum_2").agg(F.min("doc_id").alias("doc"))
+    classes = written(full.groupBy("n_shingles", "sum_1", "sum_2").agg(F.min("doc_id").alias("doc")), "classes")
     members = written(full.select("doc_id", "n_shingles", "sum_1", "sum_2").join(classes, ["n_shingles", "sum_1", "sum_2"]).select(F.col("doc_id").alias("a"), F.col("doc").alias("b")), "members")
     leaders = full.join(members.where("a = b").select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
     keys = _keys(leaders)
-    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("pivot")).where("n > 1")
-    keys = written(keys.join(buckets, "key").select("key", "doc", "pivot"), "keys")
+    pivots = F.array(F.min("doc"), F.max("doc"), F.min_by("doc", F.xxhash64("doc"))).alias("pivots")
+    buckets = written(keys.groupBy("key").agg(F.count("*").alias("n"), pivots).where("n > 1").drop("n"), "buckets")
+    keys = written(keys.join(buckets, "key"), "keys")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string"))
     texts = written(plain.join(keys.select("doc").distinct(), "doc"), "texts")
-    stars = written(_star_links(keys.where("doc <> pivot").select("doc", "pivot").distinct(), texts, k), "star-links")
+    pairs = keys.select("doc", F.explode(F.array_distinct("pivots")).alias("pivot")).where("doc <> pivot")
+    # Either way round it is the same pair.
+    pairs = pairs.select(F.least("doc", "pivot").alias("doc"), F.greatest("doc", "pivot").alias("pivot")).distinct()
+    stars = written(_star_links(pairs, texts, k), "star-links")
     more = _block_links(keys.select("key", "doc"), components(stars), texts, k)
     links = stars.union(more).union(members)
     found = components(links).select(F.col("node").alias("doc_id"), "component")

@@ -10,7 +10,8 @@ that share a key are compared exactly.
 
 Windows are thinned before: an edit spoils at most two word pairs, so a window
 that holds an item keeps (length - 1) - 2 * edits of the pairs that items of
-this length have.  Of windows that begin within NEAR words, those with the most
+this length have.  A pair that only repeats the one before counts where some
+item has such a thing, too.  Of windows that begin within NEAR words, those with the most
 such pairs are taken, ties all.
 """
 
@@ -112,8 +113,16 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return plain.mapInPandas(key, "item_id long, n_words int, keys array<long>, item string")
 
 
-def _pair_table(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The items' lengths, and for each bucket of pairs which lengths have it.
+def _repeated(pairs: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Pairs that are the same as the one that begins a word before."""
+    out = np.zeros(len(pairs), bool)
+    out[1:] = (pairs[1:] == pairs[:-1]) & (np.diff(at) == 1)
+    return out
+
+
+def _pair_table(items: DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
+    """The items' lengths, for each bucket of pairs which lengths have it, and
+    whether some item has one word three times in a row.
 
     Bit i of a bucket stands for lengths i, i + 64 and so on.  The sizes don't
     grow with the benchmark: there are no more rows than buckets and bits.
@@ -123,25 +132,29 @@ def _pair_table(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             t = Texts(encoded(batch["item"]), lower=True)
             pairs, at = runs(t.words(), t.doc, 2)
-            yield pd.DataFrame({"bucket": (pairs >> U64(64 - PAIR_BITS)).astype(np.int64), "n_words": batch.n_words.to_numpy()[t.doc[at]]})
+            yield pd.DataFrame({"bucket": (pairs >> U64(64 - PAIR_BITS)).astype(np.int64), "n_words": batch.n_words.to_numpy()[t.doc[at]], "again": _repeated(pairs, at)})
 
     table = np.zeros(1 << PAIR_BITS, U64)
-    rows = items.select("item", "n_words").mapInPandas(buckets, "bucket long, n_words int")
-    for r in rows.groupBy("bucket").agg(F.collect_set(F.pmod("n_words", F.lit(64))).alias("bits")).collect():
+    rows = items.select("item", "n_words").mapInPandas(buckets, "bucket long, n_words int, again boolean")
+    again = False
+    for r in rows.groupBy("bucket").agg(F.collect_set(F.pmod("n_words", F.lit(64))).alias("bits"), F.bool_or("again").alias("again")).collect():
         table[r["bucket"]] = U64(sum(1 << b for b in r["bits"]))
+        again |= r["again"]
     lengths = sorted(r["n_words"] for r in items.select("n_words").distinct().collect())
-    return np.array(lengths, np.int64), table
+    return np.array(lengths, np.int64), table, again
 
 
 def edits_allowed(length):
     return np.floor(MAX_EDITS * length).astype(np.int64) if isinstance(length, np.ndarray) else int(MAX_EDITS * length)
 
 
-def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray, again: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """length, edits, starts and ends of windows that may hold an item."""
     pairs, at = runs(words, t.doc, 2)
     have = np.zeros(len(words), U64)
     have[at] = table[pairs >> U64(64 - PAIR_BITS)]
+    if not again:
+        have[at[_repeated(pairs, at)]] = 0
     allowed = edits_allowed(lengths)
     # Texts without as many pairs of any items as the least that suffice are out.
     total = np.concatenate([[0], np.cumsum(have != 0)])[t.first]
@@ -164,10 +177,10 @@ def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray)
             yield length, edits, place[best], end[best]
 
 
-def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray) -> DataFrame:
+def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: bool) -> DataFrame:
     """Windows that may hold an item: their keys, and their text with margins."""
     # Both are bounded; see _pair_table.
-    shared = docs.sparkSession.sparkContext.broadcast((lengths, table))
+    shared = docs.sparkSession.sparkContext.broadcast((lengths, table, again))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

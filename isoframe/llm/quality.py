@@ -21,8 +21,10 @@ from isoframe.llm.textkit import U64, Texts, encoded, mix, runs, slices
 
 #: Labelled rows used at most: to fit the weights, and to calibrate them.
 FIT_ROWS, CALIBRATION_ROWS = 3000, 1500
+#: Partitions of the labelled rows used.
+PARTITIONS = 6
 #: Hash buckets of word n-grams, and as many of character n-grams.
-BITS = 16
+BITS = 15
 #: A document is kept if the calibrated probability of quality 1 is this or more.
 KEEP_AT = 0.5
 #: Base limits.
@@ -181,7 +183,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             yield pd.DataFrame({"label": batch.label, "fit": batch.fit, "places": [r[0] for r in rows], "shares": [r[1] for r in rows]})
 
     vector = F.udf(lambda i, v: Vectors.sparse(2 << BITS, i, v), VectorUDT())
-    rows = texts.mapInPandas(sparse, "label double, fit boolean, places array<int>, shares array<double>").select("label", "fit", vector("places", "shares").alias("features")).persist()
+    rows = texts.mapInPandas(sparse, "label double, fit boolean, places array<int>, shares array<double>").select("label", "fit", vector("places", "shares").alias("features"))
+    # A bounded sample: few partitions, whatever the table has, keep each
+    # iteration's sums of weights few.
+    rows = rows.repartition(PARTITIONS).persist()
     try:
         classes = {(r["fit"], r["label"]) for r in rows.select("fit", "label").distinct().collect()}
         if len(classes) < 4:

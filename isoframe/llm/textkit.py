@@ -25,7 +25,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Odd multipliers, one for each place in a shingle.
 _PLACES = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) * U64(2) + U64(1)
 #: Bytes of text handled at once; a longer text is handled alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _powers = np.ones(1, U64)
 _inverses = np.ones(1, U64)

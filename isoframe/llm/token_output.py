@@ -56,8 +56,10 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int = END_ID) ->
         for batch in batches:
             yield pd.DataFrame({"ids": [(encode.ids(t) + end)[: 4 * SAMPLE_IDS] for t in batch.text]})
 
-    chosen = docs.select("doc_id", F.substring(F.col("text").cast("string"), 1, 4 * SAMPLE_IDS).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    samples = [bytes(r["ids"]) for r in chosen.select("text").mapInPandas(serialized, "ids binary").collect()]
+    # SAMPLE_DOCS ids; rows of equal doc_id come with theirs, so the second limit.
+    chosen = docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
+    texts = docs.join(F.broadcast(chosen), "doc_id").select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text")).limit(SAMPLE_DOCS)
+    samples = [bytes(r["ids"]) for r in texts.mapInPandas(serialized, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=3).as_bytes()
     except (zstandard.ZstdError, ValueError):

@@ -5,13 +5,13 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
-#: Pieces remembered by each Python worker.
-REMEMBER = 600_000
+#: Pieces remembered by each Python worker: the first it meets, which are
+#: likely the common ones.
+REMEMBER = 300_000
 #: Longest piece remembered, in characters.
 LONGEST = 64
 
@@ -56,21 +56,34 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return self._all([text])[0]
 
-    def _pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece, which follows a space unless it begins a line.
 
-        A call to the library costs more than a piece, so those without other
+        A call to the library costs more than a piece, so pieces without other
         white space are encoded as the lines of one text, and the ids cut where
         a line ends.
         """
-        plain = [p for p in pieces if p.split() == [p if p[:1] != "\n" else p[1:]]]
-        if len(self._newline) == 4 and plain:
-            lines = self.whole("\n".join([" " + p if p[0] != "\n" else p[1:] for p in plain]))
-            ends = np.flatnonzero(np.frombuffer(lines, "<u4") == np.frombuffer(self._newline, "<u4")) * 4
-            for p, a, b in zip(plain, [0, *(ends + 4).tolist()], [*ends.tolist(), len(lines)], strict=True):
-                yield p, lines[a:b] if p[0] != "\n" else self._newline + lines[a:b]
-            pieces = list(set(pieces).difference(plain))
-        yield from zip(pieces, self._all([" " + p if p[:1] != "\n" else p for p in pieces]), strict=True)
+        begins = [p[:1] == "\n" for p in pieces]
+        lines = [p[1:] if b else " " + p for p, b in zip(pieces, begins, strict=True)]
+        text = "\n".join(lines)
+        words = text.split()
+        # Each line is one word, after a space where it doesn't begin a line.
+        room = len(pieces) - 1 + begins.count(False)
+        if len(self._newline) != 4 or len(words) != len(pieces) or len(text) != room + sum(map(len, words)) or not all(map(str.strip, pieces)):
+            return self._apart(pieces)
+        ids = self.whole(text)
+        ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == np.frombuffer(self._newline, "<u4")) * 4).tolist()
+        out = [ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(ids)], strict=True)]
+        return [self._newline + x if b else x for x, b in zip(out, begins, strict=True)] if True in begins else out
+
+    def _apart(self, pieces: list[str]) -> list[bytes]:
+        """As ``_pieces``, but those with other white space for themselves."""
+        plain = [p for p in pieces if p.split() == [p.removeprefix("\n")]] if len(self._newline) == 4 else []
+        odd = list(set(pieces).difference(plain))
+        found = dict(zip(odd, self._all([p if p[:1] == "\n" else " " + p for p in odd]), strict=True))
+        if plain:
+            found.update(zip(plain, self._pieces(plain), strict=True))
+        return [found[p] for p in pieces]
 
     def ids(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
@@ -80,16 +93,15 @@ class Encoder:
             return self.whole(text)
         head, *rest = _LINE.sub(" \n", text).split(" ")
         known = self._known
-        if len(known) > REMEMBER:
-            known.clear()
         missing = list(set(rest).difference(known))
         if missing:
-            known.update(self._pieces(missing))
-        out = self.whole(head) + b"".join(map(known.__getitem__, rest))
-        for p in missing:
-            if len(p) > LONGEST:
-                del known[p]
-        return out
+            found = dict(zip(missing, self._pieces(missing), strict=True))
+            if len(known) < REMEMBER:
+                known.update((p, x) for p, x in found.items() if len(p) <= LONGEST)
+            out = b"".join([known[p] if p in known else found[p] for p in rest])
+        else:
+            out = b"".join(map(known.__getitem__, rest))
+        return self.whole(head) + out
 
 
 @lru_cache(maxsize=4)

@@ -73,6 +73,15 @@ def test_recall_and_exactness(spark):
         assert plain(items[r.item_id], text_of[r.doc_id].split()[r.start : r.end]) == r.edits
 
 
+def test_repeated_words(spark):
+    items = [(1, "one two three four five six seven eight nine ten"), (2, "go go go go go stop now or go on then")]
+    docs = [(1, "go " * 500), (2, "x one two three four five six seven eight nine ten"), (3, "a go go go go go stop now or go on then b"), (4, "one two " * 300)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for some in (items[:1], items):
+        bench = spark.createDataFrame(some, "item_id long, text string")
+        assert {(r.doc_id, r.item_id) for r in d.contaminated(frame, bench).collect()} == {(2, 1), (3, 2)} & {(x, i) for x in range(9) for i, _ in some}
+
+
 def test_odd_rows(spark):
     item = "one two three four five six seven eight nine"
     docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, item, "x"), (3, item, "x"), (None, item, None), (4, "a " * 50000 + item, "y")], "doc_id long, text string, item string")

@@ -35,6 +35,8 @@ MIN_WORDS = 8
 REPEATS, STEPS = 16, 3
 #: Steps of a walk over n words, as a multiple of n.
 WALK = 2
+#: Rows that walk side by side.
+BLOCK = 4096
 #: Windows that begin so close are compared by the pairs they hold.
 NEAR = 2
 #: 2 ** PAIR_BITS buckets of word pairs, of eight bytes each, are sent to tasks.
@@ -43,16 +45,23 @@ PAIR_BITS = 20
 KEYS = "doc_id long, start int, size int, keys array<long>, text string"
 
 
-def embedded(words: np.ndarray, repeat: int) -> np.ndarray:
-    """CGK walks over rows of word hashes (rows, n): (rows, WALK * n) hashes."""
+def sampled(words: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """What CGK walks over rows of word hashes (rows, n) copy at sampled steps.
+
+    ``steps`` (repetitions, samples) gives (repetitions, samples, rows) hashes.
+    The repetitions walk side by side, up to the last sampled step.
+    """
     rows, n = words.shape
-    at, lines = np.zeros(rows, np.int64), np.arange(rows)
-    out = np.empty((rows, WALK * n), U64)
-    padded = np.concatenate([words, np.zeros((rows, 1), U64)], 1)
-    for step in range(WALK * n):
-        here = padded[lines, at]
-        out[:, step] = here
-        coin = mix(here + U64((repeat * 1000003 + step + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> U64(63)
+    flat = np.concatenate([words, np.zeros((rows, 1), U64)], 1).ravel()
+    line = np.arange(rows) * (n + 1)
+    at = np.zeros((len(steps), rows), np.int64)
+    out = np.empty((*steps.shape, rows), U64)
+    repeat = np.arange(len(steps), dtype=U64)[:, None] * U64(1000003)
+    for step in range(int(steps.max()) + 1):
+        here = flat[line + at]
+        r, j = np.nonzero(steps == step)
+        out[r, j] = here[r]
+        coin = mix(here + (repeat + U64(step + 1)) * U64(0x9E3779B97F4A7C15)) >> U64(63)
         at = np.minimum(at + coin.astype(np.int64), n)
     return out
 
@@ -60,17 +69,20 @@ def embedded(words: np.ndarray, repeat: int) -> np.ndarray:
 def keys_of(words: np.ndarray, length: int) -> np.ndarray:
     """Keys (rows, REPEATS) of rows of word hashes, for items of ``length``.
 
-    The sampled steps are drawn anew for each repetition and length.
+    The sampled steps are drawn anew for each repetition and length.  Equal
+    rows walk once.
     """
-    keys = np.empty((len(words), REPEATS), U64)
-    for r in range(REPEATS):
-        walks = embedded(words, r)
-        steps = np.random.Generator(np.random.PCG64([r, length])).choice(walks.shape[1], STEPS, replace=False)
-        key = np.full(len(words), U64(r * 7919 + length))
-        for s in steps:
-            key = mix(key * U64(31) + walks[:, s])
-        keys[:, r] = key
-    return keys.view(np.int64)
+    steps = np.stack([np.random.Generator(np.random.PCG64([r, length])).choice(WALK * length, STEPS, replace=False) for r in range(REPEATS)])
+    whole = np.ascontiguousarray(words).view(np.dtype((np.void, 8 * length))).ravel()
+    _, first, back = np.unique(whole, return_index=True, return_inverse=True)
+    keys = np.empty((len(first), REPEATS), U64)
+    for low in range(0, len(first), BLOCK):
+        walks = sampled(words[first[low : low + BLOCK]], steps)
+        key = np.arange(REPEATS, dtype=U64)[:, None] * U64(7919) + U64(length)
+        for j in range(STEPS):
+            key = mix(key * U64(31) + walks[:, j])
+        keys[low : low + BLOCK] = key.T
+    return keys[back].view(np.int64)
 
 
 def edits_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -160,21 +172,22 @@ def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray,
     total = np.concatenate([[0], np.cumsum(have != 0)])[t.first]
     full = np.repeat(np.diff(total) >= (lengths - 1 - 2 * allowed).min(initial=1 << 40), np.diff(t.first))
     place = np.flatnonzero(full)
-    last = t.first[t.doc[place] + 1]
+    room = t.first[t.doc[place] + 1] - place
     for length, edits in zip(lengths.tolist(), allowed.tolist(), strict=True):
         before = np.concatenate([[0], np.cumsum((have >> U64(length % 64)) & U64(1), dtype=np.int64)])
         # A window may reach the text's end, and is shorter then.
-        end = np.minimum(place + length, last)
-        held = before[end - 1] - before[place]
-        held[(held < length - 1 - 2 * edits) | (end - place < length - edits)] = -1
+        size = np.minimum(room, length)
+        held = before[place + size - 1] - before[place]
+        may = np.flatnonzero((held >= length - 1 - 2 * edits) & (size >= length - edits))
+        start, held, size = place[may], held[may], size[may]
         most = held.copy()
         for k in range(1, NEAR + 1):
-            near = place[k:] - place[:-k] == k
+            near = start[k:] - start[:-k] <= NEAR
             most[k:] = np.where(near, np.maximum(most[k:], held[:-k]), most[k:])
             most[:-k] = np.where(near, np.maximum(most[:-k], held[k:]), most[:-k])
-        best = (held >= 0) & (held == most)
+        best = held == most
         if best.any():
-            yield length, edits, place[best], end[best]
+            yield length, edits, start[best], start[best] + size[best]
 
 
 def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: bool) -> DataFrame:

@@ -2,6 +2,8 @@
 
 The classifier is a logistic regression on hashed word and character n-grams,
 trained on labelled rows and calibrated on others of them (Platt's sigmoid).
+A second one is trained on the label of toxic documents: a few words tell them,
+so it sees whether a text has the n-grams that differ most between its classes.
 Every whole text is scored in Arrow batches against fixed thresholds.
 """
 
@@ -27,6 +29,10 @@ PARTITIONS = 6
 BITS = 15
 #: A document is kept if the calibrated probability of quality 1 is this or more.
 KEEP_AT = 0.5
+#: It is rejected if the calibrated probability of toxic 1 is this or more.
+TOXIC_AT = 0.3
+#: Buckets that the model of toxic documents looks at.
+TELLING = 256
 #: Base limits.
 MIN_WORDS, MOST_REPEATED = 50, 50
 
@@ -113,23 +119,55 @@ def _features(texts: Texts, strings: list[str]) -> Iterator[tuple[np.ndarray, np
         yield where, np.bincount(back, share, len(where)) if len(where) else share
 
 
+def _margins(models: list[Model], texts: Texts, strings: list[str]) -> list[np.ndarray]:
+    """The margins of each model; the n-grams are taken once."""
+    out = [np.full(texts.n, m.bias) for m in models]
+    seen: list[list[np.ndarray]] = [[] for _ in models]
+    for h, bounds in _grams(texts, strings):
+        low, high = _spans(bounds, texts.n)
+        low, high = np.minimum(low, len(h)), np.minimum(high, len(h))
+        for margin, pairs, m in zip(out, seen, models, strict=True):
+            if m.by_presence:
+                at = np.flatnonzero(m.weights[h])
+                doc = np.searchsorted(high, at, side="right")
+                inside = low[np.minimum(doc, texts.n - 1)] <= at
+                inside &= doc < texts.n
+                pairs.append(doc[inside] * len(m.weights) + h[at[inside]].astype(np.int64))
+            else:
+                total = np.concatenate([[0.0], np.cumsum(m.weights[h])])
+                margin += (total[high] - total[low]) / np.maximum(high - low, 1)
+    for margin, pairs, m in zip(out, seen, models, strict=True):
+        if m.by_presence:
+            doc, place = np.divmod(np.unique(np.concatenate(pairs)), len(m.weights))
+            margin += np.bincount(doc, m.weights[place], texts.n)
+    return out
+
+
 @dataclass
 class Model:
-    """Weights of the n-gram buckets, and the calibration of their sum."""
+    """Weights of the n-gram buckets, and the calibration of their sum.
+
+    A bucket counts by its share of the n-grams or, ``by_presence``, once if the
+    text has it.  ``toxic`` is the model of the toxic label, None where it can't
+    be learned.
+    """
 
     weights: np.ndarray
     bias: float
     slope: float = 1.0
     offset: float = 0.0
+    by_presence: bool = False
+    toxic: Model | None = None
 
     def margins(self, texts: Texts, strings: list[str]) -> np.ndarray:
-        out = np.full(texts.n, self.bias)
-        for h, bounds in _grams(texts, strings):
-            low, high = _spans(bounds, texts.n)
-            total = np.concatenate([[0.0], np.cumsum(self.weights[h])])
-            low, high = np.minimum(low, len(h)), np.minimum(high, len(h))
-            out += (total[high] - total[low]) / np.maximum(high - low, 1)
-        return out
+        return _margins([self], texts, strings)[0]
+
+    def judged(self, texts: Texts, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities of quality 1 and of toxic 1, and whether both pass."""
+        models = [self] if self.toxic is None else [self, self.toxic]
+        good, *rest = (m.probabilities(x) for m, x in zip(models, _margins(models, texts, strings), strict=True))
+        toxic = rest[0] if rest else np.zeros(texts.n)
+        return good, toxic, (good >= KEEP_AT) & (toxic < TOXIC_AT)
 
     def probabilities(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -50, 50)))
@@ -159,20 +197,72 @@ def _platt(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(at[0] / scale), float(at[1])
 
 
+def _telling(known: DataFrame) -> np.ndarray:
+    """Buckets whose presence differs most between the classes, by chi-square."""
+    fit = known.where("fit")
+    rows, of_one = fit.agg(F.count("*"), F.sum("label")).head()
+    # No more rows than buckets.
+    has = fit.select("label", F.explode("places").alias("place")).groupBy("place").agg(F.sum("label"), F.count("*")).collect()
+    place, ones, n = np.array([tuple(r) for r in has], float).reshape(-1, 3).T
+    want = n * of_one / rows
+    score = (ones - want) ** 2 / np.maximum(want * (1 - of_one / rows) * (1 - n / rows), 1e-9)
+    score[n == rows] = 0
+    return np.sort(place[np.lexsort((place, -score))[:TELLING]].astype(np.int64))
+
+
+def _fitted(rows: DataFrame, label: str, by_presence: bool = False) -> Model | None:
+    """The model of one label; None if a class has no row to fit or calibrate."""
+    known = rows.where(F.col(label).isNotNull()).withColumnRenamed(label, "label")
+    classes = {(r["fit"], r["label"]) for r in known.select("fit", "label").distinct().collect()}
+    if len(classes) < 4:
+        return None
+    if by_presence:
+        used = _telling(known)
+        number = np.full(2 << BITS, -1)
+        number[used] = np.arange(len(used))
+        # Their size depends on BITS alone.
+        numbers, size = rows.sparkSession.sparkContext.broadcast(number), len(used)
+
+        def present(places: list[int]):
+            found = np.sort((n := numbers.value[places])[n >= 0])
+            return Vectors.sparse(size, found, np.ones(len(found)))
+
+        known = known.withColumn("features", F.udf(present, VectorUDT())("places"))
+    else:
+        used = np.arange(2 << BITS)
+        known = known.withColumn("features", F.udf(lambda i, v: Vectors.sparse(2 << BITS, i, v), VectorUDT())("places", "shares"))
+    known = known.select("label", "fit", "features").persist()
+    try:
+        fitted = LogisticRegression(regParam=0.02, maxIter=60, standardization=True).fit(known.where("fit"))
+        model = Model(np.zeros(2 << BITS), float(fitted.intercept), by_presence=by_presence)
+        coefficients = np.asarray(fitted.coefficients.toArray())
+        model.weights[used] = coefficients
+        # At most FIT_ROWS + CALIBRATION_ROWS pairs of numbers.
+        shared = rows.sparkSession.sparkContext.broadcast(coefficients)
+        margin = F.udf(lambda v: float(shared.value[v.indices] @ v.values), "double")
+        pairs = np.array([tuple(r) for r in known.where("NOT fit").select(margin("features"), "label").collect()])
+        model.slope, model.offset = _platt(pairs[:, 0] + model.bias, pairs[:, 1])
+        return model
+    finally:
+        known.unpersist()
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on labelled documents, and calibrate on others.
 
     At most FIT_ROWS + CALIBRATION_ROWS labelled rows are used: those of the
-    smallest hashed doc_id.  Rows with a null label or doc_id aren't.  With no
-    row of some class, nothing can be learned and every probability is 1.
+    smallest hashed doc_id.  Rows with a null quality or doc_id aren't, nor is
+    a null toxic label.  With no row of some quality, nothing can be learned
+    and every probability is 1; with none of some toxic label (or no such
+    column), nothing is rejected for it.
     """
-    spark = docs.sparkSession
     total = FIT_ROWS + CALIBRATION_ROWS
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long"), (F.col("quality") > 0).cast("double").alias("label"))
+    toxic = (F.col("toxic") > 0).cast("double") if "toxic" in labels.columns else F.lit(None).cast("double")
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long"), (F.col("quality") > 0).cast("double").alias("label"), toxic.alias("toxic"))
     chosen = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(total)
     share = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(total)) < FIT_ROWS
     # ``chosen`` has at most ``total`` narrow rows.
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("label", share.alias("fit"), "text")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select(F.col("label").alias("quality"), "toxic", share.alias("fit"), "text")
 
     def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -180,32 +270,23 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             raw = encoded(strings)
             for a, b in slices(raw):
                 rows += _features(Texts(raw[a:b]), strings[a:b])
-            yield pd.DataFrame({"label": batch.label, "fit": batch.fit, "places": [r[0] for r in rows], "shares": [r[1] for r in rows]})
+            yield pd.DataFrame({"quality": batch.quality, "toxic": batch.toxic, "fit": batch.fit, "places": [r[0] for r in rows], "shares": [r[1] for r in rows]})
 
-    vector = F.udf(lambda i, v: Vectors.sparse(2 << BITS, i, v), VectorUDT())
-    rows = texts.mapInPandas(sparse, "label double, fit boolean, places array<int>, shares array<double>").select("label", "fit", vector("places", "shares").alias("features"))
+    rows = texts.mapInPandas(sparse, "quality double, toxic double, fit boolean, places array<int>, shares array<double>")
+    rows = rows.withColumn("toxic", F.nanvl("toxic", F.lit(None).cast("double")))
     # A bounded sample: few partitions, whatever the table has, keep each
     # iteration's sums of weights few.
     rows = rows.repartition(PARTITIONS).persist()
     try:
-        classes = {(r["fit"], r["label"]) for r in rows.select("fit", "label").distinct().collect()}
-        if len(classes) < 4:
-            return Model(np.zeros(2 << BITS), 0.0, 0.0, 50.0)
-        fitted = LogisticRegression(regParam=0.02, maxIter=60, standardization=True).fit(rows.where("fit"))
-        model = Model(np.asarray(fitted.coefficients.toArray()), float(fitted.intercept))
-        # At most ``total`` pairs of numbers.
-        held = rows.where("NOT fit").select("features", "label")
-        weights = spark.sparkContext.broadcast(model.weights)
-        margin = F.udf(lambda v: float(weights.value[v.indices] @ v.values), "double")
-        pairs = np.array([tuple(r) for r in held.select(margin("features"), "label").collect()])
-        model.slope, model.offset = _platt(pairs[:, 0] + model.bias, pairs[:, 1])
+        model = _fitted(rows, "quality") or Model(np.zeros(2 << BITS), 0.0, 0.0, 50.0)
+        model.toxic = _fitted(rows, "toxic", by_presence=True)
         return model
     finally:
         rows.unpersist()
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, the signals, base_failed, probability and kept of every row.
+    """doc_id, the signals, base_failed, probability, toxicity and kept of every row.
 
     A null text is empty: it has no words and fails.  Rows are judged one by
     one, so repeated rows have equal results; a null doc_id stays null.
@@ -222,11 +303,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 out = signals(texts)
                 out.insert(0, "doc_id", batch.doc_id.iloc[a:b].astype("Int64").to_numpy())
                 out["base_failed"] = base_failed(out.n_words, out.n_repeat_words)
-                out["probability"] = shared.value.probabilities(shared.value.margins(texts, strings[a:b]))
-                out["kept"] = ~out.base_failed & (out.probability >= KEEP_AT)
+                out["probability"], out["toxicity"], passed = shared.value.judged(texts, strings[a:b])
+                out["kept"] = ~out.base_failed & passed
                 yield out
 
-    columns = "doc_id long, " + ", ".join(f"{c} long" for c in SIGNALS) + ", base_failed boolean, probability double, kept boolean"
+    columns = "doc_id long, " + ", ".join(f"{c} long" for c in SIGNALS) + ", base_failed boolean, probability double, toxicity double, kept boolean"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(score, columns)
 
 
@@ -241,8 +322,8 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
         for a, b in slices(raw):
             part = Texts(raw[a:b])
             counts = signals(part)
-            good = shared.value.probabilities(shared.value.margins(part, strings[a:b])) >= KEEP_AT
-            out.append(~base_failed(counts.n_words, counts.n_repeat_words).to_numpy() & good)
+            passed = shared.value.judged(part, strings[a:b])[2]
+            out.append(~base_failed(counts.n_words, counts.n_repeat_words).to_numpy() & passed)
         return pd.Series(np.concatenate(out) if out else [], dtype=bool)
 
     return docs.where(passes(F.col("text").cast("string")))

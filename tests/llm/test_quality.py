@@ -70,3 +70,21 @@ def test_margins_are_the_features_weighted(fitted):
     texts = Texts(encoded(strings))
     want = [model.bias + model.weights[i] @ v for i, v in quality._features(texts, strings)]
     assert np.allclose(model.margins(texts, strings), want)
+
+
+def test_toxic_documents_are_rejected(fitted):
+    docs, held, model = fitted
+    rows = quality.scored(docs, model).join(held, "doc_id").select("doc_id", "kept", "toxic", "quality", "base_failed", "toxicity").collect()
+    long = [r for r in rows if not r.base_failed]
+    share = lambda rows: sum(r.kept for r in rows) / len(rows)
+    assert share([r for r in long if r.toxic]) < 0.3
+    assert share([r for r in long if not r.toxic and r.quality]) > 0.97
+    assert {r.doc_id for r in quality.keep(docs, model).join(held, "doc_id").collect()} == {r.doc_id for r in rows if r.kept}
+
+
+def test_presence_counts_once(fitted):
+    toxic = fitted[2].toxic
+    strings = ["stupid idiot, what a clown", "", "stupid " * 9, "é", "the pathetic scum"]
+    texts = Texts(encoded(strings))
+    want = [toxic.bias + toxic.weights[i].sum() for i, _ in quality._features(texts, strings)]
+    assert np.allclose(toxic.margins(texts, strings), want)

@@ -85,9 +85,9 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-_KEYWORD = re.compile(r"(?i)(?:pass(?:word|wd|phrase)?|pwd|token|secret|api[ _-]?key|access[ _-]?key|private[ _-]?key)[\"']?\x20{0,2}(?::=|=>|[:=])\x20{0,2}[\"']?([^\s\"'<>]{6,200})")
+_KEYWORD = re.compile(r"(?i)(?:pass(?:word|wd|phrase)?|pwd|token|secret|api[ _-]?key|access[ _-]?key|private[ _-]?key)[\"']?\x20{0,2}(?::=|=>|[:=])\x20{0,2}[\"']?([^\s\"'<>]{6,})")
 _HINT = re.compile(r"(?i)pass|pwd|token|secret|key")
-_BLOB = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,200}(?![A-Za-z0-9+/_-])")
+_BLOB = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+(])(?<!\+[0-9]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -106,10 +106,10 @@ def candidates(text: str) -> Iterator[Span]:
     for kind, pattern in (("local_phone", _LOCAL_PHONE), ("national_id", _NATIONAL), ("iban", _IBAN)):
         for m in pattern.finditer(text):
             yield kind, m.start(), m.end()
-    if "at" in text or "AT" in text:
-        if "dot" in text or "DOT" in text:
-            for m in _SPELLED.finditer(text):
-                yield "spelled_email", m.start(), m.end()
+    low = text.lower()
+    if "at" in low and "dot" in low:
+        for m in _SPELLED.finditer(text):
+            yield "spelled_email", m.start(), m.end()
 
 
 def _mod_97(value: str) -> bool:
@@ -196,9 +196,9 @@ def _made(rng: np.random.Generator, n: int) -> Iterator[tuple[str, list[tuple[in
         return f"{country}{check:02d}{rest}"
 
     keyed = lambda v: pick(["password=", "Password: ", "token = \"", "secret: ", "api_key=", "pwd=", "access key: ", "token: '"]) + v
-    secret = lambda: pick([some(hexes, int(pick([18, 32, 40, 64]))), some(base, int(rng.integers(10, 40))), some(lower, 5) + some("0123456789", 3) + "!"])
+    secret = lambda: pick([some(hexes, int(pick([18, 32, 40, 64]))), some(base, int(rng.integers(10, 40))), some(lower, 5) + some("0123456789", 3) + "!", some(base, int(rng.integers(100, 400)))])
     good = [
-        lambda: (keyed(v := secret()), v), lambda: (v := some(hexes, int(pick([32, 40, 64]))), v), lambda: (v := some(base, int(rng.integers(24, 48))) + "1", v),
+        lambda: (keyed(v := secret()), v), lambda: (v := some(hexes, int(pick([32, 40, 64]))), v), lambda: (v := some(base, int(pick([rng.integers(24, 48), rng.integers(48, 600)]))) + "1", v),
         lambda: (v := pick(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}"]).format(pick("23456789") + some("0123456789", 2), some("0123456789", 3), some("0123456789", 4)), v),
         lambda: (v := f"{rng.integers(1, 665):03d}-{rng.integers(1, 99):02d}-{rng.integers(1, 9999):04d}", v), lambda: (v := iban(), v),
         lambda: (v := pick(["{}(at){}(dot){}", "{} at {} dot {}", "{} [at] {} [dot] {}"]).format(word(), word(), pick(["com", "org", "net"])), v),
@@ -206,7 +206,7 @@ def _made(rng: np.random.Generator, n: int) -> Iterator[tuple[str, list[tuple[in
     bad = [
         lambda: "token: " + word(), lambda: "the key = " + word() + word(), lambda: "password: " + pick(["required", "protected", "unknown", "forgotten", "changes"]),
         lambda: "-".join(word() for _ in range(5)) + "-2020", lambda: "_".join(word() for _ in range(4)) + "_1", lambda: "/".join(word() for _ in range(5)) + "/2",
-        lambda: some("0123456789", int(rng.integers(20, 40))), lambda: "=" * 30, lambda: "a1" * 15, lambda: "x" * int(rng.integers(18, 60)) + "1", lambda: "_" * 30 + "1",
+        lambda: some("0123456789", int(rng.integers(20, 40))), lambda: "=" * 30, lambda: "a1" * 15, lambda: pick("xAa=") * int(pick([rng.integers(18, 60), rng.integers(60, 600)])) + "1", lambda: "/".join(word() for _ in range(int(rng.integers(10, 80)))) + "/2", lambda: "_" * 30 + "1",
         lambda: f"000-{rng.integers(1, 99):02d}-{rng.integers(1, 9999):04d}", lambda: f"9{rng.integers(0, 99):02d}-{rng.integers(1, 99):02d}-{rng.integers(1, 9999):04d}",
         lambda: f"{pick('01')}{rng.integers(0, 99):02d}.{rng.integers(100, 999)}.{rng.integers(1000, 9999)}", lambda: "AB12 " + " ".join(some(base[:26], 4) for _ in range(3)),
         lambda: f"DE{rng.integers(10, 99)}" + some("0123456789", 16), lambda: f"{word()} at {word()} and the dot {word()}", lambda: word().capitalize() * 4 + "2",

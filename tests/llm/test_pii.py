@@ -66,3 +66,20 @@ def test_query(spark):
     out = {r.doc_id: r for r in pii.redacted(docs).collect()}
     assert out[4].text == "it password=<secret> of." and out[0].text is None and out[5].text == texts[5] and out[2].text == "<email> <ip>, <card>, <phone>"
     assert pii.personal_data(docs.limit(0)).count() == 0
+
+
+def test_long_secrets_are_whole():
+    model = pii.trained()
+    rng = np.random.Generator(np.random.PCG64(7))
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    for n in (150, 201, 500, 3000):
+        value = "".join(rng.choice(letters, n)) + "1"
+        for text in (f"here token={value} of", f"here {value} of"):
+            at = text.index(value)
+            assert pii.added_spans(text, [], model) == [("secret", at, at + len(value))]
+    assert pii.added_spans("x/" * 300 + "2", [], model) == []
+
+
+def test_spelled_emails_of_any_case():
+    for text in ("name (At) site (Dot) com", "name (aT) site (doT) com", "NAME AT SITE DOT COM"):
+        assert ("spelled_email", 0, len(text)) in pii.candidates(text)

@@ -8,6 +8,11 @@ word decide, so a few edits leave most of the walk alike.  Repetition by
 repetition, a few sampled steps of the embedding make a key; items and windows
 that share a key are compared exactly.
 
+The walks of long texts drift apart, so an item of 2 * PART words or more is
+searched by its parts: of a passage within the edits of the item, some part is
+within the edits of its own length.  A part's windows bring the text around
+them that the whole item needs.
+
 Windows are thinned before: an edit spoils at most two word pairs, so a window
 that holds an item keeps (length - 1) - 2 * edits of the pairs that items of
 this length have.  A pair that only repeats the one before counts where some
@@ -31,8 +36,10 @@ from isoframe.llm.textkit import U64, Texts, encoded, mix, runs, slices
 MAX_EDITS = 0.2
 #: Shorter items identify nothing and aren't searched.
 MIN_WORDS = 8
-#: Repetitions of the embedding, and sampled steps of each.
-REPEATS, STEPS = 16, 3
+#: Longer items are searched by parts of PART to 1.5 * PART words or so.
+PART = 15
+#: Sampled steps of each repetition of the embedding; see repeats().
+STEPS = 3
 #: Steps of a walk over n words, as a multiple of n.
 WALK = 2
 #: Rows that walk side by side.
@@ -45,6 +52,21 @@ PAIR_BITS = 20
 KEYS = "doc_id long, start int, size int, keys array<long>, text string"
 
 
+def repeats(length: int) -> int:
+    """Repetitions with which 95 of 100 passages at MAX_EDITS share a key.
+
+    Measured on random words, for substitutions, deletions, insertions and all.
+    """
+    return 16 if length < 15 else 32 if length < 23 else 48
+
+
+def parts(n: int) -> list[tuple[int, int]]:
+    """Where the parts of an item of n words begin, and their lengths."""
+    m = max(1, n // PART)
+    bounds = [i * n // m for i in range(m + 1)]
+    return [(a, b - a) for a, b in zip(bounds, bounds[1:])]
+
+
 def sampled(words: np.ndarray, steps: np.ndarray) -> np.ndarray:
     """What CGK walks over rows of word hashes (rows, n) copy at sampled steps.
 
@@ -66,19 +88,21 @@ def sampled(words: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return out
 
 
-def keys_of(words: np.ndarray, length: int) -> np.ndarray:
-    """Keys (rows, REPEATS) of rows of word hashes, for items of ``length``.
+def keys_of(words: np.ndarray, length: int, n: int = 0, at: int = 0) -> np.ndarray:
+    """Keys (rows, repetitions) of rows of word hashes, for parts of ``length``
+    that begin at word ``at`` of items of ``n`` words.
 
     The sampled steps are drawn anew for each repetition and length.  Equal
     rows walk once.
     """
-    steps = np.stack([np.random.Generator(np.random.PCG64([r, length])).choice(WALK * length, STEPS, replace=False) for r in range(REPEATS)])
+    times = repeats(length)
+    steps = np.stack([np.random.Generator(np.random.PCG64([r, length])).choice(WALK * length, STEPS, replace=False) for r in range(times)])
     whole = np.ascontiguousarray(words).view(np.dtype((np.void, 8 * length))).ravel()
     _, first, back = np.unique(whole, return_index=True, return_inverse=True)
-    keys = np.empty((len(first), REPEATS), U64)
+    keys = np.empty((len(first), times), U64)
     for low in range(0, len(first), BLOCK):
         walks = sampled(words[first[low : low + BLOCK]], steps)
-        key = np.arange(REPEATS, dtype=U64)[:, None] * U64(7919) + U64(length)
+        key = np.arange(times, dtype=U64)[:, None] * U64(7919) + U64(length + (n << 16) + (at << 40))
         for j in range(STEPS):
             key = mix(key * U64(31) + walks[:, j])
         keys[low : low + BLOCK] = key.T
@@ -118,7 +142,9 @@ def _items(benchmark: DataFrame) -> DataFrame:
             for item_id, text in zip(batch.item_id.astype("object"), batch.text, strict=True):
                 t = Texts(encoded([text]), lower=True)
                 if len(t.start) >= MIN_WORDS:
-                    out.append((item_id, len(t.start), keys_of(t.words()[None, :], len(t.start))[0], text))
+                    words, n = t.words()[None, :], len(t.start)
+                    keys = np.concatenate([keys_of(words[:, a : a + size], size, n, a)[0] for a, size in parts(n)])
+                    out.append((item_id, n, keys, text))
             yield pd.DataFrame(out, columns=["item_id", "n_words", "keys", "item"]).astype({"item_id": "Int64"})
 
     plain = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
@@ -161,20 +187,21 @@ def edits_allowed(length):
 
 
 def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray, again: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """length, edits, starts and ends of windows that may hold an item."""
+    """Items' and parts' length, starts and ends of windows that may hold a part."""
     pairs, at = runs(words, t.doc, 2)
     have = np.zeros(len(words), U64)
     have[at] = table[pairs >> U64(64 - PAIR_BITS)]
     if not again:
         have[at[_repeated(pairs, at)]] = 0
-    allowed = edits_allowed(lengths)
+    sizes = [(n, size) for n in lengths.tolist() for size in sorted({size for _, size in parts(n)})]
     # Texts without as many pairs of any items as the least that suffice are out.
     total = np.concatenate([[0], np.cumsum(have != 0)])[t.first]
-    full = np.repeat(np.diff(total) >= (lengths - 1 - 2 * allowed).min(initial=1 << 40), np.diff(t.first))
+    full = np.repeat(np.diff(total) >= min((size - 1 - 2 * edits_allowed(size) for _, size in sizes), default=1 << 40), np.diff(t.first))
     place = np.flatnonzero(full)
     room = t.first[t.doc[place] + 1] - place
-    for length, edits in zip(lengths.tolist(), allowed.tolist(), strict=True):
-        before = np.concatenate([[0], np.cumsum((have >> U64(length % 64)) & U64(1), dtype=np.int64)])
+    for n, length in sizes:
+        edits = edits_allowed(length)
+        before = np.concatenate([[0], np.cumsum((have >> U64(n % 64)) & U64(1), dtype=np.int64)])
         # A window may reach the text's end, and is shorter then.
         size = np.minimum(room, length)
         held = before[place + size - 1] - before[place]
@@ -187,7 +214,7 @@ def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray,
             most[:-k] = np.where(near, np.maximum(most[:-k], held[k:]), most[:-k])
         best = held == most
         if best.any():
-            yield length, edits, start[best], start[best] + size[best]
+            yield n, length, start[best], start[best] + size[best]
 
 
 def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: bool) -> DataFrame:
@@ -199,20 +226,22 @@ def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: boo
         for batch in batches:
             raw = encoded(batch.text)
             ids = batch.doc_id.astype("Int64").to_numpy()
-            found: dict[int, list[tuple]] = {}
+            found: dict[tuple[int, int, int], list[tuple]] = {}
             for a, b in slices(raw):
                 t = Texts(raw[a:b], lower=True)
                 words = t.words()
-                for length, edits, start, end in _starts(t, words, *shared.value):
+                for n, length, start, end in _starts(t, words, *shared.value):
                     inside = start[:, None] + np.arange(length)
                     rows = np.where(inside < end[:, None], words[np.minimum(inside, len(words) - 1)], U64(0))
-                    doc = t.doc[start]
-                    low, high = np.maximum(start - edits, t.first[doc]), np.minimum(end + edits, t.first[doc + 1])
-                    text = [t.buf[t.start[x] : t.end[y - 1]].tobytes().decode() for x, y in zip(low, high, strict=True)]
-                    found.setdefault(length, []).append((ids[a:b][doc], low - t.first[doc], text, rows))
-            for length, parts in found.items():
-                doc_ids, low, text, rows = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "start": low, "size": length, "keys": list(keys_of(rows, length)), "text": text})
+                    doc, edits = t.doc[start], edits_allowed(n)
+                    for at in (at for at, size in parts(n) if size == length):
+                        low = np.maximum(start - at - edits, t.first[doc])
+                        high = np.minimum(end + n - at - length + edits, t.first[doc + 1])
+                        text = [t.buf[t.start[x] : t.end[y - 1]].tobytes().decode() for x, y in zip(low, high, strict=True)]
+                        found.setdefault((n, length, at), []).append((ids[a:b][doc], low - t.first[doc], text, rows))
+            for (n, length, at), pieces in found.items():
+                doc_ids, low, text, rows = (np.concatenate(x) for x in zip(*pieces, strict=True))
+                yield pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "start": low, "size": n, "keys": list(keys_of(rows, length, n, at)), "text": text})
 
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return plain.mapInPandas(cut, KEYS)

@@ -92,3 +92,25 @@ def test_odd_rows(spark):
     assert d.clean(docs, bench).columns == docs.columns
     assert d.contaminated(docs.limit(0), bench).count() == 0
     assert d.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_recall_at_the_edit_limit(spark):
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(10**5)}" for _ in range(n)]
+    kinds = {"substitutions": (2,), "deletions": (1,), "insertions": (0,), "mixed": (0, 1, 2)}
+    items, docs, case = [], [], []
+    for n in (30, 60, 100, 200):
+        for kind, of in kinds.items():
+            for _ in range(20):
+                item = text(n)
+                words = list(item)
+                for _ in range(int(0.2 * n)):
+                    at, how = rng.randrange(len(words)), rng.choice(of)
+                    words[at : at + (how != 0)] = [] if how == 1 else text(1)
+                items.append((len(items), " ".join(item)))
+                docs.append((len(docs), " ".join(text(20) + words + text(20))))
+                case.append((n, kind))
+    found = d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {r.doc_id for r in found if r.doc_id == r.item_id}
+    share = {c: sum(case[i] == c for i in got) / 20 for c in set(case)}
+    assert min(share.values()) >= 0.9 and len(got) >= 0.97 * len(case)

@@ -7,9 +7,9 @@ most ``capacity`` lengths, so the plan is made from that histogram; placing
 the pieces by the plan is a Spark job.
 
 The plan first takes combinations that fill a sequence exactly: from the
-longest length down, the gap it leaves is looked up among single lengths, sums
-of pairs and sums of triples, under the counts still available.  What remains
-is placed best-fit decreasing.  Each step places as many equal combinations as
+longest length down, the gap it leaves is looked up in an index of single
+lengths, sums of pairs and sums of triples, under the counts still available.
+What remains is placed best-fit decreasing.  Each step places as many equal combinations as
 the counts allow, so the number of steps depends on ``capacity`` and not on the
 number of pieces.
 """
@@ -17,14 +17,17 @@ number of pieces.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoframe.llm.scratch import written
+from isoframe.llm.textkit import arrow_slices
 from isoframe.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -44,21 +47,24 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
     text is empty; it holds the end id alone.  A null doc_id stays null.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            out = []
-            for row, doc_id, text in zip(batch.row, batch.doc_id.astype("object"), batch.text, strict=True):
-                ids = encode.ids(text) + end
-                n, at, piece = len(ids) // 4, 0, 0
-                while at < n:
-                    length = (n - at) % capacity or capacity
-                    out.append((row, doc_id, piece, at, length, zlib.crc32(ids[4 * at : 4 * (at + length)])))
-                    at, piece = at + length, piece + 1
-            yield pd.DataFrame(out, columns=["row", "doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+            for a, b, raw in arrow_slices(batch.column("text")):
+                out: list[tuple[int, int, int, int, int]] = []  # text, piece, start, length, crc
+                for k, text in enumerate(raw):
+                    ids = encode.ids(text.decode()) + end
+                    n, at, piece = len(ids) // 4, 0, 0
+                    while at < n:
+                        length = (n - at) % capacity or capacity
+                        out.append((k, piece, at, length, zlib.crc32(ids[4 * at : 4 * (at + length)])))
+                        at, piece = at + length, piece + 1
+                k, piece, start, length, crc = (pa.array(x, pa.int64()) for x in zip(*out, strict=True))
+                rows = [batch.column(c).slice(a, b - a).take(k) for c in ("row", "doc_id")]
+                yield pa.RecordBatch.from_arrays([*rows, piece.cast(pa.int32()), start, length, crc], ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
 
     plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInPandas(cut, PIECES)
+    return plain.mapInArrow(cut, PIECES)
 
 
 class _Plan:
@@ -87,43 +93,75 @@ class _Plan:
         return times
 
 
+class _Sums:
+    """Index of the sums of one, two and three available lengths.
+
+    ``longer[s]`` is the longer length of a pair that sums to s, 0 if there is
+    none.  Counts only fall, so an entry whose pair is used up moves on to the
+    next shorter pair and never back.  A triple is a length and a pair's sum.
+    """
+
+    def __init__(self, plan: _Plan):
+        self.plan = plan
+        self.here = np.zeros(plan.capacity + 1, bool)
+        self.here[[x for x, n in plan.left.items() if n]] = True
+        self.longer = np.zeros(plan.capacity + 1, np.int64)
+        for total in range(2, plan.capacity + 1):
+            self._move_on(total, total - 1)
+
+    def used(self, lengths: list[int]) -> None:
+        for x in lengths:
+            self.here[x] = self.plan.left[x] > 0
+
+    def _pairs(self, total: int, longest: int) -> np.ndarray:
+        """Longer lengths of the pairs that sum to a total, from one down."""
+        x = np.arange(longest, (total - 1) // 2, -1)
+        return x[self.here[x] & self.here[total - x]]
+
+    def _move_on(self, total: int, longest: int) -> None:
+        found = self._pairs(total, longest)
+        self.longer[total] = found[0] if len(found) else 0
+
+    def _enough(self, lengths: list[int]) -> bool:
+        return all(self.plan.left.get(x, 0) >= lengths.count(x) for x in lengths)
+
+    def pair(self, total: int, taken: list[int]) -> list[int]:
+        """A pair that sums to a total beside what is taken, the longest first."""
+        x = int(self.longer[total])
+        if x and not (self.here[x] and self.here[total - x]):
+            self._move_on(total, x - 1)
+            x = int(self.longer[total])
+        if not x:
+            return []
+        if self._enough([*taken, x, total - x]):
+            return [x, total - x]
+        rest = ([int(y), total - int(y)] for y in self._pairs(total, x - 1))
+        return next((two for two in rest if self._enough([*taken, *two])), [])
+
+    def complement(self, gap: int, taken: list[int]) -> list[int]:
+        """One, two or three lengths that sum to a gap, or nothing."""
+        if self._enough([*taken, gap]):
+            return [gap]
+        if gap > 1 and (two := self.pair(gap, taken)):
+            return two
+        third = np.arange(gap - 2, 0, -1)
+        for x in third[self.here[third] & (self.longer[gap - third] > 0)].tolist():
+            if self._enough([*taken, x]) and (two := self.pair(gap - x, [*taken, x])):
+                return [x, *two]
+        return []
+
+
 def _exact(plan: _Plan) -> None:
     """Consume combinations that fill a sequence, the longest length first."""
-    size = plan.capacity
+    sums = _Sums(plan)
     for length in sorted(plan.left, reverse=True):
         while plan.left[length]:
-            gap = size - length
-            here = np.zeros(size + 1, np.int64)
-            for x, n in plan.left.items():
-                here[x] = n
-            here[length] -= 1  # the piece whose gap is to be filled
-            found = [length] + (_complement(here, gap) if gap else [])
-            if sum(found) != size:
+            gap = plan.capacity - length
+            found = [length] + (sums.complement(gap, [length]) if gap else [])
+            if sum(found) != plan.capacity:
                 break
             plan.fill(found)
-
-
-def _pair(here: np.ndarray, gap: int) -> list[int]:
-    """Two available lengths that sum to gap, the longest first."""
-    longer = np.arange(gap - 1, (gap - 1) // 2, -1)
-    both = (here[longer] > 0) & (here[gap - longer] > (longer * 2 == gap))
-    hit = np.flatnonzero(both)
-    return [int(longer[hit[0]]), int(gap - longer[hit[0]])] if len(hit) else []
-
-
-def _complement(here: np.ndarray, gap: int) -> list[int]:
-    """A single length, a pair or a triple that sums to gap, or nothing."""
-    if here[gap] > 0:
-        return [gap]
-    if found := _pair(here, gap):
-        return found
-    for third in np.flatnonzero(here[:gap])[::-1]:
-        here[third] -= 1
-        found = _pair(here, gap - int(third)) if gap > third else []
-        here[third] += 1
-        if found:
-            return [int(third), *found]
-    return []
+            sums.used(found)
 
 
 def _best_fit(plan: _Plan) -> None:
@@ -132,11 +170,12 @@ def _best_fit(plan: _Plan) -> None:
     Open sequences are kept as runs of equal gap.
     """
     size = plan.capacity
+    gaps: list[int] = []  # in order
     open_runs: dict[int, list[tuple[int, int]]] = {}  # gap: (base, sequences)
     for length in sorted((x for x, n in plan.left.items() if n), reverse=True):
         while plan.left[length]:
-            gap = min((g for g in open_runs if g >= length), default=0)
-            if not gap:
+            at = bisect_left(gaps, length)
+            if at == len(gaps):
                 each = size // length
                 times = max(plan.left[length] // each, 1)
                 each = min(each, plan.left[length])
@@ -145,23 +184,33 @@ def _best_fit(plan: _Plan) -> None:
                     plan.take(length, times, base, k * length)
                 rest = size - each * length
             else:
+                gap = gaps[at]
                 base, there = open_runs[gap].pop()
                 times = min(there, plan.left[length])
                 if times < there:
                     open_runs[gap].append((base + times, there - times))
                 if not open_runs[gap]:
-                    del open_runs[gap]
+                    del open_runs[gap], gaps[at]
                 plan.take(length, times, base, size - gap)
                 rest = gap - length
             if rest:
+                if rest not in open_runs:
+                    insort(gaps, rest)
                 open_runs.setdefault(rest, []).append((base, times))
 
 
 def plan_slots(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
-    """Slots (length, low, base, offset) sorted by length and low, and the number of sequences."""
-    plan = _Plan({int(k): int(v) for k, v in counts.items() if v}, capacity)
-    _exact(plan)
-    _best_fit(plan)
+    """Slots (length, low, base, offset) sorted by length and low, and the number of sequences.
+
+    Exact combinations can leave a worse rest than they save; where best-fit
+    alone takes fewer sequences, its plan is the one.
+    """
+    counts = {int(k): int(v) for k, v in counts.items() if v}
+    exact, plain = _Plan(counts, capacity), _Plan(counts, capacity)
+    _exact(exact)
+    for each in (exact, plain):
+        _best_fit(each)
+    plan = min(exact, plain, key=lambda p: p.sequences)
     slots = np.array(sorted(plan.slots), np.int64).reshape(-1, 4)
     return slots, plan.sequences
 

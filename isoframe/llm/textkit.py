@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -144,6 +145,24 @@ def shingle_sets(texts: Texts, k: int) -> list[np.ndarray]:
     return out
 
 
+def arrow_slices(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of an Arrow column of strings of about SLICE_BYTES, and their bytes.
+
+    The bytes of one range are taken from the column at a time; null is empty.
+    """
+    column = column.cast(pa.large_string()).fill_null("")
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
+    begin = 0
+    while begin < len(column):
+        end = max(int(np.searchsorted(ends, ends[begin] + SLICE_BYTES, side="right")) - 1, begin + 1)
+        end = min(end, len(column))
+        at, base = ends[begin : end + 1].tolist(), int(ends[begin])
+        raw = data[base : at[-1]].to_pybytes() if data is not None and at[-1] > base else b""
+        yield begin, end, [raw[a - base : b - base] for a, b in zip(at, at[1:])]
+        begin = end
+
+
 def encoded(column) -> list[bytes]:
     """UTF-8 bytes of a pandas or Arrow column of strings; null is empty."""
     return [x.encode() if x else b"" for x in column]

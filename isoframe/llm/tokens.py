@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import os
-import re
 from array import array
 from functools import lru_cache
 
-import numpy as np
-
-#: Pieces remembered by each Python worker: the first it meets, which are
-#: likely the common ones.
-REMEMBER = 300_000
-#: Longest piece remembered, in characters.
+#: Words and pre-tokens remembered by each Python worker, each: the first it
+#: meets, which are likely the common ones.
+REMEMBER = 250_000
+#: Longest one remembered, in characters.
 LONGEST = 64
+#: All versions of Unicode in use class the characters before this one alike.
+AGREED = "\u0250"
 
 
 def vocabulary() -> str:
@@ -23,85 +22,125 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-#: A space between two white space characters, or between one and the end.
-_INSIDE = re.compile(r"(?<=\s) (?:\s|\Z)")
-#: A line end between two characters that aren't white space.
-_LINE = re.compile(r"(?<=\S)\n(?=\S)")
+def _byte_names() -> dict[int, str]:
+    """The printable character by which byte-level BPE writes each byte.
+
+    Printable Latin-1 characters stand for themselves, the other bytes for the
+    characters from 256 on, in order.
+    """
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class _Remembered(dict):
+    """Values of strings by a function, remembered up to a number."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.find(key)
+        if len(self) < REMEMBER and len(key) <= LONGEST:
+            self[key] = value
+        return value
+
+
+class _Crossing(Exception):
+    """White space meets at a space, so that pre-tokens may cross it."""
 
 
 class Encoder:
-    """Encodes texts piece by piece, remembering pieces that recur.
-
-    This byte-level vocabulary splits a text before each space, but for one
-    inside white space, and before and after a single line end, and merges
-    nothing across such a place; so the ids of a text are those of its pieces,
-    one after another.  Texts with a space inside white space or before a line
-    end, or with a special token's string, go to the library whole.  All ids come from the
-    ``tokenizers`` library.
+    """Ids of texts, put together from those of words that recur.
+
+    The vocabulary's pattern cuts a text into pre-tokens, each encoded for
+    itself by the BPE model of the ``tokenizers`` library.  A space after and
+    before other characters begins a pre-token, so texts are split at spaces and line
+    ends, and the words' ids are remembered; where white space meets, the
+    pattern goes over the whole text.  A text with a special token's string
+    goes to the library as it is.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._known: dict[str, bytes] = {}
-        self._newline = self.whole("\n")
-
-    def _all(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        self.find = regex.compile(public_tokenizers.PATTERN)
+        self._model = self.tokenizer.model
+        self._names = _byte_names()
+        self._as: dict[str, str] = {}
+        self.pretokens = _Remembered(self.of_pretoken)
+        self._words = _Remembered(self._word)
 
     def whole(self, text: str) -> bytes:
-        return self._all([text])[0]
+        """Ids by the library alone."""
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return array("I", found.ids).tobytes()
+
+    def of_pretoken(self, pretoken: str) -> bytes:
+        """Ids of one pre-token, in which no special token is seen."""
+        spelled = pretoken.encode().decode("latin-1").translate(self._names)
+        return array("I", [t.id for t in self._model.tokenize(spelled)]).tobytes()
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece, which follows a space unless it begins a line.
+    def view(self, text: str) -> str:
+        """The text as the pattern should see it, character for character.
 
-        A call to the library costs more than a piece, so pieces without other
-        white space are encoded as the lines of one text, and the ids cut where
-        a line ends.
+        The library and ``regex`` know different versions of Unicode; a
+        character that they class differently is shown as one of the class
+        that the library gives it.
         """
-        begins = [p[:1] == "\n" for p in pieces]
-        lines = [p[1:] if b else " " + p for p, b in zip(pieces, begins, strict=True)]
-        text = "\n".join(lines)
-        words = text.split()
-        # Each line is one word, after a space where it doesn't begin a line.
-        room = len(pieces) - 1 + begins.count(False)
-        if len(self._newline) != 4 or len(words) != len(pieces) or len(text) != room + sum(map(len, words)) or not all(map(str.strip, pieces)):
-            return self._apart(pieces)
-        ids = self.whole(text)
-        ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == np.frombuffer(self._newline, "<u4")) * 4).tolist()
-        out = [ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(ids)], strict=True)]
-        return [self._newline + x if b else x for x, b in zip(out, begins, strict=True)] if True in begins else out
-
-    def _apart(self, pieces: list[str]) -> list[bytes]:
-        """As ``_pieces``, but those with other white space for themselves."""
-        plain = [p for p in pieces if p.split() == [p.removeprefix("\n")]] if len(self._newline) == 4 else []
-        odd = list(set(pieces).difference(plain))
-        found = dict(zip(odd, self._all([p if p[:1] == "\n" else " " + p for p in odd]), strict=True))
-        if plain:
-            found.update(zip(plain, self._pieces(plain), strict=True))
-        return [found[p] for p in pieces]
+        if text.isascii() or max(text) < AGREED:
+            return text
+        odd = {c: self._shown(c) for c in set(text) if c > "\x7f"}
+        odd = {ord(c): x for c, x in odd.items() if c != x}
+        return text.translate(odd) if odd else text
+
+    def _shown(self, c: str) -> str:
+        if c not in self._as:
+            rule = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            probe = "a{0}b 1{0}1 !{0}! {0}"
+            theirs = [b - a for _, (a, b) in rule(probe.format(c))]
+            self._as[c] = next(x for x in (c, "a", "1", "!", "\t") if [len(p) for p in self.find.findall(probe.format(x))] == theirs)
+        return self._as[c]
+
+    def split(self, text: str) -> list[str]:
+        """The pre-tokens of a text."""
+        view = self.view(text)
+        if view is text:
+            return self.find.findall(text)
+        return [text[m.start() : m.end()] for m in self.find.finditer(view)]
+
+    def _joined(self, text: str) -> bytes:
+        return b"".join(map(self.pretokens.__getitem__, self.split(text)))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of what stands between two spaces, with the one before it."""
+        if not word or word[-1].isspace() or (word[0].isspace() and (word[0] != "\n" or word[1].isspace())):
+            raise _Crossing
+        if word.isalpha() and (word.isascii() or max(word) < AGREED):
+            return self.pretokens[" " + word]
+        return self._joined(word if word[0] == "\n" else " " + word)
 
     def ids(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if " \n" in text or _INSIDE.search(text) or any(s in text for s in self.special):
+        if any(s in text for s in self.special):
             return self.whole(text)
-        head, *rest = _LINE.sub(" \n", text).split(" ")
-        known = self._known
-        missing = list(set(rest).difference(known))
-        if missing:
-            found = dict(zip(missing, self._pieces(missing), strict=True))
-            if len(known) < REMEMBER:
-                known.update((p, x) for p, x in found.items() if len(p) <= LONGEST)
-            out = b"".join([known[p] if p in known else found[p] for p in rest])
-        else:
-            out = b"".join(map(known.__getitem__, rest))
-        return self.whole(head) + out
+        # A line end is taken as the beginning of a word that no space precedes.
+        head, *rest = text.replace("\n", " \n").split(" ")
+        try:
+            if head[-1:].isspace():
+                raise _Crossing
+            words = b"".join(map(self._words.__getitem__, rest))
+        except _Crossing:
+            return self._joined(text)
+        return self._joined(head) + words
 
 
 @lru_cache(maxsize=4)

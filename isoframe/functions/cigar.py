@@ -37,7 +37,7 @@ def count(operations: Column, kind: str, least: int = 0) -> Column:
 def end_clips(operations: Column) -> Column:
     """Bases clipped at both ends; one operation alone counts once."""
     clip = lambda x: F.when(x["op"].isin("S", "H"), x["len"]).otherwise(0)
-    first, last = F.element_at(operations, 1), F.element_at(operations, -1)
+    first, last = F.try_element_at(operations, F.lit(1)), F.try_element_at(operations, F.lit(-1))
     return clip(first) + F.when(F.size(operations) > 1, clip(last)).otherwise(0)
 
 

@@ -18,10 +18,14 @@ def overlapping(reads: DataFrame, annotation: DataFrame) -> DataFrame:
     ``rank`` is the transcript's place in the annotation.
     """
     a = reads.select("ord", "tid", "start", "end", "exons")
-    b = annotation.select("tid", "start", "end", F.col("ord").alias("rank"), F.col("exons").alias("anno"), F.col("is_rev").alias("anno_rev"), "gene_id")
+    b = annotation.select("tid", "start", "end", F.col("ord").alias("rank"), F.col("exons").alias("anno"), F.col("is_rev").alias("anno_rev"), "gene_id", *_gene_name(annotation))
     return intervals.overlap_join(a, b, ["tid"])
 
 
+def _gene_name(annotation: DataFrame) -> list[str]:
+    return ["gene_name"] if "gene_name" in annotation.columns else []
+
+
 def _near(x: Column, y: Column, distance: int) -> Column:
     return F.abs(x - y) <= distance
 
@@ -37,9 +41,10 @@ def _matches(sites: Column, others: Column, distance: int) -> Column:
     return F.aggregate(sites, F.lit(0), lambda n, x: n + F.size(F.filter(others, lambda y: _near(x, y, distance))))
 
 
-def _hits(items: Column, others: Column, same) -> Column:
+def _hits(items: Column, others: Column, distance: int, same) -> Column:
     """Places, from 0, of the items that have an equal among the others."""
-    flags = F.transform(items, lambda x, i: F.when(F.exists(others, lambda y: same(x, y)), i))
+    has = lambda x: F.array_contains(others, x) if distance == 0 else F.exists(others, lambda y: same(x, y))
+    flags = F.transform(items, lambda x, i: F.when(has(x), i))
     return F.filter(flags, lambda i: i.isNotNull())
 
 
@@ -55,23 +60,23 @@ def compared(pairs: DataFrame, params: Params = Params()) -> DataFrame:
     anno_don, anno_acc = _within(ends(anno), low, high), _within(starts(anno), low, high)
     rows = rows.withColumn("same", F.when(F.col("multi"), _matches(anno_don, ends(exons), d) + _matches(anno_acc, own, d)).otherwise(0))
     all_same = (there == 2 * (F.col("n") - 1)) & (F.col("same") == there)
-    covers = intervals.overlap_fraction(exons[0], anno[0]) >= F.lit(params.single_overlap).cast("float")
+    covers = intervals.overlap_fraction(F.get(exons, F.lit(0)), F.get(anno, F.lit(0))) >= F.lit(params.single_overlap).cast("float")
     rows = rows.withColumn("is_known", F.when(F.col("multi"), all_same).otherwise(F.col("single") & covers))
     rows = rows.withColumn("shares", F.col("multi") & ~F.col("is_known") & (F.col("same") > 0))
-    first, last = exons[0], F.element_at("exons", -1)
-    anno_first, anno_last = anno[0], F.element_at("anno", -1)
+    first, last = F.get(exons, F.lit(0)), F.try_element_at("exons", F.lit(-1))
+    anno_first, anno_last = F.get(anno, F.lit(0)), F.try_element_at("anno", F.lit(-1))
     touches = lambda x: F.exists("anno", lambda y: intervals.overlap(x, y))
     none = F.array().cast("array<int>")
     part = lambda found: F.when(F.col("multi"), found).otherwise(none)
     joint = lambda x, y: _near(x["don"], y["don"], d) & _near(x["acc"], y["acc"], d)
     span = lambda x, y: _near(x["start"], y["start"], d) & _near(x["end"], y["end"], d)
     return rows.select(
-        "ord", "rank", "is_known", "shares", "anno_rev", "gene_id",
+        "ord", "rank", "is_known", "shares", "anno_rev", "gene_id", *_gene_name(pairs),
         (first["end"] == anno_first["end"]).alias("left_1"), (last["start"] == anno_last["start"]).alias("right_1"),
         intervals.overlap(first, anno_first).alias("left_2"), intervals.overlap(last, anno_last).alias("right_2"),
         touches(first).alias("left_any"), touches(last).alias("right_any"),
-        part(_hits(exons, anno, span)).alias("exon_hits"), part(_hits(ends(exons), anno_don, lambda x, y: _near(x, y, d))).alias("don_hits"),
-        part(_hits(own, anno_acc, lambda x, y: _near(x, y, d))).alias("acc_hits"), part(_hits(joints(exons), joints(anno), joint)).alias("joint_hits"),
+        part(_hits(exons, anno, d, span)).alias("exon_hits"), part(_hits(ends(exons), anno_don, d, lambda x, y: _near(x, y, d))).alias("don_hits"),
+        part(_hits(own, anno_acc, d, lambda x, y: _near(x, y, d))).alias("acc_hits"), part(_hits(joints(exons), joints(anno), d, joint)).alias("joint_hits"),
     )
 
 
@@ -95,22 +100,24 @@ def full_length(level: int) -> Column:
 def classified(reads: DataFrame, annotation: DataFrame, params: Params = Params()) -> DataFrame:
     """``reads`` with their class, reference gene and novel parts.
 
-    known, has_known_site, full and full_1 to full_5; gene_id and is_rev of the
-    reference transcript (gene null and the read's strand where there is none);
+    known, has_known_site, full and full_1 to full_5; gene_id, gene_name (where
+    the annotation has it) and is_rev of the reference transcript (gene null
+    and the read's strand where there is none);
     novel_exon, novel_don, novel_acc, novel_junction as arrays of booleans.
     """
     seen = visited(compared(overlapping(reads, annotation), params))
-    chosen = F.max_by(F.struct("gene_id", "anno_rev"), F.when(F.col("is_known") | F.col("shares"), F.col("rank")))
+    names = _gene_name(annotation)
+    chosen = F.max_by(F.struct("gene_id", "anno_rev", *names), F.when(F.col("is_known") | F.col("shares"), F.col("rank")))
     hits = [F.array_distinct(F.flatten(F.collect_list(f"{x}_hits"))).alias(f"{x}_hits") for x in ("exon", "don", "acc", "joint")]
     ends_ = [F.bool_or(f"{side}_{kind}").alias(f"{side}_{kind}") for side in ("left", "right") for kind in ("1", "2", "any")]
     said = seen.groupBy("ord").agg(F.bool_or("is_known").alias("known"), F.bool_or("shares").alias("has_known_site"), chosen.alias("ref"), *ends_, *hits)
-    rows = reads.drop("gene_id").join(said, "ord", "left")
+    rows = reads.drop("gene_id", *names).join(said, "ord", "left")
     novel = lambda items, hits: F.transform(items, lambda _, i: ~F.coalesce(F.array_contains(F.col(hits), i), F.lit(False)))
     exons = F.col("exons")
     out = rows.select(
-        *(c for c in reads.columns if c not in ("gene_id", "is_rev")),
+        *(c for c in reads.columns if c not in ("gene_id", "is_rev", *names)),
         F.coalesce("known", F.lit(False)).alias("known"), F.coalesce("has_known_site", F.lit(False)).alias("has_known_site"),
-        F.col("ref.gene_id").alias("gene_id"), F.coalesce("ref.anno_rev", "is_rev").alias("is_rev"),
+        F.col("ref.gene_id").alias("gene_id"), *(F.col(f"ref.{c}").alias(c) for c in names), F.coalesce("ref.anno_rev", "is_rev").alias("is_rev"),
         novel(exons, "exon_hits").alias("novel_exon"), novel(ends(exons), "don_hits").alias("novel_don"),
         novel(ends(exons), "acc_hits").alias("novel_acc"), novel(ends(exons), "joint_hits").alias("novel_junction"),
         *(full_length(k).alias(f"full_{k}") for k in LEVELS), full_length(params.full_level).alias("full"),

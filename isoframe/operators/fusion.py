@@ -13,9 +13,9 @@ FIELDS = ["score", "ed", "ord", "tid", "is_rev", "read_start", "read_end", "ref_
 
 
 def size(text: str) -> int:
-    """A number with an optional k, M or G at its end."""
+    """A number with an optional k, M or G at its end, halves rounded up."""
     scale = {"k": 10**3, "m": 10**6, "g": 10**9}.get(text[-1:].lower())
-    return int(float(text[:-1]) * scale) if scale else int(text)
+    return int(float(text[:-1]) * scale + 0.5) if scale else int(text)
 
 
 def segments(alignments: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def segments(alignments: DataFrame) -> DataFrame:
     """
     rows = alignments.where(F.col("flag").bitwiseAND(4) == 0).withColumn("ops", cigar.ops(F.col("cigar")))
     ops = F.col("ops")
-    head = F.coalesce(F.when(ops[0]["op"].isin("S", "H"), ops[0]["len"]), F.lit(0))
+    head = F.coalesce(F.when(F.get(ops, F.lit(0))["op"].isin("S", "H"), F.get(ops, F.lit(0))["len"]), F.lit(0))
     rows = rows.withColumn("rlen", cigar.query_length(ops)).withColumn("is_rev", F.col("flag").bitwiseAND(16) != 0)
     rows = rows.withColumn("a", head + 1).withColumn("b", head + cigar.length(ops, "MI=X"))
     turned = lambda x, y: F.when(F.col("is_rev"), F.col("rlen") + 1 - F.col(y)).otherwise(F.col(x))
@@ -45,7 +45,6 @@ def overlap_ratio(a: Column, b: Column, start: str, end: str, compat: bool = Tru
     """
     apart = (a[start] > b[end]) | (b[start] > a[end])
     shared = a[end] - b[start] + 1
-    shared = F.when(shared > 0, shared).otherwise(b[end] - a[start] + 1)
     if not compat:
         shared = F.least(a[end], b[end]) - F.greatest(a[start], b[start]) + 1
     return F.when(apart, F.lit(0.0)).otherwise(shared / (F.least(a[end] - a[start], b[end] - b[start]) + 1)).cast("float")
@@ -89,7 +88,7 @@ def chosen(parts: DataFrame, params: Params = Params()) -> DataFrame:
         large = share(x["read_end"] - x["read_start"] + 1) >= F.lit(params.part_coverage).cast("float")
         fits = ~at["done"] & large & F.forall(at["taken"], lambda a: compatible(a, x, params))
         taken = F.when(fits, F.concat(at["taken"], F.array(x))).otherwise(at["taken"])
-        full = share(union_length(taken)) >= F.lit(params.total_coverage).cast("float")
+        full = share(union_length(taken)).cast("float") >= F.lit(params.total_coverage).cast("float")
         return F.struct(taken.alias("taken"), (at["done"] | (fits & full)).alias("done"))
 
     rest = F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0)))
@@ -99,7 +98,13 @@ def chosen(parts: DataFrame, params: Params = Params()) -> DataFrame:
 def fusions(parts: DataFrame, params: Params = Params()) -> DataFrame:
     """Reads of exactly two parts: both, the one that comes first in the read left."""
     rows = chosen(parts, params).where("done AND size(parts) = 2")
-    swapped = F.col("parts")[0]["read_start"] >= F.col("parts")[1]["read_start"]
-    rows = rows.withColumn("l", F.when(swapped, F.col("parts")[1]).otherwise(F.col("parts")[0])).withColumn("r", F.when(swapped, F.col("parts")[0]).otherwise(F.col("parts")[1]))
+    one, two = F.get("parts", F.lit(0)), F.get("parts", F.lit(1))
+    swapped = one["read_start"] >= two["read_start"]
+    rows = rows.withColumn("l", F.when(swapped, two).otherwise(one)).withColumn("r", F.when(swapped, one).otherwise(two))
     side = lambda s, name: [F.col(f"{s}.{c}").alias(f"{name}_{c}") for c in ("tid", "is_rev", "ref_start", "ref_end")]
-    return rows.select("qname", *side("l", "left"), *side("r", "right"))
+    return rows.select("qname", *side("l", "left"), *side("r", "right"), F.transform("parts", lambda x: x["ord"]).alias("ords"))
+
+
+def records(alignments: DataFrame, found: DataFrame) -> DataFrame:
+    """The alignments that make the parts of fusions."""
+    return alignments.join(found.select(F.explode("ords").alias("ord")), "ord", "left_semi")

@@ -60,9 +60,10 @@ def best(rows: DataFrame, params: Params = Params(), group: str = "qname") -> Da
     """The best record of each read, if the second best is clearly worse.
 
     The first of equal scores is the best; then the second is as good, and the
-    read is left out unless the ratio allows it.
+    read is left out unless the ratio allows it.  Reads of different files are
+    different reads.
     """
-    order = Window.partitionBy(group).orderBy(F.col("score").desc(), "ord")
+    order = Window.partitionBy(*(c for c in ("file", group) if c in rows.columns)).orderBy(F.col("score").desc(), "ord")
     ranked = rows.withColumn("place", F.row_number().over(order)).withColumn("second", F.coalesce(F.lead("score").over(order), F.lit(0)))
     second = F.greatest("second", F.lit(0)).cast("float") < F.lit(params.max_second).cast("float") * F.col("score").cast("float")
     return ranked.where((F.col("place") == 1) & second & (F.col("n_introns") >= params.min_introns)).drop("place")

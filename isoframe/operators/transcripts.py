@@ -19,12 +19,13 @@ def from_alignments(alignments: DataFrame, params: Params = Params()) -> DataFra
     mapped = alignments.where(F.col("flag").bitwiseAND(4) == 0)
     spans = cigar.exons(cigar.ops(F.col("cigar")), F.col("pos") + 1, params.min_exon, params.min_intron, params.max_deletion)
     rows = mapped.withColumn("exons", spans).withColumn("is_rev", strand(F.col("xs"), F.col("flag")))
-    return extent(rows.select("ord", F.col("qname").cast("string").alias("trans_id"), "tid", "is_rev", "exons"))
+    names = [F.col("chrom").alias("seqname")] if "chrom" in rows.columns else []
+    return extent(rows.select("ord", F.col("qname").cast("string").alias("trans_id"), "tid", *names, "is_rev", "exons"))
 
 
 def extent(transcripts: DataFrame) -> DataFrame:
     """Start and end from the first and the last exon; coverage 1."""
-    out = transcripts.withColumn("start", F.element_at("exons", 1)["start"]).withColumn("end", F.element_at("exons", -1)["end"])
+    out = transcripts.withColumn("start", F.try_element_at("exons", F.lit(1))["start"]).withColumn("end", F.try_element_at("exons", F.lit(-1))["end"])
     return out if "cov" in out.columns else out.withColumn("cov", F.lit(1))
 
 

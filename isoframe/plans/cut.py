@@ -5,20 +5,44 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written under ``spark.checkpoint.dir`` and read again.
+def shared_dir(spark: SparkSession) -> str:
+    """This application's folder under ``spark.checkpoint.dir``.
 
-    A long plan that many results use is planned and run once, and what it made
-    outlives an executor.  Without that setting a temporary folder is made.
+    Where the session names none, a temporary folder is made and set, but on a
+    local master only: on a cluster each machine would write to its own disk.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         folder = "file://" + tempfile.mkdtemp(prefix="isoframe-")
         spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/isoframe-{spark.sparkContext.applicationId}"
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written in the shared folder and read again.
+
+    A long plan that many results use is planned and run once, and what it made
+    outlives an executor: a lost one costs only the tasks it ran.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete all tables that this application has written in that way.
+
+    To be called once the results made from them are written.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

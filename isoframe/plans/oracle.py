@@ -137,7 +137,7 @@ _RANKED = """ranked AS (
          a.tid AS t1, b.tid AS t2, a.ref_start AS f1, a.ref_end AS l1, b.ref_start AS f2, b.ref_end AS l2
   FROM ranked a JOIN ranked b ON b.qname = a.qname AND a.k = 1 AND b.k = 2 WHERE a.n = 2
 ), rated AS (
-  SELECT *, CASE WHEN s1 > e2 OR s2 > e1 THEN 0 ELSE (CASE WHEN e1 - s2 + 1 > 0 THEN e1 - s2 + 1 ELSE e2 - s1 + 1 END) / (least(e1 - s1, e2 - s2) + 1) END AS ratio,
+  SELECT *, CASE WHEN s1 > e2 OR s2 > e1 THEN 0 ELSE (e1 - s2 + 1) / (least(e1 - s1, e2 - s2) + 1) END AS ratio,
          CASE WHEN s1 > e2 OR s2 > e1 THEN 0 ELSE (least(e1, e2) - greatest(s1, s2) + 1) / (least(e1 - s1, e2 - s2) + 1) END AS plain
   FROM two
 ), fitted AS (
@@ -146,6 +146,16 @@ _RANKED = """ranked AS (
   FROM rated
 )"""
 
+_ENDED = _classified() + """, touched AS (
+  SELECT v.r, v.a, x1.ee = y1.ee AS l1, x2.es = y2.es AS r1, NOT (x1.es > y1.ee OR y1.es > x1.ee) AS l2, NOT (x2.es > y2.ee OR y2.es > x2.ee) AS r2,
+         EXISTS (SELECT 1 FROM ex y WHERE y.ok = v.a AND NOT (x1.es > y.ee OR y.es > x1.ee)) AS la, EXISTS (SELECT 1 FROM ex y WHERE y.ok = v.a AND NOT (x2.es > y.ee OR y.es > x2.ee)) AS ra
+  FROM seen v JOIN ex x1 ON x1.ok = v.r AND x1.j = 0 JOIN ex x2 ON x2.ok = v.r AND x2.j = v.n - 1 JOIN ex y1 ON y1.ok = v.a AND y1.j = 0 JOIN ex y2 ON y2.ok = v.a AND y2.j = v.m - 1
+), ended AS (
+  SELECT t.ok, coalesce(bool_or(l1), false) AS l1, coalesce(bool_or(r1), false) AS r1, coalesce(bool_or(l2), false) AS l2, coalesce(bool_or(r2), false) AS r2,
+         coalesce(bool_or(la), false) AS la, coalesce(bool_or(ra), false) AS ra
+  FROM reads t LEFT JOIN touched h ON h.r = t.ok GROUP BY t.ok
+)"""
+
 ORACLES: dict[str, str] = {
     "cigar_exons": _ctes("fx_aln", more=_WALK + """, cuts AS (
   SELECT qname, rec, here AS e, here + len + 1 AS nxt, row_number() OVER (PARTITION BY qname, rec ORDER BY i) AS k FROM walk WHERE closes AND (flag & 4) = 0
@@ -177,15 +187,17 @@ FROM walk WHERE op = 'N' AND len >= 3 AND (flag & 4) = 0 AND (flag & 2) <> 0 GRO
     "novel_exons": _ctes("fx_exon", more=_classified()) + f"SELECT ok AS ord, {_FLAGS.format('novel')} AS flags FROM nexon GROUP BY ok",
     "novel_sites": _ctes("fx_exon", more=_classified()) + f"SELECT t.ok AS ord, {_FLAGS.format('novel_don')} AS donors, {_FLAGS.format('novel_acc')} AS acceptors FROM reads t LEFT JOIN nsite s ON s.ok = t.ok GROUP BY t.ok",
     "novel_junctions": _ctes("fx_exon", more=_classified()) + f"SELECT t.ok AS ord, {_FLAGS.format('novel')} AS flags FROM reads t LEFT JOIN njoint s ON s.ok = t.ok GROUP BY t.ok",
-    "full_length_levels": _ctes("fx_exon", more=_classified() + """, touched AS (
-  SELECT v.r, v.a, x1.ee = y1.ee AS l1, x2.es = y2.es AS r1, NOT (x1.es > y1.ee OR y1.es > x1.ee) AS l2, NOT (x2.es > y2.ee OR y2.es > x2.ee) AS r2,
-         EXISTS (SELECT 1 FROM ex y WHERE y.ok = v.a AND NOT (x1.es > y.ee OR y.es > x1.ee)) AS la, EXISTS (SELECT 1 FROM ex y WHERE y.ok = v.a AND NOT (x2.es > y.ee OR y.es > x2.ee)) AS ra
-  FROM seen v JOIN ex x1 ON x1.ok = v.r AND x1.j = 0 JOIN ex x2 ON x2.ok = v.r AND x2.j = v.n - 1 JOIN ex y1 ON y1.ok = v.a AND y1.j = 0 JOIN ex y2 ON y2.ok = v.a AND y2.j = v.m - 1
-), ended AS (
-  SELECT t.ok, coalesce(bool_or(l1), false) AS l1, coalesce(bool_or(r1), false) AS r1, coalesce(bool_or(l2), false) AS l2, coalesce(bool_or(r2), false) AS r2,
-         coalesce(bool_or(la), false) AS la, coalesce(bool_or(ra), false) AS ra
-  FROM reads t LEFT JOIN touched h ON h.r = t.ok GROUP BY t.ok
-)""") + "SELECT ok AS ord, l1 AND r1 AS full_1, l2 AND r2 AS full_2, (l2 OR NOT la) AND (r2 OR NOT ra) AS full_3, l2 OR NOT la AS full_4, true AS full_5 FROM ended",
+    "full_length_levels": _ctes("fx_exon", more=_ENDED) + "SELECT ok AS ord, l1 AND r1 AS full_1, l2 AND r2 AS full_2, (l2 OR NOT la) AND (r2 OR NOT ra) AS full_3, l2 OR NOT la AS full_4, true AS full_5 FROM ended",
+    "full_gate": _ctes("fx_exon", more=_ENDED) + """SELECT CAST(k AS INT) AS level, e.ok AS ord FROM ended e JOIN named n ON n.ok = e.ok CROSS JOIN (VALUES (1), (2), (3), (4)) levels(k)
+WHERE n.class = 'novel' AND CASE k WHEN 1 THEN l1 AND r1 WHEN 2 THEN l2 AND r2 WHEN 3 THEN (l2 OR NOT la) AND (r2 OR NOT ra) ELSE l2 OR NOT la END""",
+    "distance_support": _ctes("fx_exon", "fx_sj", more=_classified()) + """SELECT j.ok AS ord, CAST(j.j AS INT) AS place FROM njoint j JOIN reads t ON t.ok = j.ok
+WHERE j.novel AND NOT EXISTS (SELECT 1 FROM fx_sj q WHERE q.tid = t.tid AND abs(q.don - (j.d + 1)) <= 2 AND abs(q.acc - (j.c - 1)) <= 2 AND q.uniq_c >= 1)""",
+    "gtf_written": _ctes("fx_exon", more=_classified() + """, out_ AS (
+  SELECT a.ok, CAST(a.ok AS VARCHAR) AS trans_id, a.gene, a.tid, a.is_rev FROM anno a UNION ALL SELECT n.ok, 'r' || CAST(n.ok AS VARCHAR), n.gene, n.tid, n.is_rev FROM named n WHERE n.class = 'novel'
+)""") + """SELECT o.trans_id, CAST(any_value(o.gene) AS VARCHAR) AS gene_id, 'G' || CAST(any_value(o.gene) AS VARCHAR) AS gene_name, 'chr' || CAST(any_value(o.tid) + 1 AS VARCHAR) AS seqname,
+       any_value(o.is_rev) AS is_rev, string_agg(CAST(x.es AS VARCHAR), ',' ORDER BY x.j) AS starts, string_agg(CAST(x.ee AS VARCHAR), ',' ORDER BY x.j) AS ends
+FROM out_ o JOIN ex x ON x.ok = o.ok GROUP BY o.trans_id""",
+    "sam_filtered": _ctes("fx_exon", "fx_aln", more=_SCORED + _best("judged", 0)) + "SELECT CAST(qname AS VARCHAR) AS qname, tid, pos, score, CAST(second AS INT) AS second, CAST(n_introns AS INT) AS n_introns FROM best",
     "single_exon_match": _ctes("fx_exon", more=_PAIRS) + f"SELECT r AS ord, a AS rank, {_FRACTION} >= CAST(0.8 AS FLOAT) AS is_known FROM pairs p JOIN ex x ON x.ok = p.r JOIN ex y ON y.ok = p.a WHERE p.n = 1 AND p.m = 1",
     "junction_support": _ctes("fx_exon", "fx_sj", more=_classified()) + """SELECT j.ok AS ord, CAST(j.j AS INT) AS place, t.tid, j.d + 1 AS don, j.c - 1 AS acc,
        EXISTS (SELECT 1 FROM fx_sj q WHERE q.tid = t.tid AND q.don = j.d + 1 AND q.acc = j.c - 1 AND q.uniq_c >= 1) AS supported
@@ -238,7 +250,7 @@ UNION ALL SELECT t.ok, CAST(CASE WHEN t.is_rev THEN t.n - x.j ELSE x.j + 1 END A
     "union_annotation": _ctes("fx_exon", more=_classified()) + "SELECT ok AS ord, CAST(ok AS VARCHAR) AS trans_id, tid, CAST(n AS INT) AS n_exons, false AS is_new FROM anno UNION ALL SELECT ok, CAST(ok AS VARCHAR), tid, CAST(n AS INT), true FROM named WHERE class = 'novel'",
     "exon_union": _ctes("fx_exon", more="spans AS (SELECT tid, es AS s, ee AS e, ok FROM fx_exon), " + _ORDER.format("spans")) + "SELECT tid, island AS u_start, max(e) AS u_end, count(*) AS n FROM heads GROUP BY tid, island",
     "gene_extent": _ctes("fx_exon", more=_TR) + "SELECT CAST(gene AS VARCHAR) AS gene_id, tid, min(s) AS g_start, max(e) AS g_end, count(*) AS n_transcripts FROM anno GROUP BY gene, tid",
-    "intron_motif": _ctes("fx_exon", "fx_sj") + "SELECT tid, don, acc, CASE WHEN acc % 2 = 0 THEN 1 ELSE 0 END AS motif FROM fx_sj",
+    "intron_motif": _ctes("fx_exon", "fx_sj") + "SELECT tid, don, acc, CAST(CASE (don + acc) % 8 WHEN 6 THEN 0 WHEN 7 THEN 0 ELSE (don + acc) % 8 + 1 END AS INT) AS motif FROM fx_sj",
     "fusion_segments": _ctes("fx_aln", more=_WALK + """, sums AS (
   SELECT qname, rec, min(tid) AS tid, min(flag) AS flag, min(pos) AS pos, CAST(sum(CASE WHEN op IN ('M', 'I', 'S', 'H', '=', 'X') THEN len ELSE 0 END) AS INT) AS rlen,
          CAST(sum(CASE WHEN op IN ('M', 'D', 'N', '=', 'X') THEN len ELSE 0 END) AS INT) AS reflen, CAST(sum(CASE WHEN op IN ('M', 'I', '=', 'X') THEN len ELSE 0 END) AS INT) AS used,

@@ -12,10 +12,10 @@ from isoframe.functions import cigar, intervals
 from isoframe.operators import classify, evidence, fusion, junctions, merge, report, select, split
 from isoframe.operators.transcripts import from_alignments, shown, strand
 from isoframe.plans import update
-from isoframe.plans.cut import kept
+from isoframe.plans.cut import kept, new_path
 from isoframe.plans.fixtures import alignments, transcripts, view
 from isoframe.params import Params
-from isoframe.sources import gtf
+from isoframe.sources import gtf, sam
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,6 +271,46 @@ def gtf_lines(spark, sf_dir):
     return gtf.lines(rows, "src").select("ord", "row", "value")
 
 
+@query
+def gtf_written(spark, sf_dir):
+    """Annotation and novel transcripts, written as text and read back."""
+    named = F.concat(F.lit("chr"), F.col("tid") + 1)
+    annotation = transcripts(spark, sf_dir, "anno").withColumn("seqname", named).withColumn("gene_name", F.concat(F.lit("G"), "gene_id"))
+    novel = classify.classified(transcripts(spark, sf_dir, "read"), annotation).where("class = 'novel'").withColumn("trans_id", F.concat(F.lit("r"), "ord"))
+    path = new_path(spark, "gtf")
+    gtf.write(update.with_novel(annotation, novel), path, "src")
+    part = lambda name: shown(F.transform("exons", lambda x: x[name]))
+    return gtf.read(spark, path).select("trans_id", "gene_id", "gene_name", "seqname", "is_rev", part("start").alias("starts"), part("end").alias("ends"))
+
+
+@query
+def sam_filtered(spark, sf_dir):
+    """Alignments written as SAM with a header, read back and filtered."""
+    path = new_path(spark, "sam")
+    rows = alignments(spark, sf_dir).withColumn("ord", F.col("qname") * 1000 + F.col("rec")).withColumn("chrom", F.concat(F.lit("chr"), F.col("tid") + 1))
+    rows = rows.withColumn("qname", F.col("qname").cast("string")).withColumn("mapq", F.lit(60)).withColumn("as_score", F.lit(None).cast("int"))
+    contigs = spark.range(25).select(F.concat(F.lit("chr"), F.col("id") + 1).alias("name"), F.col("id").alias("tid"), F.lit(10**8).alias("length"))
+    sam.write(rows, contigs, path)
+    return select.filtered(sam.read(spark, path), STRICT).select("qname", "tid", "pos", "score", "second", "n_introns")
+
+
+@query
+def full_gate(spark, sf_dir):
+    """Novel transcripts that are accepted at each full-length level."""
+    out = None
+    for level in (1, 2, 3, 4):
+        reads = classify.classified(*_pair(spark, sf_dir), Params(full_level=level)).where("full AND class = 'novel'").select(F.lit(level).alias("level"), "ord")
+        out = reads if out is None else out.unionByName(reads)
+    return out
+
+
+@query
+def distance_support(spark, sf_dir):
+    """Novel junctions without a short-read junction within two bases."""
+    novel = evidence.novel_joints(classify.classified(*_pair(spark, sf_dir)))
+    return evidence.unsupported(novel, _sj(spark, sf_dir), Params(site_distance=2)).select("ord", "place")
+
+
 @query
 def union_annotation(spark, sf_dir):
     novel = _judged(spark, sf_dir).where("class = 'novel'")
@@ -293,7 +333,9 @@ def gene_extent(spark, sf_dir):
 @query
 def intron_motif(spark, sf_dir):
     """Motif number of introns of a made sequence."""
-    rows = view(spark, sf_dir, "fx_sj").select("tid", "don", "acc", F.concat(F.lit("gt"), F.repeat(F.lit("A"), (F.col("don") % 3).cast("int")), F.when(F.col("acc") % 2 == 0, "AG").otherwise("ac")).alias("s"))
+    ends = F.array(*map(F.lit, ["gtAG", "CTac", "GCAG", "ctgc", "ATAC", "GTAT", "GTAC", "NNAG"]))
+    made = F.element_at(ends, ((F.col("don") + F.col("acc")) % 8 + 1).cast("int"))
+    rows = view(spark, sf_dir, "fx_sj").select("tid", "don", "acc", F.concat(F.substring(made, 1, 2), F.repeat(F.lit("A"), (F.col("don") % 3).cast("int")), F.substring(made, 3, 2)).alias("s"))
     return rows.select("tid", "don", "acc", junctions.motif(F.col("s"), F.lit(1), F.length("s")).alias("motif"))
 
 
@@ -319,7 +361,7 @@ def fusion_pairs(spark, sf_dir):
 @query
 def fusion_greedy(spark, sf_dir):
     """Reads whose parts, taken greedily, make a fusion of two."""
-    return fusion.fusions(_segments(spark, sf_dir))
+    return fusion.fusions(_segments(spark, sf_dir)).drop("ords")
 
 
 @query

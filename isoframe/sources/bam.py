@@ -15,6 +15,8 @@ from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from isoframe.sources.gtf import FILE_SPAN
+
 SCHEMA = "file string, ord long, qname string, flag int, chrom string, tid int, pos int, mapq int, cigar string, l_qseq int, nm int, as_score int, nh int, xs string"
 #: Operations by code, and bytes of a tag's value by type.
 OPERATIONS = "MIDNSHP=XB"
@@ -22,8 +24,8 @@ WIDTHS = {"A": ("c", 1), "c": ("b", 1), "C": ("B", 1), "s": ("h", 2), "S": ("H",
 
 
 class File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, number: int):
+        self.path, self.first = path, number * FILE_SPAN
 
 
 def tags(raw: bytes) -> dict[str, object]:
@@ -57,9 +59,10 @@ def header(stream) -> list[tuple[str, int]]:
     return out
 
 
-def records(path: str) -> Iterator[tuple]:
+def records(path: str, first: int = 0) -> Iterator[tuple]:
+    """The records of a file, numbered from ``first`` on."""
     with gzip.open(path, "rb") as stream:
-        names, ord_ = [name for name, _ in header(stream)], 0
+        names, ord_ = [name for name, _ in header(stream)], first
         while size := stream.read(4):
             raw = stream.read(struct.unpack("<i", size)[0])
             tid, pos, l_name, mapq, _, n_cigar, flag, l_seq = struct.unpack_from("<iiBBHHHi", raw)
@@ -90,7 +93,7 @@ class BamReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         path = self.path
         found = glob.glob(os.path.join(path, "*.bam")) if os.path.isdir(path) else glob.glob(path)
-        return [File(x) for x in sorted(found)]
+        return [File(x, k) for k, x in enumerate(sorted(found))]
 
     def read(self, partition: File) -> Iterator[tuple]:
-        yield from records(partition.path)
+        yield from records(partition.path, partition.first)

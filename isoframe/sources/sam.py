@@ -23,21 +23,28 @@ def header(spark: SparkSession, path: str) -> DataFrame:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records of a SAM file or folder; absent tags are null."""
-    f = F.split("value", "\t")
+    fields = F.split("value", "\t")
+    # Lines of the header have fewer fields; conditions may be evaluated on them.
+    f = lambda i: F.get(fields, F.lit(i))
     tag = lambda name, kind: F.nullif(F.regexp_extract("value", f"\t{name}:{kind}:([^\t]*)", 1), F.lit(""))
     rows = numbered(spark, path).where(~F.col("value").startswith("@") & (F.length("value") > 0))
     rows = rows.select(
-        "file", "ord", f[0].alias("qname"), f[1].cast("int").alias("flag"), f[2].alias("chrom"), (f[3].cast("int") - 1).alias("pos"), f[4].cast("int").alias("mapq"), f[5].alias("cigar"),
-        F.when(f[9] == "*", 0).otherwise(F.length(f[9])).alias("l_qseq"), tag("NM", "i").cast("int").alias("nm"), tag("AS", "i").cast("int").alias("as_score"), tag("NH", "i").cast("int").alias("nh"), tag("XS", "A").alias("xs"),
+        "file", "ord", f(0).alias("qname"), f(1).try_cast("int").alias("flag"), f(2).alias("chrom"), (f(3).try_cast("int") - 1).alias("pos"), f(4).try_cast("int").alias("mapq"), f(5).alias("cigar"),
+        F.when(f(9) == "*", 0).otherwise(F.length(f(9))).alias("l_qseq"), tag("NM", "i").cast("int").alias("nm"), tag("AS", "i").cast("int").alias("as_score"), tag("NH", "i").cast("int").alias("nh"), tag("XS", "A").alias("xs"),
     )
     named = header(spark, path).select(F.col("name").alias("chrom"), "tid")
     return rows.join(named, "chrom", "left").select(*(c.split()[0] for c in RECORD.split(", ")))
 
 
-def write(records: DataFrame, contigs: DataFrame, path: str) -> None:
-    """Write records as SAM text without bases, in order, after their header."""
+def write(records: DataFrame, contigs: DataFrame, path: str, by_place: bool = False) -> None:
+    """Write records as SAM text without bases, after their header.
+
+    In order of ord, or ``by_place``: by contig and place, unmapped ones last.
+    """
     head = contigs.select(F.lit(0).alias("part"), F.col("tid").cast("long").alias("ord"), F.concat(F.lit("@SQ\tSN:"), "name", F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
     tags = [F.concat(F.lit(f"{name}:{kind}:"), F.col(c).cast("string")) for name, kind, c in (("NM", "i", "nm"), ("AS", "i", "as_score"), ("NH", "i", "nh"), ("XS", "A", "xs"))]
     fixed = ["qname", F.col("flag").cast("string"), "chrom", (F.col("pos") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.when(F.col("l_qseq") > 0, F.repeat(F.lit("N"), F.col("l_qseq"))).otherwise("*"), F.lit("*")]
-    body = records.select(F.lit(1).alias("part"), "ord", F.concat_ws("\t", *fixed, *tags).alias("value"))
-    head.unionByName(body).orderBy("part", "ord").select("value").write.text(path)
+    where = [F.when(F.col("tid") >= 0, F.col("tid")).otherwise(1 << 30).cast("int"), F.col("pos")] if by_place else [F.lit(0), F.lit(0)]
+    body = records.select(F.lit(1).alias("part"), where[0].alias("contig"), where[1].alias("at"), "ord", F.concat_ws("\t", *fixed, *tags).alias("value"))
+    head = head.select("part", F.lit(0).alias("contig"), F.lit(0).alias("at"), "ord", "value")
+    head.unionByName(body).orderBy("part", "contig", "at", "ord").select("value").write.text(path)

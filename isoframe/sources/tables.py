@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import fields
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ def read_junctions(spark: SparkSession, path: str, contigs: DataFrame | None = N
     lines = spark.read.text(path).where(F.trim("value") != "")
     f = F.split(F.trim("value"), r"\s+")
     names = [c.split() for c in JUNCTION.split(", ")]
-    rows = lines.select(*(f[i].cast(kind).alias(name) for i, (name, kind) in enumerate(names)))
+    rows = lines.select(*(F.get(f, F.lit(i)).cast(kind).alias(name) for i, (name, kind) in enumerate(names)))
     if contigs is None:
         return rows
     return rows.join(contigs.select(F.col("name").alias("chrom"), "tid"), "chrom", "left")
@@ -84,16 +86,47 @@ def manifest(text: str) -> dict[str, list[list[str]]]:
 
 
 def params_of(settings: dict) -> Params:
-    """Thresholds from the settings of a run, by their names there."""
-    names = {"aln_cov": "min_coverage", "iden_frac": "min_identity", "sec_rat": "max_second", "sup_cnt": "min_junction_count", "split_trans": "split", "full_level": "full_level"}
+    """Thresholds from the settings of a run: by their names there, or by ours."""
+    names = {"aln_cov": "min_coverage", "iden_frac": "min_identity", "sec_rat": "max_second", "sup_cnt": "min_junction_count", "split_trans": "split"}
+    names |= {f.name: f.name for f in fields(Params)}
     return Params(**{names[k]: v for k, v in settings.items() if k in names and v is not None})
 
 
+def read_settings(spark: SparkSession, path: str) -> dict[str, object]:
+    """Settings of a file of ``name: value`` lines, nested ones by their own
+    names; ``#`` begins a comment.  Numbers and truths become such."""
+    def value(text: str) -> object:
+        text = text.strip().strip("\"'")
+        if text.lower() in ("true", "false"):
+            return text.lower() == "true"
+        try:
+            return float(text) if "." in text or "e" in text.lower() else int(text)
+        except ValueError:
+            return text or None
+
+    # A file that people write.
+    lines = [r["value"].split(" #")[0] for r in spark.read.text(path).collect() if not r["value"].lstrip().startswith("#")]
+    pairs = [line.split(":", 1) for line in lines if ":" in line]
+    return {k.strip(): value(v) for k, v in pairs if v.strip()}
+
+
 def write_table(frame: DataFrame, path: str, order: list[str]) -> None:
     """Any result table as tab-separated text with a header, in order."""
     frame.orderBy(*order).write.csv(path, sep="\t", header=True)
 
 
+def write_fusions(fusions: DataFrame, contigs: DataFrame, path: str) -> None:
+    """Fusions, numbered by read name, one row each, with a header."""
+    names = lambda side: contigs.select(F.col("tid").alias(f"{side}_tid"), F.col("name").alias(f"{side}_chr"))
+    rows = fusions.join(names("left"), "left_tid").join(names("right"), "right_tid")
+    strand = lambda side: F.when(F.col(f"{side}_is_rev"), "-").otherwise("+")
+    heads = ["#fusion_id", "1st_chr", "1st_strand", "st_start_site", "1st_end_site", "2nd_chr", "2nd_strand", "2nd_start_site", "2nd_end_site"]
+    columns = ["qname"] + [c for side in ("left", "right") for c in (f"{side}_chr", strand(side), F.col(f"{side}_ref_start").cast("string"), F.col(f"{side}_ref_end").cast("string"))]
+    body = rows.select(F.lit(1).alias("part"), "qname", F.concat_ws("\t", *columns).alias("value"))
+    head = body.sparkSession.createDataFrame([(0, "", "\t".join(heads))], "part int, qname string, value string")
+    head.unionByName(body).orderBy("part", "qname").select("value").write.text(path)
+
+
 def write_bed(exons: DataFrame, contigs: DataFrame, path: str) -> None:
     """Novel exons (tid, start, end, kind, score, is_rev) as BED."""
     named = exons.join(contigs.select("tid", "name"), "tid")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from isoframe.operators import classify, evidence, fusion, merge, report, split
 from isoframe.operators.transcripts import extent
 from isoframe.params import Params
-from isoframe.plans import update
+from isoframe.plans import cut, update
+from isoframe.sources import gtf, sam
 
 T = "ord long, trans_id string, gene_id string, tid int, is_rev boolean, exons array<struct<start:int,end:int>>"
 A = [(100, 200), (300, 400), (500, 600), (700, 800)]
@@ -188,3 +190,79 @@ def test_workflow(spark):
     both = update.combined([out["updated"], out["updated"]], annotation).where("is_new").collect()
     assert [r.cov for r in both] == [3]
     assert report.gene_runs(annotation).head().runs == 1
+
+
+def test_fusion_at_the_limit(spark):
+    """Parts that cover 99 of 100 bases suffice, in 32-bit arithmetic."""
+    schema = "qname string, ord long, score int, ed int, tid int, is_rev boolean, rlen int, read_start int, read_end int, ref_start int, ref_end int"
+    rows = [("q", 0, 9, 0, 0, False, 1000, 1, 500, 1, 500), ("q", 1, 8, 0, 1, True, 1000, 501, 990, 7001, 7490), ("r", 2, 9, 0, 0, False, 1000, 1, 500, 1, 500), ("r", 3, 8, 0, 1, True, 1000, 501, 989, 7001, 7490)]
+    parts = spark.createDataFrame(rows, schema)
+    found = fusion.fusions(parts)
+    assert [(r.qname, r.left_tid, r.right_tid, r.ords) for r in found.collect()] == [("q", 0, 1, [0, 1])]
+    assert [r.ord for r in fusion.records(parts, found).orderBy("ord").collect()] == [0, 1]
+    assert [fusion.size(x) for x in ("0.0015k", "0.1234567M")] == [2, 123457]
+
+
+def test_split_pieces_merge_when_their_read_comes(spark):
+    """A piece that starts late goes before a read that starts after its read."""
+    late = [(500, 600), (700, 800), (900, 950)]
+    rows = [(0, 1, 500, 100, late), (1, 0, 300, 300, [(300, 400), *late]), (2, 0, 460, 460, late)]
+    pieces = [(o, p, 0, False, s, e[-1][1], 1, e, rs, e[-1][1]) for o, p, s, rs, e in rows]
+    schema = "ord long, piece int, tid int, is_rev boolean, start int, end int, cov int, exons array<struct<start:int,end:int>>, read_start int, read_end int"
+    got = {r.ord: (r.absorbed, r.cov) for r in merge.merged(spark.createDataFrame(pieces, schema)).collect()}
+    # The piece is first; the longer read is a part of the same chain, and so goes.
+    assert got == {0: (False, 2), 1: (True, 1), 2: (True, 1)}
+    plain = {r.ord: (r.absorbed, r.cov) for r in merge.merged(spark.createDataFrame(pieces, schema).drop("read_start", "read_end")).collect()}
+    assert plain == {1: (False, 1), 2: (True, 1), 0: (True, 1)}
+
+
+ANNO = """chr1\ts\ttranscript\t100\t800\t.\t+\t.\tgene_id "g1"; transcript_id "t1"; gene_name "G1";
+chr1\ts\texon\t100\t200\t.\t+\t.\tgene_id "g1"; transcript_id "t1"; gene_name "G1";
+chr1\ts\texon\t300\t400\t.\t+\t.\tgene_id "g1"; transcript_id "t1"; gene_name "G1";
+chr1\ts\texon\t500\t600\t.\t+\t.\tgene_id "g1"; transcript_id "t1"; gene_name "G1";
+chr1\ts\texon\t700\t800\t.\t+\t.\tgene_id "g1"; transcript_id "t1"; gene_name "G1";
+chr2\ts\ttranscript\t50000\t50400\t.\t-\t.\tgene_id "g2"; transcript_id "t2"; gene_name "G2";
+chr2\ts\texon\t50000\t50100\t.\t-\t.\tgene_id "g2"; transcript_id "t2"; gene_name "G2";
+chr2\ts\texon\t50300\t50400\t.\t-\t.\tgene_id "g2"; transcript_id "t2"; gene_name "G2";
+"""
+HEAD = "@HD\tVN:1.6\n@SQ\tSN:chr2\tLN:100000\n@SQ\tSN:chr1\tLN:100000\n"
+
+
+def test_files_to_a_written_annotation(spark, tmp_path):
+    """GTF and two SAM files with headers in, an updated GTF out."""
+    line = lambda name, flag, chrom, pos, cigar, n: f"{name}\t{flag}\t{chrom}\t{pos}\t60\t{cigar}\t*\t0\t0\t{'A' * n}\t*\tNM:i:0\n"
+    (tmp_path / "sam").mkdir()
+    (tmp_path / "anno.gtf").write_text(ANNO)
+    # The reads of both files have equal places in them, and one has an equal name.
+    (tmp_path / "sam/a.sam").write_text(HEAD + line("r1", 0, "chr1", 100, "101M119N81M99N101M99N101M", 384) + line("same", 0, "chr2", 90000, "100M", 100))
+    (tmp_path / "sam/b.sam").write_text(HEAD + line("far", 0, "chr1", 90000, "101M99N101M", 202) + line("same", 16, "chr2", 50000, "101M149N151M", 252))
+    contigs = sam.header(spark, str(tmp_path / "sam"))
+    assert [(r["name"], r.tid) for r in contigs.orderBy("tid").collect()] == [("chr2", 0), ("chr1", 1)]
+    annotation = gtf.read(spark, str(tmp_path / "anno.gtf"), contigs.select("name", "tid"))
+    records = sam.read(spark, str(tmp_path / "sam"))
+    assert records.select("ord").distinct().count() == 4
+    out = update.run(records, annotation)
+    got = {(r.trans_id, r.start): (r["class"], r.gene_id, r.gene_name, r.seqname) for r in out["reads"].collect()}
+    assert got == {
+        ("r1", 100): ("novel", "g1", "G1", "chr1"), ("same", 90000): ("unrecognized", None, None, "chr2"),
+        ("far", 90000): ("unrecognized", None, None, "chr1"), ("same", 50000): ("novel", "g2", "G2", "chr2"),
+    }
+    assert {(r.trans_id, r.seqname, r.gene_name) for r in out["detail"].collect()} == {("r1", "chr1", "G1"), ("same", "chr2", "NA"), ("far", "chr1", "NA"), ("same", "chr2", "G2")}
+    gtf.write(out["annotation"], str(tmp_path / "out"), "updated")
+    again = gtf.read(spark, str(tmp_path / "out"), contigs.select("name", "tid"))
+    key = lambda f: sorted((r.trans_id, r.gene_id, r.gene_name, r.seqname, r.tid, r.is_rev, r.start, r.end, str(r.exons)) for r in f.collect())
+    assert key(again) == key(out["annotation"]) and again.count() == 4
+    assert {(r.trans_id, r.gene_name, r.is_rev) for r in again.where("trans_id IN ('r1', 'same')").collect()} == {("r1", "G1", False), ("same", "G2", True)}
+    # Lines of one transcript stand together, old ones first.
+    texts = [r.value.split('transcript_id "')[1].split('"')[0] for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert [x for i, x in enumerate(texts) if not i or texts[i - 1] != x] == ["t1", "t2", "r1", "same"]
+    sam.write(records, contigs, str(tmp_path / "sorted"), by_place=True)
+    assert [(r.tid, r.pos) for r in sam.read(spark, str(tmp_path / "sorted")).orderBy("ord").collect()] == [(0, 49999), (0, 89999), (1, 99), (1, 89999)]
+
+
+def test_written_tables_are_forgotten(spark):
+    path = cut.new_path(spark, "x").rpartition("/")[0].removeprefix("file://")
+    cut.kept(spark.range(3), "three")
+    assert os.path.isdir(path)
+    cut.forget(spark)
+    assert not os.path.exists(path)

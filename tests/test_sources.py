@@ -5,6 +5,7 @@ import struct
 
 import pytest
 
+from isoframe.operators import select
 from isoframe.operators.transcripts import from_alignments
 from isoframe.sources import bam, gtf, sam, tables
 from isoframe.streaming import junctions as stream
@@ -83,6 +84,7 @@ def test_sam_and_bam_agree(spark, tmp_path):
         assert [r[name] for r in one] == [r[name] for r in two], name
     assert (one[0].tid, one[0].pos, one[0].chrom) == (two[0].tid, two[0].pos, two[0].chrom) == (1, 10, "c2")
     rows = sam.read(spark, str(tmp_path / "a.sam"))
+    assert select.filtered(rows).count() == 1
     assert [tuple(e) for e in from_alignments(rows).head().exons] == [(11, 15), (26, 30)]
     sam.write(rows.where("flag = 16"), sam.header(spark, str(tmp_path / "a.sam")), str(tmp_path / "out"))
     again = sam.read(spark, str(tmp_path / "out")).head()
@@ -106,6 +108,12 @@ def test_tables(spark, tmp_path):
     assert tables.replicates("a,b:c") == [["a", "b"], ["c"]]
     assert tables.manifest("2 # long\na.fa,b.fa\nc.fa\n1\nx_1.fa x_2.fa\n") == {"long": [["a.fa", "b.fa"], ["c.fa"]], "short": [["x_1.fa", "x_2.fa"]]}
     assert tables.params_of({"aln_cov": 0.5, "full_level": 3, "other": 1}).min_coverage == 0.5
+    (tmp_path / "config.yaml").write_text("# a run\ngenome:\n  fasta: x.fa\nfilter:\n  aln_cov: 0.5  # share\n  split_trans: true\n  sup_cnt: 2\nsite_distance: 3\n")
+    made = tables.params_of(tables.read_settings(spark, str(tmp_path / "config.yaml")))
+    assert (made.min_coverage, made.split, made.min_junction_count, made.site_distance) == (0.5, True, 2, 3)
+    found = spark.createDataFrame([("q", 0, True, 1, 2, 0, False, 3, 4)], "qname string, left_tid int, left_is_rev boolean, left_ref_start int, left_ref_end int, right_tid int, right_is_rev boolean, right_ref_start int, right_ref_end int")
+    tables.write_fusions(found, names, str(tmp_path / "fusions"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "fusions")).collect()] == ["#fusion_id\t1st_chr\t1st_strand\tst_start_site\t1st_end_site\t2nd_chr\t2nd_strand\t2nd_start_site\t2nd_end_site", "q\tc1\t-\t1\t2\tc1\t+\t3\t4"]
     exons = spark.createDataFrame([(0, 10, 20, "T", 3, True)], "tid int, start int, end int, kind string, score int, is_rev boolean")
     tables.write_bed(exons, names, str(tmp_path / "bed"))
     assert [r.value for r in spark.read.text(str(tmp_path / "bed")).collect()] == ["c1\t9\t20\tT_exon\t3\t-"]

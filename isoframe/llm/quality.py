@@ -14,12 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from isoframe.llm.textkit import U64, Texts, encoded, mix, runs, slices
+from isoframe.llm.textkit import U64, Texts, arrow_slices, code_points_before, mix, runs
 
 #: Labelled rows used at most: to fit the weights, and to calibrate them.
 FIT_ROWS, CALIBRATION_ROWS = 3000, 1500
@@ -82,15 +84,15 @@ def base_failed(n_words, n_repeat_words):
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MOST_REPEATED * n_words)
 
 
-def _grams(texts: Texts, strings: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _grams(texts: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     """Buckets of the n-grams of each kind, and the bounds of each text's."""
     shift = U64(64 - BITS)
     words = texts.words()
     pairs, at = runs(words, texts.doc, 2)
     out = [(words >> shift, texts.first), (pairs >> shift, np.searchsorted(at, texts.first))]
-    points = np.frombuffer("\n".join(strings).encode("utf-32-le"), np.uint32).astype(U64)
-    ends = np.cumsum([len(s) + 1 for s in strings]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
+    points = np.frombuffer(texts.buf.tobytes().decode().encode("utf-32-le"), np.uint32).astype(U64)
+    before = code_points_before(texts.buf)
+    starts, ends = before[texts.text_start], before[texts.text_end]
     for n in (3, 4):
         if len(points) >= n:
             h = points[: len(points) - n + 1].copy()
@@ -109,9 +111,9 @@ def _spans(bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return (bounds[:-1], bounds[1:]) if len(bounds) == n + 1 else (bounds[0::2], bounds[1::2])
 
 
-def _features(texts: Texts, strings: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _features(texts: Texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Sparse features of each text: shares of its n-grams, by kind."""
-    kinds = [(h.astype(np.int64), *_spans(b, texts.n)) for h, b in _grams(texts, strings)]
+    kinds = [(h.astype(np.int64), *_spans(b, texts.n)) for h, b in _grams(texts)]
     for i in range(texts.n):
         total = np.concatenate([h[lo[i] : hi[i]] for h, lo, hi in kinds])
         share = np.concatenate([np.full(hi[i] - lo[i], 1.0 / max(hi[i] - lo[i], 1)) for h, lo, hi in kinds])
@@ -119,11 +121,11 @@ def _features(texts: Texts, strings: list[str]) -> Iterator[tuple[np.ndarray, np
         yield where, np.bincount(back, share, len(where)) if len(where) else share
 
 
-def _margins(models: list[Model], texts: Texts, strings: list[str]) -> list[np.ndarray]:
+def _margins(models: list[Model], texts: Texts) -> list[np.ndarray]:
     """The margins of each model; the n-grams are taken once."""
     out = [np.full(texts.n, m.bias) for m in models]
     seen: list[list[np.ndarray]] = [[] for _ in models]
-    for h, bounds in _grams(texts, strings):
+    for h, bounds in _grams(texts):
         low, high = _spans(bounds, texts.n)
         low, high = np.minimum(low, len(h)), np.minimum(high, len(h))
         for margin, pairs, m in zip(out, seen, models, strict=True):
@@ -159,13 +161,20 @@ class Model:
     by_presence: bool = False
     toxic: Model | None = None
 
-    def margins(self, texts: Texts, strings: list[str]) -> np.ndarray:
-        return _margins([self], texts, strings)[0]
+    def margins(self, texts: Texts) -> np.ndarray:
+        return _margins([self], texts)[0]
 
-    def judged(self, texts: Texts, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def margins_of_rows(self, places: pa.ListArray, shares: pa.ListArray) -> np.ndarray:
+        """The margins of rows of features."""
+        one = self.weights[places.values.to_numpy()]
+        total = np.concatenate([[0.0], np.cumsum(one if self.by_presence else one * shares.values.to_numpy())])
+        ends = places.offsets.to_numpy()
+        return self.bias + total[ends[1:]] - total[ends[:-1]]
+
+    def judged(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of quality 1 and of toxic 1, and whether both pass."""
         models = [self] if self.toxic is None else [self, self.toxic]
-        good, *rest = (m.probabilities(x) for m, x in zip(models, _margins(models, texts, strings), strict=True))
+        good, *rest = (m.probabilities(x) for m, x in zip(models, _margins(models, texts), strict=True))
         toxic = rest[0] if rest else np.zeros(texts.n)
         return good, toxic, (good >= KEEP_AT) & (toxic < TOXIC_AT)
 
@@ -210,41 +219,62 @@ def _telling(known: DataFrame) -> np.ndarray:
     return np.sort(place[np.lexsort((place, -score))[:TELLING]].astype(np.int64))
 
 
+def _lists(batch: pa.RecordBatch) -> tuple[pa.ListArray, pa.ListArray]:
+    """The places and shares of a batch, with offsets from 0."""
+    return tuple(pa.concat_arrays([batch.column(name).cast(pa.list_(kind))]) for name, kind in (("places", pa.int32()), ("shares", pa.float64())))
+
+
+def _vectors(known: DataFrame, used: np.ndarray, by_presence: bool) -> DataFrame:
+    """label, fit, features: sparse vectors over the buckets used."""
+    number = np.full(2 << BITS, -1, np.int32)
+    number[used] = np.arange(len(used))
+    # Their size depends on BITS alone.
+    numbers, size = known.sparkSession.sparkContext.broadcast(number), len(used)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, shares = _lists(batch)
+            at, ends = numbers.value[places.values.to_numpy()], places.offsets.to_numpy()
+            if by_presence:
+                kept = np.concatenate([[0], np.cumsum(at >= 0)])
+                at, ends = at[at >= 0], kept[ends]
+                values = np.ones(len(at))
+            else:
+                values = shares.values.to_numpy()
+            ends = pa.array(ends, pa.int32())
+            n = batch.num_rows
+            sparse = [pa.array(np.zeros(n), pa.int8()), pa.array(np.full(n, size), pa.int32()), pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(values, pa.float64()))]
+            features = pa.StructArray.from_arrays(sparse, ["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("fit"), features], ["label", "fit", "features"])
+
+    schema = StructType([StructField("label", DoubleType()), StructField("fit", BooleanType()), StructField("features", VectorUDT())])
+    return known.select("label", "fit", "places", "shares").mapInArrow(vectors, schema)
+
+
 def _fitted(rows: DataFrame, label: str, by_presence: bool = False) -> Model | None:
     """The model of one label; None if a class has no row to fit or calibrate."""
     known = rows.where(F.col(label).isNotNull()).withColumnRenamed(label, "label")
     classes = {(r["fit"], r["label"]) for r in known.select("fit", "label").distinct().collect()}
     if len(classes) < 4:
         return None
-    if by_presence:
-        used = _telling(known)
-        number = np.full(2 << BITS, -1)
-        number[used] = np.arange(len(used))
-        # Their size depends on BITS alone.
-        numbers, size = rows.sparkSession.sparkContext.broadcast(number), len(used)
-
-        def present(places: list[int]):
-            found = np.sort((n := numbers.value[places])[n >= 0])
-            return Vectors.sparse(size, found, np.ones(len(found)))
-
-        known = known.withColumn("features", F.udf(present, VectorUDT())("places"))
-    else:
-        used = np.arange(2 << BITS)
-        known = known.withColumn("features", F.udf(lambda i, v: Vectors.sparse(2 << BITS, i, v), VectorUDT())("places", "shares"))
-    known = known.select("label", "fit", "features").persist()
+    used = _telling(known) if by_presence else np.arange(2 << BITS)
+    vectors = _vectors(known.where("fit"), used, by_presence).persist()
     try:
-        fitted = LogisticRegression(regParam=0.02, maxIter=60, standardization=True).fit(known.where("fit"))
-        model = Model(np.zeros(2 << BITS), float(fitted.intercept), by_presence=by_presence)
-        coefficients = np.asarray(fitted.coefficients.toArray())
-        model.weights[used] = coefficients
-        # At most FIT_ROWS + CALIBRATION_ROWS pairs of numbers.
-        shared = rows.sparkSession.sparkContext.broadcast(coefficients)
-        margin = F.udf(lambda v: float(shared.value[v.indices] @ v.values), "double")
-        pairs = np.array([tuple(r) for r in known.where("NOT fit").select(margin("features"), "label").collect()])
-        model.slope, model.offset = _platt(pairs[:, 0] + model.bias, pairs[:, 1])
-        return model
+        fitted = LogisticRegression(regParam=0.02, maxIter=60, standardization=True).fit(vectors)
     finally:
-        known.unpersist()
+        vectors.unpersist()
+    model = Model(np.zeros(2 << BITS), float(fitted.intercept), by_presence=by_presence)
+    model.weights[used] = np.asarray(fitted.coefficients.toArray())
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value.margins_of_rows(*_lists(batch))), batch.column("label")], ["margin", "label"])
+
+    # At most CALIBRATION_ROWS pairs of numbers.
+    pairs = np.array([tuple(r) for r in known.where("NOT fit").select("label", "places", "shares").mapInArrow(margins, "margin double, label double").collect()])
+    model.slope, model.offset = _platt(pairs[:, 0], pairs[:, 1])
+    return model
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -264,16 +294,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     # ``chosen`` has at most ``total`` narrow rows.
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select(F.col("label").alias("quality"), "toxic", share.alias("fit"), "text")
 
-    def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            strings, rows = [t or "" for t in batch.text], []
-            raw = encoded(strings)
-            for a, b in slices(raw):
-                rows += _features(Texts(raw[a:b]), strings[a:b])
-            yield pd.DataFrame({"quality": batch.quality, "toxic": batch.toxic, "fit": batch.fit, "places": [r[0] for r in rows], "shares": [r[1] for r in rows]})
-
-    rows = texts.mapInPandas(sparse, "quality double, toxic double, fit boolean, places array<int>, shares array<double>")
-    rows = rows.withColumn("toxic", F.nanvl("toxic", F.lit(None).cast("double")))
+            for a, b, raw in arrow_slices(batch.column("text")):
+                found = list(_features(Texts(raw)))
+                ends = pa.array(np.cumsum([0, *(len(where) for where, _ in found)]), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), kind)) for x, kind in zip(zip(*found, strict=True), (pa.int32(), pa.float64()), strict=True)]
+                labels = [batch.column(name).slice(a, b - a) for name in ("quality", "toxic", "fit")]
+                yield pa.RecordBatch.from_arrays([*labels, *lists], ["quality", "toxic", "fit", "places", "shares"])
+
+    rows = texts.mapInArrow(sparse, "quality double, toxic double, fit boolean, places array<int>, shares array<double>")
     # A bounded sample: few partitions, whatever the table has, keep each
     # iteration's sums of weights few.
     rows = rows.repartition(PARTITIONS).persist()
@@ -294,36 +324,37 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     # Its size depends on BITS alone.
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            strings = [t or "" for t in batch.text]
-            raw = encoded(strings)
-            for a, b in slices(raw):
-                texts = Texts(raw[a:b])
+            for a, b, raw in arrow_slices(batch.column("text")):
+                texts = Texts(raw)
                 out = signals(texts)
-                out.insert(0, "doc_id", batch.doc_id.iloc[a:b].astype("Int64").to_numpy())
-                out["base_failed"] = base_failed(out.n_words, out.n_repeat_words)
-                out["probability"], out["toxicity"], passed = shared.value.judged(texts, strings[a:b])
-                out["kept"] = ~out.base_failed & passed
-                yield out
+                failed = base_failed(out.n_words, out.n_repeat_words).to_numpy()
+                good, toxic, passed = shared.value.judged(texts)
+                more = {"base_failed": failed, "probability": good, "toxicity": toxic, "kept": ~failed & passed}
+                columns = [batch.column("doc_id").slice(a, b - a), *(pa.array(out[c].to_numpy(), pa.int64()) for c in SIGNALS), *map(pa.array, more.values())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", *SIGNALS, *more])
 
     columns = "doc_id long, " + ", ".join(f"{c} long" for c in SIGNALS) + ", base_failed boolean, probability double, toxicity double, kept boolean"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(score, columns)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, columns)
 
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of ``docs`` that pass, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """Rows of ``docs`` that pass, with all their columns, whatever their names.
+
+    A null or empty text has no words and goes; repeated rows go or stay
+    together, and a null doc_id doesn't matter.  An empty table stays empty.
+    """
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
-    @F.pandas_udf("boolean")
-    def passes(texts: pd.Series) -> pd.Series:
-        strings = [t or "" for t in texts]
-        raw, out = encoded(strings), []
-        for a, b in slices(raw):
-            part = Texts(raw[a:b])
-            counts = signals(part)
-            passed = shared.value.judged(part, strings[a:b])[2]
-            out.append(~base_failed(counts.n_words, counts.n_repeat_words).to_numpy() & passed)
-        return pd.Series(np.concatenate(out) if out else [], dtype=bool)
-
-    return docs.where(passes(F.col("text").cast("string")))
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, raw in arrow_slices(batch.column(at)):
+                texts = Texts(raw)
+                counts = signals(texts)
+                passed = shared.value.judged(texts)[2] & ~base_failed(counts.n_words, counts.n_repeat_words).to_numpy()
+                yield batch.slice(a, b - a).filter(pa.array(passed))
+
+    # By place, so that no name can clash.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))).withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
+    return plain.mapInArrow(passing, plain.schema).toDF(*docs.columns)

@@ -1,38 +1,8 @@
-"""Written tables that cut lineage, in the folder shared by the cluster."""
+"""Written tables that cut lineage; see ``isoframe.plans.cut``."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from isoframe.plans.cut import kept as written
+from isoframe.plans.cut import new_path
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
-
-    Only where the session names none (local tests) is a temporary folder
-    made and set, so that later calls find the same one.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="isoframe-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again.
-
-    A lost executor costs only the tasks it ran: the table stays.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["new_path", "written"]

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import time
 import zlib
 from collections import Counter as Tally
 
@@ -49,19 +51,29 @@ def test_pretokens_are_the_librarys():
         assert split(text) == theirs, hex(low)
 
 
+def sound(node):
+    """Sums are those below, and heights differ by one at most."""
+    if node is None or node.left is None:
+        return True
+    a, b = node.left, node.right
+    sums = (a.size + b.size, a.chars + b.chars, a.tokens + b.tokens)
+    return abs(a.height - b.height) <= 1 and node.height == max(a.height, b.height) + 1 and sums == (node.size, node.chars, node.tokens) and sound(a) and sound(b)
+
+
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list(" \n\tab'sé1!.")), max_size=40), st.lists(st.tuples(st.integers(-2, 45), st.integers(-2, 45), st.text(alphabet=st.sampled_from(list(" \nab's1!")), max_size=6)), max_size=5), st.sampled_from([2, 3, 128]))
-def test_edited_counts_match_full_encoding(text, edits, node):
-    token_counts.NODE, old = node, token_counts.NODE
+@given(st.text(alphabet=st.sampled_from(list(" \n\tab'sé1!.")), max_size=40), st.lists(st.tuples(st.integers(-2, 45), st.integers(-2, 45), st.text(alphabet=st.sampled_from(list(" \nab's1!")), max_size=6)), max_size=5), st.sampled_from([2, 3, 64]))
+def test_edited_counts_match_full_encoding(text, edits, leaf):
+    token_counts.LEAF, old = leaf, token_counts.LEAF
     try:
         kept = token_counts.CountedText(text, token_counts.counter(vocabulary()))
         assert kept.n_tokens == len(plain_ids(text))
         for e in edits:
             kept.edit(*e)
             assert kept.n_tokens == len(plain_ids(kept.text))
-            assert sum(kept.chars) == len(kept.text)
+            assert kept.n_chars == len(kept.text) and kept.n_pretokens == len(kept.by.split(kept.text))
+            assert sound(kept.root)
     finally:
-        token_counts.NODE = old
+        token_counts.LEAF = old
 
 
 def test_edit_touches_its_region_only():
@@ -71,6 +83,23 @@ def test_edit_touches_its_region_only():
     assert kept.n_tokens == len(plain_ids(kept.text))
 
 
+def test_an_edit_visits_a_logarithm_of_the_nodes():
+    by, rng = token_counts.counter(vocabulary()), random.Random(3)
+    visited = []
+    for n in (10_000, 1_000_000):
+        kept = token_counts.CountedText("word or two " * (n // 3), by)
+        for _ in range(200):
+            at = rng.randrange(kept.n_chars)
+            kept.edit(at, at + rng.randrange(20), rng.choice(["", " and", "x\n"]))
+        assert sound(kept.root) and kept.root.height < 1.45 * np.log2(kept.n_pretokens)
+        blocks = list(map(len, kept._blocks(kept.root)))
+        assert max(blocks) <= token_counts.LEAF and np.mean(blocks) > token_counts.LEAF / 3
+        visited.append(kept.visited / 200)
+    assert kept.n_tokens == len(plain_ids(kept.text))
+    # A hundred times the text, twice the path and a little more.
+    assert visited[1] < 2.5 * visited[0] and visited[1] < 150
+
+
 def test_edited_counts_query(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3]), (None, "a b"), (99, None)]
     out = token_counts.edited_counts(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary()).collect()
@@ -79,7 +108,7 @@ def test_edited_counts_query(spark):
     for doc_id, text in rows:
         text = text or ""
         before = len(plain_ids(text))
-        for a, b, new in token_counts.sample_edits(doc_id, text):
+        for a, b, new in token_counts.sample_edits(doc_id, len(text)):
             b = min(max(b, a), len(text))
             text = text[:a] + new + text[b:]
         want[doc_id] = (before, len(plain_ids(text)))
@@ -131,13 +160,41 @@ def test_plan_is_whole_and_near_the_least(counts):
         if fit is not None:
             gaps.remove(fit)
         gaps.append((24 if fit is None else fit) - x)
-    assert -(-total // 24) <= sequences <= max(len(gaps) * 1.25, len(gaps) + 1)
+    assert -(-total // 24) <= sequences <= len(gaps)
     used = Tally()
     for length, low, _, _ in slots.tolist():
         assert low == used[length] or low <= counts[length]
         used[length] += 1
 
 
+def brute_complement(left, gap, most=3):
+    """Whether up to three available lengths sum to a gap."""
+    if gap == 0:
+        return True
+    return most > 0 and any(n and brute_complement({**left, x: n - 1}, gap - x, most - 1) for x, n in left.items() if x <= gap)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 23), st.integers(1, 3), min_size=1, max_size=7))
+def test_no_exact_combination_is_left(counts):
+    plan = packing._Plan(counts, 24)
+    packing._exact(plan)
+    for length, n in plan.left.items():
+        assert not n or not brute_complement({**plan.left, length: n - 1}, 24 - length)
+
+
+def test_plan_of_all_lengths_is_quick():
+    rng = np.random.default_rng(4)
+    for counts in ({x: int(n) for x, n in zip(range(1, 2049), rng.integers(1, 5000, 2048))}, {x: 1 for x in range(1, 2049)}, {x: 1 + x % 3 for x in range(900, 2049)}):
+        began = time.process_time()
+        slots, sequences = packing.plan_slots(counts)
+        assert time.process_time() - began < 2
+        placed = Tally()
+        for (length, low, _, _), after in zip(slots.tolist(), [*slots.tolist()[1:], [0, 0, 0, 0]]):
+            placed[length] += (after[1] if after[0] == length else counts[length]) - low
+        assert placed == counts and sequences >= sum(k * v for k, v in counts.items()) / 2048
+
+
 def test_token_output_round_trip(spark):
     rows, docs = documents(spark)
     path = new_path(spark, "ids")

@@ -2,6 +2,13 @@
 
 Each stage takes the documents that the one before it kept, written as Parquet
 and read again.  All but the last return the columns of ``documents``.
+
+Rows with odd values: a null or empty text has too few words and goes in the
+first stage; should a later stage meet one, it keeps it as it is.  A row without
+a doc_id is judged for its text by the first and the fourth stage and otherwise
+kept, as nothing can be said of its order.  Rows of equal doc_id go or stay by
+their own texts, but near-duplicates take them for one document.  Columns of
+any other names are carried along; an empty table stays empty.
 """
 
 from __future__ import annotations

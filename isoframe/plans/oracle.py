@@ -146,6 +146,26 @@ _RANKED = """ranked AS (
   FROM rated
 )"""
 
+#: Parts taken greedily, one rank after another; ``x`` is the candidate.
+_GREEDY = """parts AS (
+  SELECT qname, row_number() OVER (PARTITION BY qname ORDER BY score DESC, ed, rec) AS k,
+         {'s': read_start, 'e': read_end, 't': tid, 'v': is_rev = 1, 'f': ref_start, 'l': ref_end} AS x
+  FROM fx_seg
+), walk AS (
+  SELECT qname, k, [x] AS taken, false AS done FROM parts WHERE k = 1
+  UNION ALL
+  SELECT qname, k, taken, done OR (fits AND CAST(len(list_distinct(flatten(list_transform(taken, lambda a: range(a.s, a.e + 1))))) / 1000 AS FLOAT) >= CAST(0.99 AS FLOAT))
+  FROM (SELECT qname, k, fits, done, CASE WHEN fits THEN list_append(before, x) ELSE before END AS taken
+        FROM (SELECT p.qname, p.k, p.x, w.taken AS before, w.done,
+                     NOT w.done AND (p.x.e - p.x.s + 1) / 1000 >= CAST(0.1 AS FLOAT) AND len(list_filter(w.taken, lambda a:
+                       (NOT (a.s > p.x.e OR p.x.s > a.e) AND CAST((a.e - p.x.s + 1) / (least(a.e - a.s, p.x.e - p.x.s) + 1) AS FLOAT) > CAST(0.1 AS FLOAT))
+                       OR (a.t = p.x.t AND greatest(a.f - p.x.l, p.x.f - a.l) < 100000))) = 0 AS fits
+              FROM walk w JOIN parts p ON p.qname = w.qname AND p.k = w.k + 1) a) b
+), ended AS (
+  SELECT qname, CASE WHEN taken[1].s >= taken[2].s THEN taken[2] ELSE taken[1] END AS a, CASE WHEN taken[1].s >= taken[2].s THEN taken[1] ELSE taken[2] END AS b
+  FROM walk w WHERE done AND len(taken) = 2 AND k = (SELECT max(k) FROM parts p WHERE p.qname = w.qname)
+)"""
+
 _ENDED = _classified() + """, touched AS (
   SELECT v.r, v.a, x1.ee = y1.ee AS l1, x2.es = y2.es AS r1, NOT (x1.es > y1.ee OR y1.es > x1.ee) AS l2, NOT (x2.es > y2.ee OR y2.es > x2.ee) AS r2,
          EXISTS (SELECT 1 FROM ex y WHERE y.ok = v.a AND NOT (x1.es > y.ee OR y.es > x1.ee)) AS la, EXISTS (SELECT 1 FROM ex y WHERE y.ok = v.a AND NOT (x2.es > y.ee OR y.es > x2.ee)) AS ra
@@ -261,4 +281,6 @@ UNION ALL SELECT t.ok, CAST(CASE WHEN t.is_rev THEN t.n - x.j ELSE x.j + 1 END A
        s.pos + 1 AS ref_start, s.pos + reflen AS ref_end
 FROM sums s JOIN fx_aln q ON q.qname = s.qname AND q.rec = s.rec WHERE (s.flag & 4) = 0""",
     "fusion_pairs": _ctes("fx_seg", more=_RANKED) + "SELECT qname, first_ord, apart, apart_fixed, apart AND NOT close_by AS fits FROM fitted",
+    "fusion_greedy": _ctes("fx_seg", more=_GREEDY).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT qname, a.t AS left_tid, a.v AS left_is_rev, a.f AS left_ref_start, a.l AS left_ref_end,
+       b.t AS right_tid, b.v AS right_is_rev, b.f AS right_ref_start, b.l AS right_ref_end FROM ended""",
 }

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from isoframe.llm.components import components
 from isoframe.llm.scratch import written
+from isoframe.llm.skew import dealt_join
 from isoframe.llm.textkit import U64, Texts, encoded, shingle_sets, slices
 
 COLLECTIONS, ROWS = 14, 2
@@ -172,9 +173,10 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     """
     signed = written(signatures(docs, k), "signatures")
     full = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = written(full.groupBy("n_shingles", "sum_1", "sum_2").agg(F.min("doc_id").alias("doc")), "classes")
-    members = written(full.select("doc_id", "n_shingles", "sum_1", "sum_2").join(classes, ["n_shingles", "sum_1", "sum_2"]).select(F.col("doc_id").alias("a"), F.col("doc").alias("b")), "members")
-    leaders = full.join(members.where("a = b").select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    same = ["n_shingles", "sum_1", "sum_2"]
+    classes = written(full.groupBy(*same).agg(F.min("doc_id").alias("doc")), "classes")
+    members = written(dealt_join(full.select("doc_id", *same), classes, same).select("doc_id", "doc").distinct(), "members")
+    leaders = full.join(members.where("doc_id = doc").select("doc_id").distinct(), "doc_id", "left_semi")
     keys = _keys(leaders)
     pivots = F.array(F.min("doc"), F.max("doc"), F.min_by("doc", F.xxhash64("doc"))).alias("pivots")
     buckets = written(keys.groupBy("key").agg(F.count("*").alias("n"), pivots).where("n > 1").drop("n"), "buckets")
@@ -186,8 +188,13 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     pairs = pairs.select(F.least("doc", "pivot").alias("doc"), F.greatest("doc", "pivot").alias("pivot")).distinct()
     stars = written(_star_links(pairs, texts, k), "star-links")
     more = _block_links(keys.select("key", "doc"), components(stars), texts, k)
-    links = stars.union(more).union(members)
-    found = components(links).select(F.col("node").alias("doc_id"), "component")
-    out = signed.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+    # A document that several rows have belongs to all their classes.
+    several = members.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("doc").alias("least"), F.collect_set("doc").alias("docs")).where("n > 1")
+    tied = several.select(F.explode("docs").alias("a"), F.col("least").alias("b"))
+    found = components(stars.union(written(more, "block-links")).union(tied))
+    # Classes first, then the documents of each.
+    of_class = classes.select("doc").distinct().join(found, F.col("doc") == F.col("node"), "left").select("doc", F.coalesce("component", "doc").alias("component"))
+    of_doc = dealt_join(members, of_class, ["doc"]).groupBy("doc_id").agg(F.min("component").alias("component"))
+    out = signed.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -1,9 +1,10 @@
 """Chat formatting in budgeted windows (operator 5), in DataFrame functions only.
 
-Prefix sums of turn tokens choose spans of whole turns.  Each window begins
-with the conversation's system turn, repeats a limited history, and goes on
-with the turns that are new in it.  The loss mask covers the texts of new
-assistant turns; what a window repeats is masked.
+Running sums of turn tokens choose spans of whole turns: a window takes turns
+as long as they fit its budget.  It begins with the conversation's system turn,
+repeats a limited history, and goes on with the turns that are new in it, all
+within one budget.  The loss mask covers the texts of new assistant turns; what
+a window repeats is masked.
 
 A turn is ``<s>role`` line end ``text</s>`` line end.  Within roles and texts
 a backslash is doubled and each ``<`` and ``[`` is followed by one, so no
@@ -18,8 +19,6 @@ from pyspark.sql import functions as F
 
 #: Tokens of a window, of the history that it repeats, and of a turn's marks.
 BUDGET, HISTORY, MARKS = 1024, 256, 4
-#: The least span of new turns, whatever the system turn takes.
-LEAST_SPAN = 128
 #: What counts as a token: a word of ASCII letters and digits, or another
 #: character that isn't white space.
 TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\x09-\x0D\x20]"
@@ -37,14 +36,34 @@ def unescaped(text: Column) -> Column:
     return text
 
 
+def _opening(turn: DataFrame) -> DataFrame:
+    """conv_id, pos, opens: the turns that begin windows.
+
+    ``used`` is what the open window holds: what it repeats, and its new turns.
+    A conversation's numbers are folded in one row, of a few bytes a turn.
+    """
+    def step(s: Column, x: Column) -> Column:
+        more = s["used"] + x["tokens"]
+        same = F.struct(s["starts"].alias("starts"), more.alias("used"))
+        opened = F.struct(F.concat(s["starts"], F.array(x["pos"])).alias("starts"), (x["base"] + x["tokens"]).alias("used"))
+        return F.when(more <= BUDGET, same).otherwise(opened)
+
+    none = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(BUDGET + 1).cast("long").alias("used"))
+    sizes = F.struct("pos", F.col("tokens").cast("long").alias("tokens"), F.col("base").cast("long").alias("base"))
+    folded = turn.groupBy("conv_id").agg(F.sort_array(F.collect_list(sizes)).alias("x")).select("conv_id", F.aggregate("x", none, step)["starts"].alias("starts"))
+    return folded.select("conv_id", F.explode("starts").alias("pos"), F.lit(True).alias("opens"))
+
+
 def windows(turns: DataFrame) -> DataFrame:
     """conv_id, window, formatted, n_repeated, loss_spans, n_tokens.
 
     ``n_repeated`` turns at the front of a window stand in an earlier one, too.
     ``loss_spans`` are (start, end) code points of ``formatted``.  Turns are
     ordered by turn, then role and text; null texts and roles are empty, null
-    conversations are one.  A turn of over half a span has a window of its own,
-    and may exceed the budget, as turns are not cut.  Other columns are ignored.
+    conversations are one.  History gives way first where the budget is short,
+    then the repeated system turn where it can't stand beside the first new
+    one.  Only a turn that alone exceeds the budget makes a window beyond it, as
+    turns are not cut; it stands alone there.  Other columns are ignored.
     """
     plain = turns.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     body = escaped(F.col("text"))
@@ -57,36 +76,42 @@ def windows(turns: DataFrame) -> DataFrame:
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     turn = turn.withColumn("pos", F.row_number().over(order)).withColumn("is_head", (F.col("pos") == 1) & (F.col("role") == "system"))
     turn = turn.withColumn("head", F.first(F.when(F.col("is_head"), F.struct("seg", "tokens"))).over(order))
-    turn = turn.withColumn("half", F.greatest(F.lit(LEAST_SPAN), F.lit(BUDGET - HISTORY) - F.coalesce("head.tokens", F.lit(0))) / 2)
-    new_tokens = F.when(F.col("is_head"), 0).otherwise(F.col("tokens"))
-    turn = turn.withColumn("prefix", F.coalesce(F.sum(new_tokens).over(before), F.lit(0))).withColumn("chars", F.coalesce(F.sum(F.char_length("seg")).over(before), F.lit(0)))
-    turn = turn.withColumn("cell", F.floor(F.col("prefix") / F.col("half"))).withColumn("long", F.col("tokens") > F.col("half"))
+    turn = turn.withColumn("chars", F.coalesce(F.sum(F.char_length("seg")).over(before), F.lit(0)))
     past = lambda k: F.when(~F.lag("is_head", k).over(order), F.lag(F.struct("seg", "tokens"), k).over(order))
-    breaks = F.lag("is_head").over(order) | F.col("long") | F.lag("long").over(order) | (F.col("cell") != F.lag("cell").over(order))
-    turn = turn.withColumn("breaks", F.when(F.col("pos") == 1, False).otherwise(breaks)).withColumn("last", past(1)).withColumn("last_2", past(2))
-    # The system turn and the first after it share a window.
-    opens = F.col("breaks") & ~F.coalesce(F.lag("is_head").over(order), F.lit(False))
-    turn = turn.withColumn("window", F.sum(opens.cast("long")).over(order))
+    turn = turn.withColumn("last", past(1)).withColumn("last_2", past(2))
+    # What a window that begins here repeats.
+    base, history = F.lit(0), F.lit(0)
+    for name in ("head", "last", "last_2"):
+        size = F.col(f"{name}.tokens")
+        fits = base + size + F.col("tokens") <= BUDGET
+        if name != "head":
+            fits &= history + size <= HISTORY
+        use = (F.col("pos") > 1) & F.coalesce(fits, F.lit(False))
+        if name == "last_2":
+            use &= F.col("use_last")
+        turn = turn.withColumn(f"use_{name}", use)
+        taken = F.when(F.col(f"use_{name}"), size).otherwise(0)
+        base, history = base + taken, history + (0 if name == "head" else taken)
+    turn = turn.withColumn("base", base)
+    # A mark before each turn that opens a window; counted, they number it.
+    marked = turn.withColumn("opens", F.lit(False)).unionByName(_opening(turn.select("conv_id", "pos", "tokens", "base")), allowMissingColumns=True)
+    by_place = Window.partitionBy("conv_id").orderBy("pos", F.col("opens").desc())
+    turn = marked.withColumn("window", F.sum(F.col("opens").cast("long")).over(by_place) - 1).where("NOT opens")
+    names = ("head", "last_2", "last")
     one = turn.groupBy("conv_id", "window").agg(
         F.sort_array(F.collect_list(F.struct("pos", "seg", "chars", "skip", "body_len", "role"))).alias("new"),
-        F.sum("tokens").alias("tokens"), F.min_by(F.struct("head", "last", "last_2"), "pos").alias("at"),
+        F.sum("tokens").alias("tokens"), F.min_by(F.struct("base", *names, *(f"use_{n}" for n in names)), "pos").alias("at"),
     )
-    later = F.col("window") > 0
-    use_1 = later & F.coalesce(F.col("at.last.tokens") <= HISTORY, F.lit(False))
-    use_2 = use_1 & F.coalesce(F.col("at.last.tokens") + F.col("at.last_2.tokens") <= HISTORY, F.lit(False))
-    use_head = later & F.col("at.head").isNotNull()
-    parts = (("head", use_head), ("last_2", use_2), ("last", use_1))
-    repeated = F.concat(*(F.when(use, F.col(f"at.{name}.seg")).otherwise("") for name, use in parts))
-    one = one.withColumn("repeated", repeated).withColumn("n_repeated", sum((use.cast("int") for _, use in parts), F.lit(0)))
+    repeated = F.concat(*(F.when(F.col(f"at.use_{n}"), F.col(f"at.{n}.seg")).otherwise("") for n in names))
+    one = one.withColumn("repeated", repeated).withColumn("n_repeated", sum((F.col(f"at.use_{n}").cast("int") for n in names), F.lit(0)))
     one = one.withColumn("shift", F.char_length("repeated") - F.col("new")[0]["chars"])
     spans = F.transform(
         F.filter("new", lambda t: t["role"] == "assistant"),
         lambda t: F.struct((t["chars"] + t["skip"] + F.col("shift")).alias("start"), (t["chars"] + t["skip"] + t["body_len"] + F.col("shift")).alias("end")),
     )
-    extra = sum((F.when(use, F.col(f"at.{name}.tokens")).otherwise(0) for name, use in parts), F.lit(0))
     return one.select(
         "conv_id", "window", F.concat("repeated", F.array_join(F.transform("new", lambda t: t["seg"]), "")).alias("formatted"),
-        "n_repeated", spans.alias("loss_spans"), (F.col("tokens") + extra).alias("n_tokens"),
+        "n_repeated", spans.alias("loss_spans"), (F.col("tokens") + F.col("at.base")).alias("n_tokens"),
     )
 
 

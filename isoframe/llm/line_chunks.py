@@ -1,9 +1,11 @@
 """Removal of repeated line chunks (operator 2), in DataFrame functions only.
 
-A rolling hash over the hashes of three lines in a row ends a chunk after a
-line, so a chunk's bounds depend on its own lines and lines put in or left out
-elsewhere don't shift them.  Chunks of two lines or more that occur again are
-removed after their bytes are compared; the first by (doc_id, place) stays.
+A rolling hash over the hashes of two lines in a row ends a chunk where it is
+less than on the line before and not more than on the line after, so a chunk's
+bounds depend on its own lines and lines put in or left out elsewhere don't
+shift them.  Chunks have two lines at least, where the text has, and three on
+average.  Those that occur again are removed after their bytes are compared; the
+first by (doc_id, place) stays.
 
 Chunks live in one string per text: each line is led by a space, lines of a
 chunk are joined by one line end and chunks by two.  A line holds no line end,
@@ -16,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isoframe.llm.scratch import written
+from isoframe.llm.skew import dealt_join
 
-#: One line in DIVISOR ends a chunk, on average.
-DIVISOR = 4
+#: Values of the rolling hash, and the weights of a line and the one before.
+VALUES, WEIGHTS = 1_000_003, (7, 3)
 
 
 def _with(value: Column, use) -> Column:
@@ -32,13 +35,17 @@ def chunks(text: Column) -> Column:
     line_hash = lambda line: F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
 
     def joined(lines: Column) -> Column:
-        def cut(h: Column) -> Column:
-            at = lambda i: F.coalesce(F.get(h, i), F.lit(0))
-            ends = lambda i: (7 * at(i) + 3 * at(i - 1) + at(i - 2)) % DIVISOR == 0
+        def cut(r: Column) -> Column:
+            # Null beyond the text, so that its first line ends no chunk.
+            ends = lambda i: (F.get(r, i) < F.get(r, i - 1)) & (F.get(r, i) <= F.get(r, i + 1))
             between = lambda i: F.when(i == 0, "").when(ends(i - 1), "\n\n").otherwise("\n")
             return F.array_join(F.transform(lines, lambda line, i: F.concat(between(i), F.lit(" "), line)), "")
 
-        return _with(F.transform(lines, line_hash), cut)
+        def rolled(h: Column) -> Column:
+            roll = lambda x, i: (WEIGHTS[0] * x + WEIGHTS[1] * F.coalesce(F.get(h, i - 1), F.lit(0))) % VALUES
+            return _with(F.transform(h, roll), cut)
+
+        return _with(F.transform(lines, line_hash), rolled)
 
     return F.split(_with(lines, joined), "\n\n")
 
@@ -53,10 +60,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     long = all_chunks.where(F.instr("chunk", "\n") > 0).withColumn("hash", F.xxhash64("chunk"))
     where = F.struct("doc_id", "place")
     twice = long.groupBy("hash").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").select("hash")
-    candidates = written(long.join(twice, "hash", "left_semi"), "chunks")
+    candidates = written(dealt_join(written(long, "chunks"), twice, ["hash"], "left_semi"), "candidates")
     firsts = candidates.groupBy("hash", "chunk").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
     # Equal chunks, byte for byte.
-    same = candidates.join(written(firsts, "first-chunks"), ["hash", "chunk"])
+    same = dealt_join(candidates, written(firsts, "first-chunks"), ["hash", "chunk"])
     return same.where(where != F.col("first")).select("doc_id", "place", "hash")
 
 
@@ -69,17 +76,20 @@ def without_repeated_chunks(docs: DataFrame) -> DataFrame:
     of ``docs`` are returned, with any names but n_chunks and n_removed, which
     are replaced.
     """
+    # By place, so that no name can clash.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    id_, text = (f"c{docs.columns.index(name)}" for name in ("doc_id", "text"))
     removed = repeated_chunks(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     # No more than a document's own chunks.
-    by_doc = removed.distinct().groupBy(F.col("doc_id").alias("__doc_id")).agg(F.collect_set(F.struct("place", "hash")).alias("__removed"))
-    joined = docs.join(by_doc, docs["doc_id"].cast("long") == F.col("__doc_id"), "left")
+    by_doc = removed.distinct().groupBy(F.col("doc_id").alias("cut_id")).agg(F.collect_set(F.struct("place", "hash")).alias("removed"))
+    joined = plain.join(by_doc, F.col(id_).cast("long") == F.col("cut_id"), "left")
 
     def kept(all_chunks: Column) -> Column:
-        stays = lambda c, i: F.col("__removed").isNull() | ~F.array_contains("__removed", F.struct(i.alias("place"), F.xxhash64(c).alias("hash")))
+        stays = lambda c, i: F.col("removed").isNull() | ~F.array_contains("removed", F.struct(i.alias("place"), F.xxhash64(c).alias("hash")))
         left = F.filter(all_chunks, stays)
         return F.struct(_text(left).alias("text"), F.size(all_chunks).alias("n"), F.size(left).alias("left"))
 
     none = F.struct(F.lit(None).cast("string").alias("text"), F.lit(0).alias("n"), F.lit(0).alias("left"))
-    result = joined.withColumn("__kept", F.when(F.col("text").isNull(), none).otherwise(_with(chunks(F.col("text").cast("string")), kept)))
-    names = [F.col("__kept.text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_chunks", "n_removed")]
-    return result.select(*names, F.col("__kept.n").cast("long").alias("n_chunks"), (F.col("__kept.n") - F.col("__kept.left")).cast("long").alias("n_removed"))
+    result = joined.withColumn("kept", F.when(F.col(text).isNull(), none).otherwise(_with(chunks(F.col(text).cast("string")), kept)))
+    names = [F.col("kept.text" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in ("n_chunks", "n_removed")]
+    return result.select(*names, F.col("kept.n").cast("long").alias("n_chunks"), (F.col("kept.n") - F.col("kept.left")).cast("long").alias("n_removed"))

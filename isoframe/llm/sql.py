@@ -33,8 +33,9 @@ WITH lines AS (
   FROM documents WHERE text IS NOT NULL
 ), hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM lines
 ), ended AS (
-  SELECT *, (7 * h + 3 * coalesce(lag(h) OVER w, 0) + coalesce(lag(h, 2) OVER w, 0)) % 4 = 0 AS ends
-  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+  SELECT *, coalesce(r < lag(r) OVER w AND r <= lead(r) OVER w, false) AS ends
+  FROM (SELECT *, (7 * h + 3 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 1000003 AS r FROM hashed)
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), numbered AS (
   SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
   FROM ended
@@ -53,7 +54,7 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
 OP5 = r"""
-WITH turns AS (
+WITH RECURSIVE turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), sized AS (
@@ -67,20 +68,24 @@ WITH turns AS (
          max(CASE WHEN pos = 1 AND role = 'system' THEN seg END) OVER (PARTITION BY conv_id) AS head_seg,
          coalesce(max(CASE WHEN pos = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0) AS head_tokens
   FROM sized
-), placed AS (
-  SELECT *, greatest(128, 1024 - 256 - head_tokens) / 2.0 AS half,
-         coalesce(sum(CASE WHEN is_head THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prefix
-  FROM headed
-), celled AS (SELECT *, floor(prefix / half) AS cell, tokens > half AS long_turn FROM placed
-), opened AS (
-  SELECT *, coalesce(pos > 1 AND NOT lag(is_head) OVER w AND (long_turn OR lag(long_turn) OVER w OR cell <> lag(cell) OVER w), false) AS opens,
+), lagged AS (
+  SELECT *, CASE WHEN pos > 1 AND head_tokens + tokens <= 1024 THEN head_tokens ELSE 0 END AS b0,
          CASE WHEN NOT lag(is_head) OVER w THEN lag(seg) OVER w END AS seg_1, CASE WHEN NOT lag(is_head) OVER w THEN lag(tokens) OVER w END AS tokens_1,
          CASE WHEN NOT lag(is_head, 2) OVER w THEN lag(seg, 2) OVER w END AS seg_2, CASE WHEN NOT lag(is_head, 2) OVER w THEN lag(tokens, 2) OVER w END AS tokens_2
-  FROM celled WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
-), chars AS (
-  SELECT conv_id, sum(seg + CASE WHEN opens THEN coalesce(head_seg, 0)
-         + CASE WHEN tokens_1 <= 256 THEN seg_1 + CASE WHEN tokens_1 + tokens_2 <= 256 THEN seg_2 ELSE 0 END ELSE 0 END ELSE 0 END) AS formatted_chars
-  FROM opened GROUP BY conv_id
+  FROM headed WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+), one_back AS (SELECT *, coalesce(tokens_1 <= 256 AND b0 + tokens_1 + tokens <= 1024, false) AS use_1 FROM lagged
+), two_back AS (SELECT *, use_1 AND coalesce(tokens_1 + tokens_2 <= 256 AND b0 + tokens_1 + tokens_2 + tokens <= 1024, false) AS use_2 FROM one_back
+), based AS (
+  SELECT conv_id, pos, seg, tokens, b0 + CASE WHEN use_1 THEN tokens_1 ELSE 0 END + CASE WHEN use_2 THEN tokens_2 ELSE 0 END AS base,
+         CASE WHEN b0 > 0 THEN head_seg ELSE 0 END + CASE WHEN use_1 THEN seg_1 ELSE 0 END + CASE WHEN use_2 THEN seg_2 ELSE 0 END AS repeated
+  FROM two_back
+), walk AS (
+  SELECT conv_id, pos, seg, tokens AS used, CAST(0 AS BIGINT) AS again FROM based WHERE pos = 1
+  UNION ALL
+  SELECT b.conv_id, b.pos, b.seg, CASE WHEN w.used + b.tokens <= 1024 THEN w.used + b.tokens ELSE b.base + b.tokens END,
+         CASE WHEN w.used + b.tokens <= 1024 THEN 0 ELSE b.repeated END
+  FROM walk w JOIN based b ON b.conv_id = w.conv_id AND b.pos = w.pos + 1
+), chars AS (SELECT conv_id, sum(seg + again) AS formatted_chars FROM walk GROUP BY conv_id
 ), said AS (
   SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
          coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss

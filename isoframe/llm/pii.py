@@ -271,7 +271,7 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (order[s[0]], s[1])))
 
 
-FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, n_added long, spans string"
+FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, n_added long, n_spans long, spans string"
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -293,7 +293,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
                 added = added_spans(text, base, shared.value)
                 counts = [sum(s[0] == k for s in base) for k in BASE_KINDS]
                 digest = hashlib.sha256(_joined(base).encode()).hexdigest()
-                out.append((doc_id, *counts, digest, len(added), _joined(base + added)))
+                out.append((doc_id, *counts, digest, len(added), len(base) + len(added), _joined(base + added)))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")]).astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(search, FOUND)

@@ -16,8 +16,8 @@ them that the whole item needs.
 Windows are thinned before: an edit spoils at most two word pairs, so a window
 that holds an item keeps (length - 1) - 2 * edits of the pairs that items of
 this length have.  A pair that only repeats the one before counts where some
-item has such a thing, too.  Of windows that begin within NEAR words, those with the most
-such pairs are taken, ties all.
+item has such a thing, too.  Of the windows' keys only those are kept that some
+item may have, by a table of bits of fixed size.
 """
 
 from __future__ import annotations
@@ -26,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isoframe.llm.scratch import written
-from isoframe.llm.textkit import U64, Texts, encoded, mix, runs, slices
+from isoframe.llm.textkit import U64, Texts, arrow_slices, encoded, mix, runs
 
 #: Edits allowed, as a share of the item's words.
 MAX_EDITS = 0.2
@@ -44,10 +45,10 @@ STEPS = 3
 WALK = 2
 #: Rows that walk side by side.
 BLOCK = 4096
-#: Windows that begin so close are compared by the pairs they hold.
-NEAR = 2
 #: 2 ** PAIR_BITS buckets of word pairs, of eight bytes each, are sent to tasks.
 PAIR_BITS = 20
+#: 2 ** FILTER_BITS bits of keys that items have are sent to tasks, too.
+FILTER_BITS = 24
 
 KEYS = "doc_id long, start int, size int, keys array<long>, text string"
 
@@ -88,9 +89,8 @@ def sampled(words: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return out
 
 
-def keys_of(words: np.ndarray, length: int, n: int = 0, at: int = 0) -> np.ndarray:
-    """Keys (rows, repetitions) of rows of word hashes, for parts of ``length``
-    that begin at word ``at`` of items of ``n`` words.
+def walk_keys(words: np.ndarray, length: int) -> np.ndarray:
+    """Keys (rows, repetitions) of rows of ``length`` word hashes.
 
     The sampled steps are drawn anew for each repetition and length.  Equal
     rows walk once.
@@ -102,11 +102,16 @@ def keys_of(words: np.ndarray, length: int, n: int = 0, at: int = 0) -> np.ndarr
     keys = np.empty((len(first), times), U64)
     for low in range(0, len(first), BLOCK):
         walks = sampled(words[first[low : low + BLOCK]], steps)
-        key = np.arange(times, dtype=U64)[:, None] * U64(7919) + U64(length + (n << 16) + (at << 40))
+        key = np.arange(times, dtype=U64)[:, None] * U64(7919) + U64(length)
         for j in range(STEPS):
             key = mix(key * U64(31) + walks[:, j])
         keys[low : low + BLOCK] = key.T
-    return keys[back].view(np.int64)
+    return keys[back]
+
+
+def keys_of(walked: np.ndarray, n: int, at: int) -> np.ndarray:
+    """Keys for parts that begin at word ``at`` of items of ``n`` words."""
+    return mix(walked + U64((n << 16) + (at << 40) + 1)).view(np.int64)
 
 
 def edits_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -134,7 +139,8 @@ def edits_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """item_id, n_words, keys and text of items long enough to search."""
+    """item_id, n_words, keys, keys of the walks alone and text of items long
+    enough to search."""
 
     def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -143,12 +149,13 @@ def _items(benchmark: DataFrame) -> DataFrame:
                 t = Texts(encoded([text]), lower=True)
                 if len(t.start) >= MIN_WORDS:
                     words, n = t.words()[None, :], len(t.start)
-                    keys = np.concatenate([keys_of(words[:, a : a + size], size, n, a)[0] for a, size in parts(n)])
-                    out.append((item_id, n, keys, text))
-            yield pd.DataFrame(out, columns=["item_id", "n_words", "keys", "item"]).astype({"item_id": "Int64"})
+                    walked = [(a, walk_keys(words[:, a : a + size], size)[0]) for a, size in parts(n)]
+                    keys = np.concatenate([keys_of(w, n, a) for a, w in walked])
+                    out.append((item_id, n, keys, np.concatenate([w for _, w in walked]).view(np.int64), text))
+            yield pd.DataFrame(out, columns=["item_id", "n_words", "keys", "walked", "item"]).astype({"item_id": "Int64"})
 
     plain = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInPandas(key, "item_id long, n_words int, keys array<long>, item string")
+    return plain.mapInPandas(key, "item_id long, n_words int, keys array<long>, walked array<long>, item string")
 
 
 def _repeated(pairs: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -182,6 +189,27 @@ def _pair_table(items: DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
     return np.array(lengths, np.int64), table, again
 
 
+def _known_keys(items: DataFrame) -> np.ndarray:
+    """Bits of the buckets of walk keys that items have: 2 ** FILTER_BITS of them.
+
+    A window without such a key meets no item; a bucket met by chance costs a
+    comparison of keys.  The size doesn't grow with the benchmark.
+    """
+    buckets = items.select(F.explode("walked").alias("key")).select(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("bucket"))
+    bit = F.expr("shiftleft(1L, int(bucket & 63))")
+    # At most 2 ** (FILTER_BITS - 6) rows of two numbers.
+    rows = buckets.groupBy(F.shiftright("bucket", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    table = np.zeros(1 << (FILTER_BITS - 6), U64)
+    table[rows.word.to_numpy(np.int64)] = rows.bits.to_numpy(np.int64).view(U64)
+    return table
+
+
+def _hits(walked: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys lie in a bucket that items have."""
+    bucket = walked >> U64(64 - FILTER_BITS)
+    return (known[bucket >> U64(6)] >> (bucket & U64(63))) & U64(1) > 0
+
+
 def edits_allowed(length):
     return np.floor(MAX_EDITS * length).astype(np.int64) if isinstance(length, np.ndarray) else int(MAX_EDITS * length)
 
@@ -206,45 +234,50 @@ def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray,
         size = np.minimum(room, length)
         held = before[place + size - 1] - before[place]
         may = np.flatnonzero((held >= length - 1 - 2 * edits) & (size >= length - edits))
-        start, held, size = place[may], held[may], size[may]
-        most = held.copy()
-        for k in range(1, NEAR + 1):
-            near = start[k:] - start[:-k] <= NEAR
-            most[k:] = np.where(near, np.maximum(most[k:], held[:-k]), most[k:])
-            most[:-k] = np.where(near, np.maximum(most[:-k], held[k:]), most[:-k])
-        best = held == most
-        if best.any():
-            yield n, length, start[best], start[best] + size[best]
-
-
-def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: bool) -> DataFrame:
-    """Windows that may hold an item: their keys, and their text with margins."""
-    # Both are bounded; see _pair_table.
-    shared = docs.sparkSession.sparkContext.broadcast((lengths, table, again))
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if len(may):
+            yield n, length, place[may], place[may] + size[may]
+
+
+def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: bool, known: np.ndarray) -> DataFrame:
+    """Windows that share a key with an item: the keys, and their text with margins."""
+    # All are bounded; see _pair_table and _known_keys.
+    shared = docs.sparkSession.sparkContext.broadcast((lengths, table, again, known))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths, table, again, known = shared.value
         for batch in batches:
-            raw = encoded(batch.text)
-            ids = batch.doc_id.astype("Int64").to_numpy()
-            found: dict[tuple[int, int, int], list[tuple]] = {}
-            for a, b in slices(raw):
-                t = Texts(raw[a:b], lower=True)
-                words = t.words()
-                for n, length, start, end in _starts(t, words, *shared.value):
-                    inside = start[:, None] + np.arange(length)
-                    rows = np.where(inside < end[:, None], words[np.minimum(inside, len(words) - 1)], U64(0))
-                    doc, edits = t.doc[start], edits_allowed(n)
-                    for at in (at for at, size in parts(n) if size == length):
-                        low = np.maximum(start - at - edits, t.first[doc])
-                        high = np.minimum(end + n - at - length + edits, t.first[doc + 1])
-                        text = [t.buf[t.start[x] : t.end[y - 1]].tobytes().decode() for x, y in zip(low, high, strict=True)]
-                        found.setdefault((n, length, at), []).append((ids[a:b][doc], low - t.first[doc], text, rows))
-            for (n, length, at), pieces in found.items():
-                doc_ids, low, text, rows = (np.concatenate(x) for x in zip(*pieces, strict=True))
-                yield pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "start": low, "size": n, "keys": list(keys_of(rows, length, n, at)), "text": text})
+            ids = batch.column("doc_id")
+            for a, b, raw in arrow_slices(batch.column("text")):
+                t = Texts(raw, lower=True)
+                words, rows, seen = t.words(), [], set()
+                by_length: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+                for n, length, start, end in _starts(t, words, lengths, table, again):
+                    by_length.setdefault(length, []).append((n, start, end))
+                for length, found in by_length.items():
+                    start, end = (np.concatenate([f[k] for f in found]) for k in (1, 2))
+                    size = np.repeat([n for n, _, _ in found], [len(f[1]) for f in found])
+                    # One walk for each place, whatever items it may hold.
+                    place, first, back = np.unique(start, return_index=True, return_inverse=True)
+                    inside = place[:, None] + np.arange(length)
+                    walked = walk_keys(np.where(inside < end[first, None], words[np.minimum(inside, len(words) - 1)], U64(0)), length)
+                    hits = _hits(walked, known)
+                    for r in np.flatnonzero(hits.any(1)[back]).tolist():
+                        n, doc, w = int(size[r]), int(t.doc[start[r]]), back[r]
+                        for at in (at for at, part in parts(n) if part == length):
+                            low = max(int(start[r]) - at - edits_allowed(n), int(t.first[doc]))
+                            high = min(int(end[r]) + n - at - length + edits_allowed(n), int(t.first[doc + 1]))
+                            text = t.buf[t.start[low] : t.end[high - 1]].tobytes()
+                            # Text that repeats itself gives equal windows; the first counts.
+                            if (doc, n, at, text) not in seen:
+                                seen.add((doc, n, at, text))
+                                rows.append((a + doc, low - int(t.first[doc]), n, keys_of(walked[w, hits[w]], n, at), text))
+                if rows:
+                    doc, *columns = zip(*rows)
+                    arrays = [pa.array(x, kind) for x, kind in zip(columns, (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), *arrays[:3], arrays[3].cast(pa.string())], ["doc_id", "start", "size", "keys", "text"])
 
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInPandas(cut, KEYS)
+    return plain.mapInArrow(cut, KEYS)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -257,7 +290,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     reported with it.  Repeated rows give one result for each doc_id and item.
     """
     items = written(_items(benchmark), "items")
-    windows = written(_windows(docs, *_pair_table(items)), "windows")
+    windows = written(_windows(docs, *_pair_table(items), _known_keys(items)), "windows")
     item_keys = items.select("item_id", "item", F.explode("keys").alias("key"))
     # The keys are met first without texts; then each candidate once.
     window_keys = windows.select(F.xxhash64("text").alias("t"), "size", F.explode("keys").alias("key")).distinct()
@@ -282,5 +315,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that hold no item, with all their columns."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Rows of ``docs`` that hold no item, with all their columns, whatever their names.
+
+    Each row is judged by its own text, so rows without a doc_id, and rows of
+    equal doc_id, stay or go for themselves.  Null and empty texts stay.
+    """
+    # By place, so that no name can clash.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    id_, text = (F.col(f"c{docs.columns.index(name)}") for name in ("doc_id", "text"))
+    keyed = plain.withColumn("key", F.xxhash64(id_, text))
+    found = contaminated(keyed.select(F.col("key").alias("doc_id"), text.alias("text")), benchmark)
+    return keyed.join(found.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").drop("key").toDF(*docs.columns)

@@ -50,6 +50,29 @@ def test_stages_against_brute_force(spark):
     assert [tuple(r) for r in __spark_entry__.queries()["pipeline"](spark, SF).orderBy("doc_id", "piece").select("doc_id", "piece", "length", "ids_crc32").collect()] == sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in packed)
 
 
+def test_stages_take_odd_rows(spark):
+    """Nulls, empty and repeated rows, clashing names, and empty tables."""
+    some = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) BETWEEN 900 AND 1200").orderBy("doc_id").limit(6).collect()]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").head().text
+    rows = [(1, some[0], "a"), (2, some[1], "b"), (2, some[1], "b"), (None, some[2], None), (3, None, "c"), (4, "", "d"), (5, some[0], "e"), (6, some[3] + " " + item, "f"), (None, some[4] + "\n" + item, "g")]
+    docs = spark.createDataFrame([(d, t, "en", s, 0, 7, None, 1) for d, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long, key long, found_id string, removed int")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = written(stage(spark, now, SF), name.replace(" ", "-"))
+        assert now.columns == docs.columns
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+    # Each stage alone keeps what it can say nothing of.
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stage(spark, docs, SF)
+        assert kept.where("doc_id = 3 AND text IS NULL").count() == 1 and kept.where("doc_id IN (4)").count() == 1, name
+    single = dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, SF)
+    assert single.where("doc_id = 5").count() == 0 and single.where("doc_id = 2").count() == 2
+    clean = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, SF)
+    assert clean.where("doc_id = 6 OR source = 'g'").count() == 0 and clean.where("doc_id = 2").count() == 2 and clean.where("doc_id IS NULL").count() == 1
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert packed.select("doc_id", "piece", "start").count() >= len(rows)
+
+
 def test_every_operator_has_a_query():
     names = list(__spark_entry__.queries())
     for n in range(1, 11):

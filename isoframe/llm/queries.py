@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoframe.llm import chat, decontaminate, line_chunks, neardup, packing, passages, pii, quality, token_counts, token_output
+from isoframe.llm import chat, decontaminate, exact_dedup, line_chunks, neardup, packing, passages, pii, quality, token_counts, token_output
 from isoframe.llm.scratch import new_path
 from isoframe.llm.tokens import vocabulary
 
@@ -76,6 +76,11 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, path)
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with equal texts, and the row of each that stays."""
+    return exact_dedup.copies(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op4_personal_data, op5_chat_formatting, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output)
+    f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op4_personal_data, op5_chat_formatting, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output, op12_exact_dedup)
 }

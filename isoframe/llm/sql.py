@@ -96,4 +96,10 @@ SELECT s.conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha2
 FROM said s JOIN chars c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_chat_formatting": OP5, "op6_near_duplicates": OP6}
+OP12 = r"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_chat_formatting": OP5, "op6_near_duplicates": OP6, "op12_exact_dedup": OP12}

@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoframe.llm import chat, decontaminate, exact_dedup, line_chunks, neardup, packing, passages, pii, quality, token_counts, token_output
+from isoframe.llm import chat, decontaminate, divergence, exact_dedup, line_chunks, neardup, packing, passages, periodic, pii, quality, token_counts, token_output
 from isoframe.llm.scratch import new_path
 from isoframe.llm.tokens import vocabulary
 
@@ -76,11 +76,55 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, path)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and the terms that tell them apart."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal texts, and the row of each that stays."""
     return exact_dedup.copies(_table(spark, sf_dir, "documents"))
 
 
+def _with(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """doc_id, text: some documents repeat what follows their word a, with period p.
+
+    Those whose number's crc32 is divisible by ten, as the contract says.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, place(i))), " ")).otherwise("")
+
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    return docs.select("doc_id", F.when(F.coalesce(h % 10 == 0, F.lit(False)), _with(words, repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the periodic runs of every document, with some planted."""
+    rows = periodic.periodic_runs(_planted(_table(spark, sf_dir, "documents")))
+    # Runs come by start, then period, so the first of equals stays.
+    above = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]
+    kind = "struct<start:long,length:long,period:long>"
+    best = F.aggregate("runs", F.lit(None).cast(kind), lambda b, x: F.when(b.isNull() | above(x, b), x).otherwise(b))
+    line = lambda r: F.concat_ws("", F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))
+    return rows.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op4_personal_data, op5_chat_formatting, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output, op12_exact_dedup)
+    f.__name__: f for f in (op1_substring_dedup, op2_line_dedup, op3_quality_rules, op4_personal_data, op5_chat_formatting, op6_near_duplicates, op7_token_counts, op8_packing, op9_decontamination, op10_token_output, op11_source_divergence, op12_exact_dedup, op13_periodic_runs)
 }

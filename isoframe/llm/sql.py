@@ -96,10 +96,39 @@ SELECT s.conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha2
 FROM said s JOIN chars c ON c.conv_id IS NOT DISTINCT FROM s.conv_id
 """
 
+OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), words AS (SELECT d, lang, source, unnest(w) AS term FROM docs
+), vocab AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 10
+), counts AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN vocab v ON v.lang = w.lang AND v.term = w.term GROUP BY ALL
+), sizes AS (SELECT lang, count(*) AS v, sum(n) AS n FROM vocab GROUP BY lang
+), groups AS (SELECT DISTINCT lang, source FROM docs
+), totals AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM groups g LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL
+), shares AS (
+  SELECT t.lang, t.source, v.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 2)::HUGEINT) // (t.n + 2 * s.v)::HUGEINT AS p,
+         1 + (1000000000 * (v.n + 2)::HUGEINT) // (s.n + 2 * s.v)::HUGEINT AS q
+  FROM totals t JOIN sizes s ON s.lang = t.lang JOIN vocab v ON v.lang = t.lang
+  LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = v.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 OP12 = r"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_chat_formatting": OP5, "op6_near_duplicates": OP6, "op12_exact_dedup": OP12}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2, "op5_chat_formatting": OP5, "op6_near_duplicates": OP6, "op11_source_divergence": OP11, "op12_exact_dedup": OP12}

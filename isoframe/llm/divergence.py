@@ -18,19 +18,28 @@ All arithmetic is exact, on integers.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoframe.llm.scratch import written
+from isoframe.llm.textkit import arrow_slices
 
 #: A language keeps the terms in at least so many of its documents.
 LEAST_DOCUMENTS = 10
 #: Terms reported for each source.
 TOP_TERMS = 10
 SCALE = 1_000_000_000
+#: Terms that a task holds before it hands on their counts.
+HELD = 500_000
 #: Characters that a term consists of, as the task states them.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The same for UTF-8: other characters' bytes become spaces, A-Z becomes a-z.
+TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -49,22 +58,38 @@ def divergence(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def _with(value: Column, use) -> Column:
-    """``use`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def counted(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences), n_docs.
+    """lang, source, term, n (occurrences), n_docs of documents without nulls.
 
-    A text's terms are sorted in its row, so that the first of equals also
-    counts the document: both counts come from one pass, summed before rows
-    are shuffled.
+    Each task sums what it reads, up to HELD terms at a time, before rows are
+    shuffled.
     """
-    terms = F.array_sort(F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(TERM), F.lit(0)))
-    marked = _with(terms, lambda t: F.transform(t, lambda x, i: F.struct(x.alias("term"), ((i == 0) | (F.get(t, i - 1) != x)).cast("long").alias("first"))))
-    rows = docs.select("lang", "source", F.explode(marked).alias("t"))
-    return rows.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.count("*").alias("n"), F.sum("t.first").alias("n_docs"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # By lang and source: occurrences and documents of each term.
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
+
+        def emptied() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (n, n_docs) in held.items():
+                terms = list(n)
+                columns = [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(n.values(), pa.int64()), pa.array(map(n_docs.__getitem__, terms), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "n_docs"])
+            held.clear()
+
+        for batch in batches:
+            langs, sources = (batch.column(k).to_pylist() for k in (0, 1))
+            for begin, end, texts in arrow_slices(batch.column(2)):
+                for group, text in zip(zip(langs[begin:end], sources[begin:end], strict=True), texts, strict=True):
+                    terms = text.translate(TERM_BYTES).split()
+                    n, n_docs = held[group]
+                    n.update(terms)
+                    n_docs.update(set(terms))
+                if sum(len(n) for n, _ in held.values()) > HELD:
+                    yield from emptied()
+        yield from emptied()
+
+    found = docs.select("lang", "source", "text").mapInArrow(rows, "lang string, source string, term string, n long, n_docs long")
+    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
 
 
 def postings(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

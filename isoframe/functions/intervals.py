@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bases of a bin of the overlap join, and of a block of the island search.
-BIN = 16_384
+from isoframe.plans.cut import kept
+
+#: Bases of a bin of the overlap join.  A bin in which many spans start is cut
+#: into up to 2^FINE narrower ones.
+BIN, FINE = 1 << 14, 6
+#: Spans in a bin from which it is cut, or dealt over parts; at least one in MOST of
+#: all, so that the tables of such bins have no more than MOST rows.
+CROWD, MOST = 50_000, 20_000
+#: Bases of a block of the island search.
 BLOCK = 1 << 20
 
 
@@ -22,25 +29,74 @@ def overlap_fraction(a: Column, b: Column) -> Column:
     return F.when(overlap(a, b), (shared / shorter).cast("float")).otherwise(F.lit(0).cast("float"))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", ids: list[str] | None = None, bin_size: int = BIN) -> DataFrame:
+def _crowded(counts: DataFrame) -> DataFrame:
+    """The rows of ``counts`` with so large an n that a task should share them."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    return counts.where(F.col("n") > F.greatest(F.lit(CROWD), total / MOST))
+
+
+def _bins(spans: DataFrame, cuts: DataFrame, keys: list[str]) -> DataFrame:
+    """``spans`` with ``own`` and ``bin`` for each bin that they touch.
+
+    A bin is known by its first base and width in one number; ``own`` is whether the
+    span starts there.  ``cuts`` has the wide bins that are cut, and how often.
+    """
+    low, high = (F.floor(F.col(c) / BIN) for c in ("start", "end"))
+    wide = spans.withColumn("wide", F.explode(F.sequence(low, high))).join(F.broadcast(cuts), [*keys, "wide"], "left")
+    level = F.coalesce("level", F.lit(0))
+    width = F.lit(BIN) / F.pow(F.lit(2), level)
+    first = F.floor(F.greatest(F.col("start"), F.col("wide") * BIN) / width)
+    last = F.floor(F.least(F.col("end"), (F.col("wide") + 1) * BIN - 1) / width)
+    cut = wide.withColumn("narrow", F.explode(F.sequence(first, last)))
+    own = F.col("narrow") == F.floor(F.col("start") / width)
+    return cut.withColumn("own", own).withColumn("bin", F.col("narrow") * (FINE + 1) + level).drop("wide", "level", "narrow")
+
+
+def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", ids: list[str] | None = None) -> DataFrame:
     """Rows of both sides with equal keys whose spans share more than an end.
 
     Both sides have columns start and end; the right side's columns must have
     other names than the left's but for keys, start and end, which it loses to
-    ``start_2`` and ``end_2``.  A span is put into each bin that it touches and
-    the bins joined by equality; a pair is taken in the bin where its overlap
-    begins, so it comes once.  ``how`` is inner, left_semi or left_anti; the
+    ``start_2`` and ``end_2``.  ``how`` is inner, left_semi or left_anti; the
     last two need ``ids``, columns that tell the left rows apart and aren't null.
+
+    Bins are joined by equality.  A bin in which many left spans start is cut into
+    narrower ones, by a histogram of starts.  Of a pair, the right span starts either in a
+    bin before the left one's start or in the same: then it is found where the
+    left span starts, once, among the right spans that touch that bin.  Or it
+    starts in a later bin, and is found there among the left spans that reach
+    into it.  A bin with many left spans is dealt over parts, each with the right
+    spans, so a locus with any number of reads is no single task.
+
+    The left spans are counted twice before they are joined, so the left side of
+    an inner join should be cheap to read; for the others ids and spans are written first.
     """
-    bins = lambda: F.explode(F.sequence(F.floor(F.col("start") / bin_size), F.floor(F.col("end") / bin_size)))
-    a = left.withColumn("bin", bins())
-    b = right.withColumn("bin", bins()).withColumnRenamed("start", "start_2").withColumnRenamed("end", "end_2")
+    if how != "inner":
+        spans = kept(left.select(*ids, *keys, "start", "end"), "spans")
+        met = overlap_join(spans, right.select(*keys, "start", "end"), keys).select(ids).distinct()
+        return left.join(met, ids, how)
+    a, b = sides(left, right, keys)
     meets = (F.col("end") > F.col("start_2")) & (F.col("end_2") > F.col("start"))
-    once = F.col("bin") == F.floor(F.greatest("start", "start_2") / bin_size)
-    pairs = a.join(b, [*keys, "bin"]).where(meets & once).drop("bin")
-    if how == "inner":
-        return pairs
-    return left.join(pairs.select(ids).distinct(), ids, how)
+    return a.join(b, [*keys, "own", "bin", "part"]).where(meets).drop("own", "bin", "part")
+
+
+def sides(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the overlap join with own, bin and part, which meet by equality."""
+    places = left.select(*keys, "start", "end")
+    starts = places.groupBy(*keys, F.floor(F.col("start") / BIN).alias("wide")).agg(F.count("*").alias("n"))
+    share = F.ceil(F.log2(F.col("n") / CROWD)).cast("int")
+    cuts = _crowded(starts).select(*keys, "wide", F.least(F.greatest(share, F.lit(1)), F.lit(FINE)).alias("level"))
+    loads = _bins(places, cuts, keys).groupBy(*keys, "own", "bin").agg(F.count("*").alias("n"))
+    parts = F.broadcast(_crowded(loads).select(*keys, "own", "bin", F.ceil(F.col("n") / CROWD).cast("int").alias("parts")))
+    others = [c for c in right.columns if c not in (*keys, "start", "end")]
+    a = _bins(left, cuts, keys).join(parts, [*keys, "own", "bin"], "left")
+    a = a.select(*left.columns, "own", "bin", F.pmod(F.xxhash64(*left.columns), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
+    b = _bins(right, cuts, keys).select(*keys, F.col("start").alias("start_2"), F.col("end").alias("end_2"), *others, "own", "bin")
+    # The left spans that start in a bin meet all right ones there; those that
+    # reach into it meet the right ones that start there.
+    b = b.withColumn("own", F.explode(F.when(F.col("own"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))))
+    b = b.join(parts, [*keys, "own", "bin"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return a, b
 
 
 def islands(spans: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from isoframe.functions import intervals
 from isoframe.operators.transcripts import ends, joints, starts
 from isoframe.params import Params
+from isoframe.plans.cut import kept
 
 LEVELS = (1, 2, 3, 4, 5)
 
@@ -15,11 +16,13 @@ LEVELS = (1, 2, 3, 4, 5)
 def overlapping(reads: DataFrame, annotation: DataFrame) -> DataFrame:
     """Pairs of a read and an annotated transcript that overlap.
 
-    ``rank`` is the transcript's place in the annotation.
+    ``rank`` is the transcript's place in the annotation.  ``reads`` is read
+    several times and should be a written table: its spans are counted, then
+    joined, and exons are fetched for the pairs that were found.
     """
-    a = reads.select("ord", "tid", "start", "end", "exons")
+    a = reads.select("ord", "tid", "start", "end")
     b = annotation.select("tid", "start", "end", F.col("ord").alias("rank"), F.col("exons").alias("anno"), F.col("is_rev").alias("anno_rev"), "gene_id", *_gene_name(annotation))
-    return intervals.overlap_join(a, b, ["tid"])
+    return intervals.overlap_join(a, b, ["tid"]).join(reads.select("ord", "exons"), "ord")
 
 
 def _gene_name(annotation: DataFrame) -> list[str]:
@@ -104,7 +107,9 @@ def classified(reads: DataFrame, annotation: DataFrame, params: Params = Params(
     the annotation has it) and is_rev of the reference transcript (gene null
     and the read's strand where there is none);
     novel_exon, novel_don, novel_acc, novel_junction as arrays of booleans.
+    Reads and annotation are written once, as they are looked at several times.
     """
+    reads, annotation = kept(reads, "spans-of-reads"), kept(annotation, "spans-of-annotation")
     seen = visited(compared(overlapping(reads, annotation), params))
     names = _gene_name(annotation)
     chosen = F.max_by(F.struct("gene_id", "anno_rev", *names), F.when(F.col("is_known") | F.col("shares"), F.col("rank")))

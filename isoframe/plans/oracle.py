@@ -176,6 +176,91 @@ _ENDED = _classified() + """, touched AS (
   FROM reads t LEFT JOIN touched h ON h.r = t.ok GROUP BY t.ok
 )"""
 
+
+def _within(long: str, short: str) -> str:
+    """Whether a chain goes on as another, longer one does from where it begins."""
+    at = f"coalesce(list_position({long}, {short}[1]), 0)"
+    m = f"least(len({short}), len({long}) - {at} + 1)"
+    return f"({at} > 0 AND {long}[{at}:{at} + {m} - 1] = {short}[1:{m}])"
+
+
+def _folded(source: str, p: str = "") -> str:
+    """CTEs of the greedy merge of ``source``, one row after another.
+
+    ``source`` has grp, ok, piece, rs and re (span of the read), s, e, n (exons) and j (chain).
+    ``{p}held`` says which row was absorbed; ``{p}survivors`` has the survivors.
+    """
+    y = "before[i]"
+    match = f"""CASE WHEN {y}.n = 1 AND x.n = 1 THEN CAST((least({y}.e, x.e) - greatest({y}.s, x.s) + 1) / (least({y}.e - {y}.s, x.e - x.s) + 1) AS FLOAT) >= CAST(0.8 AS FLOAT)
+            WHEN {y}.n = 1 OR x.n = 1 THEN false WHEN {y}.n = x.n THEN {y}.j = x.j WHEN {y}.n > x.n THEN {_within(f'{y}.j', 'x.j')} ELSE {_within('x.j', f'{y}.j')} END"""
+    return f"""{p}far AS (SELECT *, max(re) OVER (PARTITION BY grp ORDER BY rs, ok, piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM {source}
+), {p}isle AS (SELECT *, max(CASE WHEN far IS NULL OR rs > far THEN rs END) OVER (PARTITION BY grp ORDER BY rs, ok, piece ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isle FROM {p}far
+), {p}items AS (
+  SELECT grp, isle, ok, piece, row_number() OVER (PARTITION BY grp, isle ORDER BY rs, ok, piece) AS k, {{'s': s, 'e': e, 'n': n, 'j': j, 'cov': 1, 'ok': ok, 'piece': piece}} AS x FROM {p}isle
+), {p}walk AS (
+  SELECT grp, isle, k, CAST(0 AS BIGINT) AS hit, [x] AS kept FROM {p}items WHERE k = 1
+  UNION ALL
+  SELECT grp, isle, k, hit, CASE WHEN hit = 0 THEN list_append(before, x) WHEN before[hit].n <> x.n THEN before
+         ELSE list_transform(before, lambda y, i: CASE WHEN i = hit THEN {{'s': least(y.s, x.s), 'e': greatest(y.e, x.e), 'n': y.n, 'j': y.j, 'cov': y.cov + 1, 'ok': y.ok, 'piece': y.piece}} ELSE y END) END
+  FROM (SELECT *, coalesce(list_max(list_transform(range(halt + 1, len(before) + 1), lambda i: CASE WHEN {match} THEN i ELSE 0 END)), 0) AS hit
+        FROM (SELECT w.grp, w.isle, q.k, q.x, w.kept AS before, coalesce(list_max(list_transform(w.kept, lambda y, i: CASE WHEN y.e < q.x.s THEN i ELSE 0 END)), 0) AS halt
+              FROM {p}walk w JOIN {p}items q ON q.grp = w.grp AND q.isle = w.isle AND q.k = w.k + 1))
+), {p}held AS (SELECT q.grp, q.isle, q.ok, q.piece, q.x, w.hit > 0 AS absorbed FROM {p}items q JOIN {p}walk w ON w.grp = q.grp AND w.isle = q.isle AND w.k = q.k
+), {p}survivors AS (
+  SELECT grp, y.ok AS ok, y.piece AS piece, y.s AS s, y.e AS e, y.cov AS cov
+  FROM (SELECT grp, unnest(arg_max(kept, k)) AS y FROM {p}walk GROUP BY grp, isle)
+)"""
+
+
+#: Pieces of split reads; ``j0`` to ``j1`` are their exons.
+_PIECES = """, numbered AS (
+  SELECT x.ok, x.j, x.es, x.ee, j.novel, coalesce(sum(CAST(u.bad AS INT)) OVER (PARTITION BY x.ok ORDER BY x.j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cut
+  FROM judged c JOIN ex x ON x.ok = c.ok LEFT JOIN njoint j ON j.ok = x.ok AND j.j = x.j LEFT JOIN ujoint u ON u.ok = x.ok AND u.j = x.j
+  WHERE c.class = 'novel' AND c.unreliable
+), grouped AS (
+  SELECT ok, cut, min(j) AS j0, max(j) AS j1, min(es) AS s, max(ee) AS e, string_agg(CAST(es AS VARCHAR), ',' ORDER BY j) AS starts, string_agg(CAST(ee AS VARCHAR), ',' ORDER BY j) AS ends
+  FROM numbered GROUP BY ok, cut HAVING count(*) > 1 AND bool_or(novel) AND bool_or(NOT novel)
+), placed AS (SELECT *, row_number() OVER (PARTITION BY ok ORDER BY cut) - 1 AS piece FROM grouped)"""
+
+#: Reads with the chains of their junctions.
+_CHAINED = """, links AS (SELECT x.ok, x.j, x.ee * 100000000::BIGINT + y.es AS link FROM ex x JOIN ex y ON y.ok = x.ok AND y.j = x.j + 1
+), chained AS (SELECT t.ok, t.tid, t.s, t.e, t.n, coalesce(c.j, []) AS j FROM tr t LEFT JOIN (SELECT ok, list(link ORDER BY j) AS j FROM links GROUP BY ok) c ON c.ok = t.ok)"""
+_MERGED = _TR + _CHAINED + """, source AS (
+  SELECT c.tid AS grp, c.ok, 0 AS piece, c.s AS rs, c.e AS re, c.s, c.e, c.n, c.j FROM chained c JOIN reads r ON r.ok = c.ok
+), """ + _folded("source")
+
+_SUMMED = _JUDGED + _PIECES + _CHAINED + """, parts AS (
+  SELECT ok, 0 AS piece, 0 AS j0, n - 1 AS j1, s, e, false AS partial FROM judged WHERE class = 'novel' AND NOT unreliable
+  UNION ALL SELECT ok, piece, j0, j1, s, e, true FROM placed
+), source AS (
+  SELECT c.tid AS grp, p.ok, p.piece, c.s AS rs, c.e AS re, p.s, p.e, p.j1 - p.j0 + 1 AS n, c.j[p.j0 + 1:p.j1] AS j FROM parts p JOIN chained c ON c.ok = p.ok
+), """ + _folded("source") + """, again AS (
+  SELECT c.tid * 4 + CASE WHEN q.class = 'known' THEN 0 WHEN q.class = 'unrecognized' THEN 3 WHEN q.unreliable THEN 2 ELSE 1 END AS grp, c.ok, 0 AS piece, c.s AS rs, c.e AS re, c.s, c.e, c.n, c.j
+  FROM judged q JOIN chained c ON c.ok = q.ok
+), """ + _folded("again", "u_") + """, new AS (
+  SELECT v.ok, v.piece, v.s, v.e, p.j0, p.j1, p.partial, q.tid, q.gene FROM survivors v JOIN parts p ON p.ok = v.ok AND p.piece = v.piece JOIN judged q ON q.ok = v.ok
+), new_exons AS (
+  SELECT DISTINCT n.tid, CASE WHEN x.j = n.j0 THEN n.s ELSE x.es END AS s, CASE WHEN x.j = n.j1 THEN n.e ELSE x.ee END AS e
+  FROM new n JOIN ex x ON x.ok = n.ok AND x.j BETWEEN n.j0 AND n.j1 JOIN nexon f ON f.ok = x.ok AND f.j = x.j WHERE f.novel
+), new_sites AS (
+  SELECT DISTINCT 0 AS kind, n.tid, f.d AS site FROM new n JOIN nsite f ON f.ok = n.ok AND f.j >= n.j0 AND f.j < n.j1 WHERE f.novel_don
+  UNION ALL SELECT DISTINCT 1, n.tid, f.c FROM new n JOIN nsite f ON f.ok = n.ok AND f.j >= n.j0 AND f.j < n.j1 WHERE f.novel_acc
+), new_joints AS (
+  SELECT DISTINCT n.tid, f.d, f.c FROM new n JOIN njoint f ON f.ok = n.ok AND f.j >= n.j0 AND f.j < n.j1 WHERE f.novel
+), lagged AS (SELECT gene, lag(gene) OVER (ORDER BY ok) AS before FROM anno
+), names AS (SELECT * FROM (VALUES (0, 'known'), (1, 'novel_reliable'), (2, 'novel_unreliable'), (3, 'unrecognized')) v(c, class))"""
+_SUMS = [
+    ("annotation", "transcripts", "count(*)", "anno"), ("annotation", "genes", "count(*) FILTER (WHERE before IS NULL OR before <> gene)", "lagged"),
+    ("updated", "genes", "count(DISTINCT gene)", "new"), ("updated", "transcripts", "count(*)", "new"),
+    ("updated", "full", "count(*) FILTER (WHERE NOT partial)", "new"), ("updated", "partial", "count(*) FILTER (WHERE partial)", "new"),
+    ("updated", "novel_exons", "count(*)", "new_exons"), ("updated", "novel_sites", "count(*)", "new_sites"), ("updated", "novel_junctions", "count(*)", "new_joints"),
+    ("known", "transcripts", "count(*) FILTER (WHERE class = 'known')", "judged"), ("known", "genes", "count(DISTINCT gene) FILTER (WHERE class = 'known')", "judged"),
+    ("novel", "transcripts", "count(*) FILTER (WHERE class = 'novel')", "judged"), ("novel", "reliable", "count(*) FILTER (WHERE class = 'novel' AND NOT unreliable)", "judged"),
+    ("novel", "unreliable", "count(*) FILTER (WHERE class = 'novel' AND unreliable)", "judged"), ("unrecognized", "transcripts", "count(*) FILTER (WHERE class = 'unrecognized')", "judged"),
+]
+_UNIQUE = """SELECT regexp_extract(n.class, '^[a-z]+') AS section, 'unique_' || n.class AS metric, CAST(count(*) AS BIGINT) AS value
+FROM u_survivors v JOIN names n ON n.c = v.grp % 4 GROUP BY n.class"""
+
 ORACLES: dict[str, str] = {
     "cigar_exons": _ctes("fx_aln", more=_WALK + """, cuts AS (
   SELECT qname, rec, here AS e, here + len + 1 AS nxt, row_number() OVER (PARTITION BY qname, rec ORDER BY i) AS k FROM walk WHERE closes AND (flag & 4) = 0
@@ -210,8 +295,8 @@ FROM walk WHERE op = 'N' AND len >= 3 AND (flag & 4) = 0 AND (flag & 2) <> 0 GRO
     "full_length_levels": _ctes("fx_exon", more=_ENDED) + "SELECT ok AS ord, l1 AND r1 AS full_1, l2 AND r2 AS full_2, (l2 OR NOT la) AND (r2 OR NOT ra) AS full_3, l2 OR NOT la AS full_4, true AS full_5 FROM ended",
     "full_gate": _ctes("fx_exon", more=_ENDED) + """SELECT CAST(k AS INT) AS level, e.ok AS ord FROM ended e JOIN named n ON n.ok = e.ok CROSS JOIN (VALUES (1), (2), (3), (4)) levels(k)
 WHERE n.class = 'novel' AND CASE k WHEN 1 THEN l1 AND r1 WHEN 2 THEN l2 AND r2 WHEN 3 THEN (l2 OR NOT la) AND (r2 OR NOT ra) ELSE l2 OR NOT la END""",
-    "distance_support": _ctes("fx_exon", "fx_sj", more=_classified()) + """SELECT j.ok AS ord, CAST(j.j AS INT) AS place FROM njoint j JOIN reads t ON t.ok = j.ok
-WHERE j.novel AND NOT EXISTS (SELECT 1 FROM fx_sj q WHERE q.tid = t.tid AND abs(q.don - (j.d + 1)) <= 2 AND abs(q.acc - (j.c - 1)) <= 2 AND q.uniq_c >= 1)""",
+    "distance_support": _ctes("fx_exon", "fx_sj", more=_classified()) + """SELECT j.ok AS ord, CAST(j.j AS INT) AS place, CAST(far AS INT) AS distance FROM njoint j JOIN reads t ON t.ok = j.ok CROSS JOIN (VALUES (2), (50)) f(far)
+WHERE j.novel AND NOT EXISTS (SELECT 1 FROM fx_sj q WHERE q.tid = t.tid AND abs(q.don - (j.d + 1)) <= far AND abs(q.acc - (j.c - 1)) <= far AND q.uniq_c >= 1)""",
     "gtf_written": _ctes("fx_exon", more=_classified() + """, out_ AS (
   SELECT a.ok, CAST(a.ok AS VARCHAR) AS trans_id, a.gene, a.tid, a.is_rev FROM anno a UNION ALL SELECT n.ok, 'r' || CAST(n.ok AS VARCHAR), n.gene, n.tid, n.is_rev FROM named n WHERE n.class = 'novel'
 )""") + """SELECT o.trans_id, CAST(any_value(o.gene) AS VARCHAR) AS gene_id, 'G' || CAST(any_value(o.gene) AS VARCHAR) AS gene_name, 'chr' || CAST(any_value(o.tid) + 1 AS VARCHAR) AS seqname,
@@ -223,14 +308,7 @@ FROM out_ o JOIN ex x ON x.ok = o.ok GROUP BY o.trans_id""",
        EXISTS (SELECT 1 FROM fx_sj q WHERE q.tid = t.tid AND q.don = j.d + 1 AND q.acc = j.c - 1 AND q.uniq_c >= 1) AS supported
 FROM njoint j JOIN reads t ON t.ok = j.ok WHERE j.novel""",
     "read_support": _ctes("fx_exon", "fx_sj", more=_JUDGED) + f"SELECT c.ok AS ord, any_value(tested) AS tested, any_value(unreliable) AS unreliable, coalesce(string_agg(CAST(CAST(coalesce(u.bad, false) AS INT) AS VARCHAR), '' ORDER BY j.j) FILTER (WHERE j.ok IS NOT NULL), '') AS flags FROM judged c LEFT JOIN njoint j ON j.ok = c.ok LEFT JOIN ujoint u ON u.ok = j.ok AND u.j = j.j GROUP BY c.ok",
-    "split_pieces": _ctes("fx_exon", "fx_sj", more=_JUDGED + """, numbered AS (
-  SELECT x.ok, x.j, x.es, x.ee, j.novel, coalesce(sum(CAST(u.bad AS INT)) OVER (PARTITION BY x.ok ORDER BY x.j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cut
-  FROM judged c JOIN ex x ON x.ok = c.ok LEFT JOIN njoint j ON j.ok = x.ok AND j.j = x.j LEFT JOIN ujoint u ON u.ok = x.ok AND u.j = x.j
-  WHERE c.class = 'novel' AND c.unreliable
-), grouped AS (
-  SELECT ok, cut, min(es) AS s, max(ee) AS e, string_agg(CAST(es AS VARCHAR), ',' ORDER BY j) AS starts, string_agg(CAST(ee AS VARCHAR), ',' ORDER BY j) AS ends
-  FROM numbered GROUP BY ok, cut HAVING count(*) > 1 AND bool_or(novel) AND bool_or(NOT novel)
-), placed AS (SELECT *, row_number() OVER (PARTITION BY ok ORDER BY cut) - 1 AS piece FROM grouped)""") + "SELECT concat(CAST(ok AS VARCHAR), '.split.', CAST(piece AS VARCHAR)) AS trans_id, CAST(piece AS INT) AS piece, s AS t_start, e AS t_end, starts, ends FROM placed",
+    "split_pieces": _ctes("fx_exon", "fx_sj", more=_JUDGED + _PIECES) + "SELECT concat(CAST(ok AS VARCHAR), '.split.', CAST(piece AS VARCHAR)) AS trans_id, CAST(piece AS INT) AS piece, s AS t_start, e AS t_end, starts, ends FROM placed",
     "merge_identical_chain": _ctes("fx_exon", more=_TR + """, joint AS (SELECT x.ok, x.j, x.ee AS d, y.es AS c FROM ex x JOIN ex y ON y.ok = x.ok AND y.j = x.j + 1 WHERE x.kind = 'read'
 ), chain AS (SELECT ok, string_agg(CAST(d AS VARCHAR), ',' ORDER BY j) AS donors, string_agg(CAST(c AS VARCHAR), ',' ORDER BY j) AS acceptors FROM joint GROUP BY ok)""") + "SELECT tid, donors, acceptors, min(t.ok) AS ord, min(s) AS t_start, max(e) AS t_end, count(*) AS cov FROM chain JOIN reads t ON t.ok = chain.ok GROUP BY tid, donors, acceptors",
     "overlap_islands": _ctes("fx_exon", more=_TR + ", " + _ORDER.format("reads")) + "SELECT tid, island, count(*) AS n, max(e) AS island_end FROM heads GROUP BY tid, island",
@@ -283,4 +361,9 @@ FROM sums s JOIN fx_aln q ON q.qname = s.qname AND q.rec = s.rec WHERE (s.flag &
     "fusion_pairs": _ctes("fx_seg", more=_RANKED) + "SELECT qname, first_ord, apart, apart_fixed, apart AND NOT close_by AS fits FROM fitted",
     "fusion_greedy": _ctes("fx_seg", more=_GREEDY).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT qname, a.t AS left_tid, a.v AS left_is_rev, a.f AS left_ref_start, a.l AS left_ref_end,
        b.t AS right_tid, b.v AS right_is_rev, b.f AS right_ref_start, b.l AS right_ref_end FROM ended""",
+    "merge_greedy": _ctes("fx_exon", more=_MERGED).replace("WITH ", "WITH RECURSIVE ", 1) + """SELECT r.ok AS ord, r.grp AS tid, coalesce(l.s, r.x.s) AS t_start, coalesce(l.e, r.x.e) AS t_end, CAST(coalesce(l.cov, 1) AS INT) AS cov, r.absorbed
+FROM held r LEFT JOIN survivors l ON l.ok = r.ok AND l.grp = r.grp""",
+    "unique_shared": _ctes("fx_exon", more=_MERGED).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT ok AS ord, grp AS tid FROM held WHERE absorbed",
+    "update_summary": _ctes("fx_exon", "fx_sj", more=_SUMMED).replace("WITH ", "WITH RECURSIVE ", 1)
+    + " UNION ALL ".join([f"SELECT '{a}' AS section, '{b}' AS metric, CAST({c} AS BIGINT) AS value FROM {d}" for a, b, c, d in _SUMS] + [_UNIQUE]),
 }

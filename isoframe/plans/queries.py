@@ -33,6 +33,11 @@ def _pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return transcripts(spark, sf_dir, "read"), transcripts(spark, sf_dir, "anno")
 
 
+def _overlapping(spark, sf_dir) -> DataFrame:
+    reads, annotation = _pair(spark, sf_dir)
+    return classify.overlapping(kept(reads, "spans-of-reads"), kept(annotation, "spans-of-annotation"))
+
+
 def _sj(spark, sf_dir) -> DataFrame:
     return view(spark, sf_dir, "fx_sj")
 
@@ -124,7 +129,7 @@ def transcript_extent(spark, sf_dir):
 
 @query
 def interval_overlap_join(spark, sf_dir):
-    return classify.overlapping(*_pair(spark, sf_dir)).select("ord", "rank")
+    return _overlapping(spark, sf_dir).select("ord", "rank")
 
 
 def _classes(spark, sf_dir, params: Params) -> DataFrame:
@@ -168,7 +173,7 @@ def full_length_levels(spark, sf_dir):
 
 @query
 def single_exon_match(spark, sf_dir):
-    pairs = classify.compared(classify.overlapping(*_pair(spark, sf_dir)).where("size(exons) = 1 AND size(anno) = 1"))
+    pairs = classify.compared(_overlapping(spark, sf_dir).where("size(exons) = 1 AND size(anno) = 1"))
     return pairs.select("ord", "rank", "is_known")
 
 
@@ -306,9 +311,10 @@ def full_gate(spark, sf_dir):
 
 @query
 def distance_support(spark, sf_dir):
-    """Novel junctions without a short-read junction within two bases."""
-    novel = evidence.novel_joints(classify.classified(*_pair(spark, sf_dir)))
-    return evidence.unsupported(novel, _sj(spark, sf_dir), Params(site_distance=2)).select("ord", "place")
+    """Novel junctions without a short-read junction within two, and fifty, bases."""
+    novel = kept(evidence.novel_joints(classify.classified(*_pair(spark, sf_dir))), "joints")
+    far = [evidence.unsupported(novel, _sj(spark, sf_dir), Params(site_distance=d)).select("ord", "place", F.lit(d).alias("distance")) for d in (2, 50)]
+    return far[0].unionByName(far[1])
 
 
 @query

@@ -108,18 +108,37 @@ def test_transcripts_of_alignments(spark):
     assert [(r.start, r.end, len(r.exons)) for r in rows] == [(10, 49, 2)]
 
 
-@pytest.mark.parametrize("bin_size", [7, 1000])
-def test_binned_join_equals_all_pairs(spark, bin_size):
+@pytest.mark.parametrize(("bin_size", "crowd"), [(8, 5), (64, 3), (64, 1000), (1024, 30)])
+def test_binned_join_equals_all_pairs(spark, monkeypatch, bin_size, crowd):
+    monkeypatch.setattr(intervals, "BIN", bin_size)
+    monkeypatch.setattr(intervals, "FINE", 3)
+    monkeypatch.setattr(intervals, "CROWD", crowd)
     rng = random.Random(bin_size)
-    spans = lambda n: [(i, rng.randrange(3), a := rng.randrange(300), a + rng.randrange(60)) for i in range(n)]
-    a, b = spans(120), spans(120)
-    left = spark.createDataFrame(a, "i int, tid int, start int, end int")
-    right = spark.createDataFrame(b, "j int, tid int, start int, end int")
+    spans = lambda n: [(i, rng.randrange(3), a := rng.choice([rng.randrange(300), 100 + rng.randrange(9)]), a + rng.choice([rng.randrange(60), rng.randrange(3), 250])) for i in range(n)]
+    a, b = spans(150), spans(120)
+    left = spark.createDataFrame([*a, (998, None, 1, 9), (999, 1, None, 9)], "i int, tid int, start int, end int")
+    right = spark.createDataFrame([*b, (998, None, 1, 9)], "j int, tid int, start int, end int")
     want = {(i, j) for i, t, s, e in a for j, u, v, w in b if t == u and e > v and w > s}
-    rows = intervals.overlap_join(left, right, ["tid"], bin_size=bin_size).collect()
+    rows = intervals.overlap_join(left, right, ["tid"]).collect()
     assert {(r.i, r.j) for r in rows} == want and len(rows) == len(want)
-    anti = intervals.overlap_join(left, right, ["tid"], "left_anti", ["i"], bin_size)
-    assert {r.i for r in anti.collect()} == {i for i, *_ in a} - {i for i, _ in want}
+    anti = intervals.overlap_join(left, right, ["tid"], "left_anti", ["i"])
+    assert {r.i for r in anti.collect()} == {i for i, *_ in a} - {i for i, _ in want} | {998, 999}
+    semi = intervals.overlap_join(left, right.limit(0), ["tid"], "left_semi", ["i"])
+    assert semi.count() == 0
+
+
+def test_crowded_loci_are_cut_and_dealt(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "CROWD", 200)
+    # One place with many reads, and a stretch with many short ones.
+    left = spark.range(6000).selectExpr("id", "1 AS tid", "CAST(IF(id % 2 = 0, 50000, 100000 + id) AS INT) AS start").selectExpr("*", "start + IF(id % 2 = 0, 40000, 20) AS end")
+    right = spark.range(40).selectExpr("id AS j", "1 AS tid", "CAST(id * 3000 AS INT) AS start", "CAST(id * 3000 + 900 AS INT) AS end")
+    a, b = intervals.sides(left, right, ["tid"])
+    groups = a.groupBy("own", "bin", "part").count()
+    assert groups.agg({"count": "max"}).head()[0] < 300 and groups.where("part > 0").count() > 20
+    assert b.groupBy("own", "bin", "part").count().agg({"count": "max"}).head()[0] <= 8
+    plain = left.alias("x").join(right.alias("y"), F.expr("x.end > y.start AND y.end > x.start")).select("id", "j")
+    got = intervals.overlap_join(left, right, ["tid"]).select("id", "j")
+    assert got.count() == plain.count() > 3000 and got.exceptAll(plain).isEmpty()
 
 
 def test_islands(spark, monkeypatch):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoframe.functions import cigar, intervals
+from isoframe.functions.ordered import run_heads
 from isoframe.params import Params
 
 
@@ -50,10 +51,11 @@ def outside(rows: DataFrame, removal: DataFrame) -> DataFrame:
 
 
 def runs(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``run``: a new one where the read name changes, by file and ord."""
-    order = Window.partitionBy("file").orderBy("ord")
-    changed = F.coalesce(F.col("qname") != F.lag("qname").over(order), F.lit(True))
-    return rows.withColumn("run", F.sum(changed.cast("long")).over(order))
+    """``rows`` with ``run``: a new one where the read name changes, by file and ord.
+
+    Runs are numbered from 1 in each file.
+    """
+    return run_heads(rows, F.col("qname"), "first_ord", "run").drop("first_ord")
 
 
 def best(rows: DataFrame, params: Params = Params(), group: str = "qname") -> DataFrame:

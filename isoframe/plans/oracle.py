@@ -366,4 +366,12 @@ FROM held r LEFT JOIN survivors l ON l.ok = r.ok AND l.grp = r.grp""",
     "unique_shared": _ctes("fx_exon", more=_MERGED).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT ok AS ord, grp AS tid FROM held WHERE absorbed",
     "update_summary": _ctes("fx_exon", "fx_sj", more=_SUMMED).replace("WITH ", "WITH RECURSIVE ", 1)
     + " UNION ALL ".join([f"SELECT '{a}' AS section, '{b}' AS metric, CAST({c} AS BIGINT) AS value FROM {d}" for a, b, c, d in _SUMS] + [_UNIQUE]),
+    "best_of_runs": _ctes("fx_exon", "fx_aln", more=_SCORED + f""", placed AS (
+  SELECT *, rec % 2 * 10000000000 + qname * 100 + rec AS ord FROM judged WHERE {_COVERS} AND {_ALIKE}
+), marked AS (SELECT *, CASE WHEN qname = lag(qname) OVER (ORDER BY ord) THEN 0 ELSE 1 END AS new FROM placed
+), grouped AS (SELECT *, sum(new) OVER (ORDER BY ord) AS run FROM marked
+), ranked AS (
+  SELECT *, row_number() OVER w AS place, coalesce(lead(score) OVER w, 0) AS second FROM grouped WINDOW w AS (PARTITION BY run ORDER BY score DESC, ord)
+)""") + """SELECT qname, CAST(run AS BIGINT) AS run, CAST(ord AS BIGINT) AS ord, score, CAST(second AS INT) AS second FROM ranked
+WHERE place = 1 AND CAST(greatest(second, 0) AS FLOAT) < CAST(0.98 AS FLOAT) * CAST(score AS FLOAT)""",
 }

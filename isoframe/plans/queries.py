@@ -299,6 +299,15 @@ def sam_filtered(spark, sf_dir):
     return select.filtered(sam.read(spark, path), STRICT).select("qname", "tid", "pos", "score", "second", "n_introns")
 
 
+@query
+def best_of_runs(spark, sf_dir):
+    """The best record of each run of records of a read, in a file where every
+    read comes twice: in one half of the file and the other."""
+    rows = alignments(spark, sf_dir).withColumn("ord", F.pmod("rec", F.lit(2)) * 10**10 + F.col("qname") * 100 + F.col("rec"))
+    rows = select.runs(select.alike_enough(select.covered_enough(select.measured(rows), STRICT), STRICT))
+    return select.best(rows, STRICT, "run").select("qname", "run", "ord", "score", "second")
+
+
 @query
 def full_gate(spark, sf_dir):
     """Novel transcripts that are accepted at each full-length level."""

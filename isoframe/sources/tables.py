@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import fields
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoframe.params import Params
+from isoframe.sources import fastq
 from isoframe.sources.gtf import numbered
 
 JUNCTION = "chrom string, don int, acc int, strand int, motif int, is_anno int, uniq_c int, multi_c int, max_over int"
@@ -54,13 +55,8 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """file, ord, name, comment, seq, qual of FASTQ records of four lines."""
-    lines = numbered(spark, path).withColumn("n", F.row_number().over(Window.partitionBy("file").orderBy("ord")) - 1)
-    rows = lines.withColumn("ord", F.floor(F.col("n") / 4)).groupBy("file", "ord")
-    part = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("value")))
-    return rows.agg(part(0).alias("head"), part(1).alias("seq"), part(3).alias("qual")).select(
-        "file", "ord", F.regexp_extract("head", r"^@(\S*)", 1).alias("name"), F.nullif(F.trim(F.regexp_replace("head", r"^@\S*", "")), F.lit("")).alias("comment"), "seq", "qual",
-    )
+    """file, ord, name, comment, seq, qual; see ``sources.fastq``."""
+    return fastq.read(spark, path)
 
 
 def genome(spark: SparkSession, path: str) -> DataFrame:

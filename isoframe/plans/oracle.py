@@ -374,4 +374,5 @@ FROM held r LEFT JOIN survivors l ON l.ok = r.ok AND l.grp = r.grp""",
   SELECT *, row_number() OVER w AS place, coalesce(lead(score) OVER w, 0) AS second FROM grouped WINDOW w AS (PARTITION BY run ORDER BY score DESC, ord)
 )""") + """SELECT qname, CAST(run AS BIGINT) AS run, CAST(ord AS BIGINT) AS ord, score, CAST(second AS INT) AS second FROM ranked
 WHERE place = 1 AND CAST(greatest(second, 0) AS FLOAT) < CAST(0.98 AS FLOAT) * CAST(score AS FLOAT)""",
+    "bam_filtered": _ctes("fx_exon", "fx_aln", more=_SCORED + _best("judged", 0)) + "SELECT CAST(qname AS VARCHAR) AS qname, tid, pos, score, CAST(n_introns AS INT) AS n_introns FROM best",
 }

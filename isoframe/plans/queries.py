@@ -15,7 +15,7 @@ from isoframe.plans import update
 from isoframe.plans.cut import kept, new_path
 from isoframe.plans.fixtures import alignments, transcripts, view
 from isoframe.params import Params
-from isoframe.sources import gtf, sam
+from isoframe.sources import bam, gtf, sam
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -288,13 +288,29 @@ def gtf_written(spark, sf_dir):
     return gtf.read(spark, path).select("trans_id", "gene_id", "gene_name", "seqname", "is_rev", part("start").alias("starts"), part("end").alias("ends"))
 
 
+def _records(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Alignments as records of a file, and their contigs."""
+    rows = alignments(spark, sf_dir).withColumn("ord", F.col("qname") * 1000 + F.col("rec")).withColumn("chrom", F.concat(F.lit("chr"), F.col("tid") + 1))
+    rows = rows.withColumn("qname", F.col("qname").cast("string")).withColumn("mapq", F.lit(60)).withColumn("as_score", F.lit(None).cast("int"))
+    contigs = spark.range(25).select(F.concat(F.lit("chr"), F.col("id") + 1).alias("name"), F.col("id").alias("tid"), F.lit(10**8).alias("length"))
+    return rows, contigs
+
+
+@query
+def bam_filtered(spark, sf_dir):
+    """Alignments written as BAM, read back by ranges of blocks and filtered."""
+    path = new_path(spark, "bam")
+    rows, contigs = _records(spark, sf_dir)
+    bam.write(rows, contigs, path)
+    # By place in the files, records of a read aren't together.
+    return select.filtered(bam.read(spark, path).drop("file"), STRICT).select("qname", "tid", "pos", "score", "n_introns")
+
+
 @query
 def sam_filtered(spark, sf_dir):
     """Alignments written as SAM with a header, read back and filtered."""
     path = new_path(spark, "sam")
-    rows = alignments(spark, sf_dir).withColumn("ord", F.col("qname") * 1000 + F.col("rec")).withColumn("chrom", F.concat(F.lit("chr"), F.col("tid") + 1))
-    rows = rows.withColumn("qname", F.col("qname").cast("string")).withColumn("mapq", F.lit(60)).withColumn("as_score", F.lit(None).cast("int"))
-    contigs = spark.range(25).select(F.concat(F.lit("chr"), F.col("id") + 1).alias("name"), F.col("id").alias("tid"), F.lit(10**8).alias("length"))
+    rows, contigs = _records(spark, sf_dir)
     sam.write(rows, contigs, path)
     return select.filtered(sam.read(spark, path), STRICT).select("qname", "tid", "pos", "score", "second", "n_introns")
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import gzip
 import random
+import struct
 
 import pytest
 
-from isoframe.sources import fastq, ranges, tables
+from isoframe.sources import bam, bgzf, fastq, ranges, tables
 
 
 def one_pass(text):
@@ -106,3 +107,77 @@ def test_a_file_cut_short_is_an_error(spark, tmp_path):
         tables.read_fastq(spark, str(tmp_path / "x.fq"))
     (tmp_path / "y.fq").write_text("")
     assert tables.read_fastq(spark, str(tmp_path / "y.fq")).count() == 0
+
+
+def bam_content(rng, n):
+    """A BAM file's content: short and long records, names and tags like anything."""
+    contigs = [(f"c{k}", 10_000) for k in range(rng.choice([1, 3, 300]))]
+    out = b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(contigs))
+    for name, length in contigs:
+        out += struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", length)
+    for i in range(n):
+        bases, tid = rng.choice([0, 5, 120, 3000]), rng.randrange(-1, len(contigs))
+        name, ops = f"r{i}", [(bases or 1, 0), (7, 3), (4, 0)]
+        body = struct.pack("<iiBBHHHiiii", tid, rng.randrange(-1, 9000), len(name) + 1, 60, 0, len(ops), 16, bases, -1, -1, 0) + name.encode() + b"\0"
+        body += b"".join(struct.pack("<I", k << 4 | op) for k, op in ops) + rng.randbytes((bases + 1) // 2) + bytes(bases) + b"NMi" + struct.pack("<i", i)
+        out += struct.pack("<i", len(body)) + body
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bam_at_any_cut(seed, tmp_path, monkeypatch):
+    rng = random.Random(seed)
+    monkeypatch.setattr(bgzf, "CONTENT", rng.choice([90, 700, 5000]))
+    path = str(tmp_path / "x.bam")
+    (tmp_path / "x.bam").write_bytes(b"".join(bgzf.blocks([bam_content(rng, 60)])))
+    want = [x[2:] for x in bam.records(path)]
+    assert len(want) == 60
+    size, known, gaps, at = (tmp_path / "x.bam").stat().st_size, bam.about(path), [0], 0
+    with ranges.opened(path) as stream:
+        while at < size:
+            _, at = bgzf.block(stream, at)
+            gaps.append(at)
+    # Cut at every gap of blocks, and anywhere.
+    cuts = [gaps, *([0, *sorted(rng.sample(range(1, size), min(k, size - 1))), size] for k in (1, 5, 30))]
+    for bounds in cuts:
+        got, place = [], known[1]
+        for begin, end in zip(bounds, bounds[1:]):
+            if place >> 16 >= end:
+                continue
+            try:
+                first, stop, n = bam.scan(path, known, begin, end, None)
+            except ValueError:
+                first = -1
+            if first != place:
+                first, stop, n = bam.scan(path, known, begin, end, place)
+            some = list(bam._between(path, known, first, stop))
+            assert len(some) == n
+            got, place = got + some, stop
+        assert got == want
+
+
+def test_bam_by_ranges_and_back(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    (tmp_path / "in").mkdir()
+    monkeypatch.setattr(ranges, "RANGE", 1500)
+    for k in range(2):
+        monkeypatch.setattr(bgzf, "CONTENT", 700)
+        (tmp_path / "in" / f"{k}.bam").write_bytes(b"".join(bgzf.blocks([bam_content(rng, 80)])))
+    # Gzip blocks that aren't BAM's.
+    data = bam_content(rng, 7)
+    (tmp_path / "in" / "z.bam").write_bytes(gzip.compress(data[:50]) + gzip.compress(data[50:]))
+    rows = bam.read(spark, str(tmp_path / "in"))
+    spark.dataSource.register(bam.BamSource)
+    plain = spark.read.format("bam").load(str(tmp_path / "in"))
+    key = lambda r: (r.file, r.ord)
+    assert [tuple(r) for r in sorted(rows.collect(), key=key)] == [tuple(r) for r in sorted(plain.collect(), key=key)]
+    assert rows.rdd.getNumPartitions() > 6 and rows.count() == 167
+    # Written, by place, and read again.
+    contigs = spark.createDataFrame([(f"c{k}", k, 10_000) for k in range(300)], "name string, tid int, length int")
+    one = rows.where("file LIKE '%/0.bam'")
+    bam.write(one, contigs, str(tmp_path / "out"))
+    columns = ["qname", "flag", "chrom", "tid", "pos", "mapq", "cigar", "l_qseq", "nm", "as_score", "nh", "xs"]
+    back = bam.read(spark, str(tmp_path / "out")).orderBy("file", "ord").select(columns).collect()
+    assert sorted(back, key=str) == sorted(one.select(columns).collect(), key=str)
+    places = [(r.tid if r.tid >= 0 else 1 << 30, r.pos) for r in back]
+    assert places == sorted(places)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isoframe.functions import ordered
 from isoframe.plans.cut import kept
 
 #: Bases of a bin of the overlap join.  A bin in which many spans start is cut
@@ -121,3 +122,18 @@ def islands(spans: DataFrame) -> DataFrame:
 def union(spans: DataFrame) -> DataFrame:
     """Unions of overlapping spans: tid, start, end and how many they hold."""
     return islands(spans).groupBy("tid", "island").agg(F.max("end").alias("end"), F.count("*").alias("n")).select("tid", F.col("island").alias("start"), "end", "n")
+
+
+def cut_at(spans: DataFrame, sites: DataFrame) -> DataFrame:
+    """Disjoint ``spans`` (tid, start, end) cut before each site (tid, site) in them.
+
+    A sweep over starts and sites in order, contig by contig: each site gets the
+    span that began last before it, carried from range to range, and cuts it if it
+    lies in it.
+    """
+    begins = spans.select(F.col("tid").alias("file"), (2 * F.col("start").cast("long")).alias("ord"), F.col("start").alias("at"), F.struct("start", "end").alias("span"))
+    others = sites.select("tid", "site").distinct().select(F.col("tid").alias("file"), (2 * F.col("site").cast("long") + 1).alias("ord"), F.col("site").alias("at"))
+    swept = ordered.filled(begins.unionByName(others, allowMissingColumns=True), F.col("span"), "of").select("file", "at", "of.start", "of.end", "span")
+    cuts = swept.where(F.col("span").isNotNull() | ((F.col("at") > F.col("start")) & (F.col("at") <= F.col("end"))))
+    next_ = F.lead("at").over(Window.partitionBy("file", "start").orderBy("at"))
+    return cuts.select(F.col("file").alias("tid"), F.col("at").alias("start"), F.coalesce(next_ - 1, F.col("end")).alias("end"))

@@ -375,4 +375,28 @@ FROM held r LEFT JOIN survivors l ON l.ok = r.ok AND l.grp = r.grp""",
 )""") + """SELECT qname, CAST(run AS BIGINT) AS run, CAST(ord AS BIGINT) AS ord, score, CAST(second AS INT) AS second FROM ranked
 WHERE place = 1 AND CAST(greatest(second, 0) AS FLOAT) < CAST(0.98 AS FLOAT) * CAST(score AS FLOAT)""",
     "bam_filtered": _ctes("fx_exon", "fx_aln", more=_SCORED + _best("judged", 0)) + "SELECT CAST(qname AS VARCHAR) AS qname, tid, pos, score, CAST(n_introns AS INT) AS n_introns FROM best",
+    "genome_motifs": _ctes("fx_aln", more=_WALK + """, introns AS (
+  SELECT tid, CAST(here + 1 AS BIGINT) AS don, CAST(here + len AS BIGINT) AS acc, count(*) FILTER (WHERE nh = 1) AS uniq_c, count(*) FILTER (WHERE nh <> 1) AS multi_c
+  FROM walk WHERE op = 'N' AND len >= 3 AND (flag & 4) = 0 AND (flag & 2) <> 0 GROUP BY 1, 2, 3
+), read_ AS (
+  SELECT *, array_to_string(list_transform([don, don + 1, acc - 1, acc], lambda p: substr('GTAGCTACATATGCAGC', CAST((p * p + 3 * p + tid) % 17 + 1 AS INT), 1)), '') AS bases FROM introns
+), numbered AS (SELECT *, coalesce(list_position(['GTAG', 'CTAC', 'GCAG', 'CTGC', 'ATAC', 'GTAT'], bases), 0) AS motif FROM read_)""")
+    + "SELECT tid, CAST(don AS INT) AS don, CAST(acc AS INT) AS acc, CAST(CASE WHEN motif = 0 THEN 0 ELSE 2 - motif % 2 END AS INT) AS strand, CAST(motif AS INT) AS motif, uniq_c, multi_c FROM numbered",
+    "exon_parts": _ctes("fx_exon", more=_TR + ", spans AS (SELECT tid, es AS s, ee AS e, ok FROM fx_exon), " + _ORDER.format("spans") + """, joined AS (SELECT tid, island AS s, max(e) AS e FROM heads GROUP BY tid, island
+), sites AS (SELECT tid, ee + 1 AS p FROM ex WHERE j < n - 1 UNION SELECT tid, es FROM ex WHERE j > 0
+), cuts AS (SELECT tid, s, e, s AS p FROM joined UNION ALL SELECT u.tid, u.s, u.e, q.p FROM joined u JOIN sites q ON q.tid = u.tid AND q.p > u.s AND q.p <= u.e)""")
+    + "SELECT tid, CAST(p AS INT) AS p_start, CAST(coalesce(lead(p) OVER (PARTITION BY tid, s ORDER BY p) - 1, e) AS INT) AS p_end FROM cuts",
+    "gene_gtf": _ctes("fx_exon", more=_TR + """, genes AS (
+  SELECT gene, tid, min(ok) AS gene_ord, min(s) AS s, max(e) AS e, arg_min(is_rev, ok) AS is_rev FROM anno GROUP BY gene, tid
+), tagged AS (
+  SELECT a.*, g.gene_ord, 'chr' || CAST(a.tid + 1 AS VARCHAR) AS c, CASE WHEN a.is_rev THEN '-' ELSE '+' END AS st,
+         'gene_id "' || CAST(a.gene AS VARCHAR) || '"; transcript_id "' || CAST(ok AS VARCHAR) || '"; gene_name "G' || CAST(a.gene AS VARCHAR) || '";' AS ids
+  FROM anno a JOIN genes g ON g.gene = a.gene AND g.tid = a.tid
+)""") + """SELECT gene_ord, gene_ord AS ord, -1 AS row, concat_ws(chr(9), 'chr' || CAST(tid + 1 AS VARCHAR), 'src', 'gene', CAST(s AS VARCHAR), CAST(e AS VARCHAR), '.', CASE WHEN is_rev THEN '-' ELSE '+' END, '.',
+       'gene_id "' || CAST(gene AS VARCHAR) || '"; gene_name "G' || CAST(gene AS VARCHAR) || '";') AS value FROM genes
+UNION ALL SELECT gene_ord, ok, 0, concat_ws(chr(9), c, 'src', 'transcript', CAST(s AS VARCHAR), CAST(e AS VARCHAR), '.', st, '.', ids) FROM tagged
+UNION ALL SELECT gene_ord, t.ok, CAST(CASE WHEN t.is_rev THEN t.n - x.j ELSE x.j + 1 END AS INT), concat_ws(chr(9), c, 'src', 'exon', CAST(x.es AS VARCHAR), CAST(x.ee AS VARCHAR), '0', st, '.', ids) FROM tagged t JOIN ex x ON x.ok = t.ok""",
+    "region_read": _ctes("fx_aln", more=_WALK + """, spans AS (
+  SELECT qname, rec, min(tid) AS tid, min(pos) AS pos, min(pos) + sum(CASE WHEN op IN ('M', 'D', 'N', '=', 'X') THEN len ELSE 0 END) - 1 AS last FROM walk WHERE (flag & 4) = 0 GROUP BY qname, rec
+)""") + "SELECT qname, rec, pos, CAST(last AS INT) AS last FROM spans WHERE tid = 3 AND pos <= 9000 AND last >= 5000",
 }

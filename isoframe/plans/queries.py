@@ -15,7 +15,7 @@ from isoframe.plans import update
 from isoframe.plans.cut import kept, new_path
 from isoframe.plans.fixtures import alignments, transcripts, view
 from isoframe.params import Params
-from isoframe.sources import bam, gtf, sam
+from isoframe.sources import bam, gtf, placed, sam, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -324,6 +324,58 @@ def best_of_runs(spark, sf_dir):
     return select.best(rows, STRICT, "run").select("qname", "run", "ord", "score", "second")
 
 
+#: Bases of a line of the made genome, and what base is where.
+WIDTH, BASES = 60, "GTAGCTACATATGCAGC"
+
+
+@query
+def genome_motifs(spark, sf_dir):
+    """Junctions with motifs and strands from a genome that is written as FASTA.
+
+    The genome's bases follow from their places; its contigs end beyond the
+    last alignment.
+    """
+    rows = alignments(spark, sf_dir).withColumn("chrom", F.concat(F.lit("chr"), F.col("tid") + 1))
+    n = F.floor((F.max("pos") + 1000) / WIDTH).cast("int")
+    contigs = rows.groupBy("tid").agg(n.alias("n")).select("tid", F.explode(F.sequence(F.lit(0), "n")).alias("k"))
+    place = lambda i: F.col("k").cast("long") * WIDTH + i
+    base = lambda i: F.substr(F.lit(BASES), ((place(i) * place(i) + 3 * place(i) + F.col("tid")) % len(BASES) + 1).cast("int"), F.lit(1))
+    bases = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(WIDTH)), base), "")
+    lines = contigs.select("tid", F.col("k") + 1, F.when(F.col("k") % 3 == 0, F.lower(bases)).otherwise(bases))
+    heads = contigs.select("tid").distinct().select("tid", F.lit(0), F.concat(F.lit(">chr"), F.col("tid") + 1, F.lit(" made")))
+    path = new_path(spark, "genome")
+    text = heads.union(lines).toDF("tid", "k", "value")
+    text.repartition("tid").sortWithinPartitions("tid", "k").select("tid", "value").write.partitionBy("tid").text(path)
+    found = junctions.extracted(rows, genome=tables.genome(spark, path))
+    return junctions.counted(found).select("tid", "don", "acc", "strand", "motif", "uniq_c", "multi_c")
+
+
+@query
+def exon_parts(spark, sf_dir):
+    """The union of all exons, cut at their splice sites."""
+    parts = merge.exon_parts(transcripts(spark, sf_dir, "read").unionByName(transcripts(spark, sf_dir, "anno")))
+    return parts.select("tid", F.col("start").alias("p_start"), F.col("end").alias("p_end"))
+
+
+@query
+def gene_gtf(spark, sf_dir):
+    """Annotation genes as text."""
+    rows = transcripts(spark, sf_dir, "anno").withColumn("seqname", F.concat(F.lit("chr"), F.col("tid") + 1)).withColumn("trans_id", F.col("ord").cast("string"))
+    return gtf.gene_text(rows.withColumn("gene_name", F.concat(F.lit("G"), "gene_id")), "src")
+
+
+#: A contig and two places on it.
+REGION = (3, 5000, 9000)
+
+
+@query
+def region_read(spark, sf_dir):
+    """Records of a region, from alignments that are written by place with an index."""
+    path = new_path(spark, "placed")
+    placed.write(alignments(spark, sf_dir).withColumn("ord", F.col("qname") * 1000 + F.col("rec")), path, 16)
+    return placed.region(spark, path, *REGION).select("qname", "rec", "pos", F.col("end").alias("last"))
+
+
 @query
 def full_gate(spark, sf_dir):
     """Novel transcripts that are accepted at each full-length level."""

@@ -7,16 +7,19 @@ from dataclasses import fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isoframe.functions.ordered import filled, summed
 from isoframe.params import Params
 from isoframe.sources import fastq
 from isoframe.sources.gtf import numbered
 
+#: Bases of a chunk of a genome.
+CHUNK = 4096
 JUNCTION = "chrom string, don int, acc int, strand int, motif int, is_anno int, uniq_c int, multi_c int, max_over int"
 
 
 def read_junctions(spark: SparkSession, path: str, contigs: DataFrame | None = None) -> DataFrame:
     """Junction table of nine columns, with tid from the contigs (name, tid)."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = spark.read.text(path).where((F.trim("value") != "") & ~F.col("value").startswith("#"))
     f = F.split(F.trim("value"), r"\s+")
     names = [c.split() for c in JUNCTION.split(", ")]
     rows = lines.select(*(F.get(f, F.lit(i)).cast(kind).alias(name) for i, (name, kind) in enumerate(names)))
@@ -30,11 +33,21 @@ def junctions_from_counts(counts: DataFrame) -> DataFrame:
     return counts.select("chrom", "don", "acc", "strand", "motif", "is_anno", "uniq_c", "multi_c", F.lit(0).alias("max_over"))
 
 
+#: The lines before the rows of a junction file.
+JUNCTION_HEAD = [
+    "###STRAND 0:undefined, 1:+, 2:-",
+    "###ANNO 0:novel, 1:annotated",
+    "###MOTIF 0:non-canonical, 1:GT/AG, 2:CT/AC, 3:GC/AG, 4:CT/GC, 5:AT/AC, 6:GT/AT",
+    "#CHR\tSTART\tEND\tSTRAND\tANNO\tUNIQ_C\tMULTI_C\tMOTIF",
+]
+
+
 def write_junctions(junctions: DataFrame, path: str) -> None:
-    """Counted junctions by place, with a header."""
-    columns = {"CHR": "chrom", "START": "don", "END": "acc", "STRAND": "strand", "ANNO": "is_anno", "UNIQ_C": "uniq_c", "MULTI_C": "multi_c", "MOTIF": "motif"}
-    ordered = junctions.orderBy("tid", "don", "acc")
-    ordered.select(*(F.col(c).alias(name) for name, c in columns.items())).write.csv(path, sep="\t", header=True)
+    """Counted junctions by place, after their legends and header."""
+    columns = ["chrom", "don", "acc", "strand", "is_anno", "uniq_c", "multi_c", "motif"]
+    body = junctions.select(F.lit(1).alias("part"), "tid", "don", "acc", F.concat_ws("\t", *(F.col(c).cast("string") for c in columns)).alias("value"))
+    head = junctions.sparkSession.createDataFrame([(0, 0, k, 0, x) for k, x in enumerate(JUNCTION_HEAD)], "part int, tid int, don int, acc int, value string")
+    head.unionByName(body).orderBy("part", "tid", "don", "acc").select("value").write.text(path)
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -60,8 +73,27 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 
 
 def genome(spark: SparkSession, path: str) -> DataFrame:
-    """chrom, sequence of a genome's contigs."""
-    return read_fasta(spark, path).select(F.col("name").alias("chrom"), F.col("seq").alias("sequence"))
+    """chrom, chunk, bases: a genome's contigs in chunks of CHUNK bases, and one
+    more, so that two bases in a row lie in one chunk.
+
+    Lines are put in their places by running sums over ranges of the file, so
+    no row carries a contig, whatever its length; a gzip file is one task's to read.
+    """
+    lines = numbered(spark, path).withColumn("text", F.rtrim("value"))
+    is_head = F.col("text").startswith(">")
+    lines = summed(lines, F.when(is_head, 0).otherwise(F.length("text")), "before")
+    head = F.struct(F.regexp_extract("text", r"^>(\S*)", 1).alias("chrom"), F.col("before").alias("begin"))
+    lines = filled(lines, F.when(is_head, head), "head").where(~is_head & F.col("head").isNotNull() & (F.length("text") > 0))
+    placed = lines.select(F.col("head.chrom").alias("chrom"), (F.col("before") - F.col("head.begin")).alias("begin"), F.col("text").cast("binary").alias("text"))
+    end = F.col("begin") + F.octet_length("text")
+    # A chunk also takes the base that follows it.
+    chunks = F.explode(F.sequence(F.floor(F.greatest(F.col("begin") - 1, F.lit(0)) / CHUNK), F.floor((end - 1) / CHUNK)))
+    parts = placed.select("chrom", "begin", end.alias("end"), chunks.alias("chunk"), "text")
+    low, high = F.greatest("begin", F.col("chunk") * CHUNK), F.least("end", (F.col("chunk") + 1) * CHUNK + 1)
+    part = F.substring("text", (low - F.col("begin") + 1).cast("int"), (high - low).cast("int")).cast("string")
+    parts = parts.where(high > low).select("chrom", "chunk", F.struct(low.alias("at"), part.alias("part")).alias("x"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["part"]), "")
+    return parts.groupBy("chrom", "chunk").agg(joined.alias("bases"))
 
 
 def replicates(text: str) -> list[list[str]]:

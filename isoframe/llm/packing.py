@@ -67,6 +67,10 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
     return plain.mapInArrow(cut, PIECES)
 
 
+#: Parts in which the exact fills are counted when a share of them is taken.
+SHARES = 64
+
+
 class _Plan:
     """Slots: pieces low..high-1 of a length go to sequences from base on."""
 
@@ -151,9 +155,12 @@ class _Sums:
         return []
 
 
-def _exact(plan: _Plan) -> None:
-    """Consume combinations that fill a sequence, the longest length first."""
-    sums = _Sums(plan)
+def _exact(plan: _Plan) -> list[list[int]]:
+    """Consume combinations that fill a sequence, the longest length first.
+
+    Returns them in order.
+    """
+    sums, fills = _Sums(plan), []
     for length in sorted(plan.left, reverse=True):
         while plan.left[length]:
             gap = plan.capacity - length
@@ -162,6 +169,8 @@ def _exact(plan: _Plan) -> None:
                 break
             plan.fill(found)
             sums.used(found)
+            fills.append(found)
+    return fills
 
 
 def _best_fit(plan: _Plan) -> None:
@@ -202,15 +211,30 @@ def _best_fit(plan: _Plan) -> None:
 def plan_slots(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
     """Slots (length, low, base, offset) sorted by length and low, and the number of sequences.
 
-    Exact combinations can leave a worse rest than they save; where best-fit
-    alone takes fewer sequences, its plan is the one.
+    Exact fills first, then best-fit for what is left.  The last fills, of short
+    lengths, can leave a worse rest than they save, so best-fit takes over after
+    some share of them: of the shares tried, that with the fewest sequences, and
+    of equal ones the largest.
     """
     counts = {int(k): int(v) for k, v in counts.items() if v}
-    exact, plain = _Plan(counts, capacity), _Plan(counts, capacity)
-    _exact(exact)
-    for each in (exact, plain):
-        _best_fit(each)
-    plan = min(exact, plain, key=lambda p: p.sequences)
+    fills = _exact(_Plan(counts, capacity))
+    best = None
+    tried: dict[int, _Plan] = {}
+
+    def planned(share: int) -> _Plan:
+        if share not in tried:
+            plan = _Plan(counts, capacity)
+            for lengths in fills[: len(fills) * share // SHARES]:
+                plan.fill(lengths)
+            _best_fit(plan)
+            tried[share] = plan
+        return tried[share]
+
+    # Coarse shares first, then those around the best one.
+    for step in (SHARES // 8, SHARES // 64):
+        around = range(SHARES, -1, -step) if best is None else range(min(best + 8 * step, SHARES), max(best - 8 * step, -1), -step)
+        best = max(around, key=lambda share: (-planned(share).sequences, share))
+    plan = tried[max(tried, key=lambda share: (-tried[share].sequences, share))]
     slots = np.array(sorted(plan.slots), np.int64).reshape(-1, 4)
     return slots, plan.sequences
 

@@ -183,6 +183,28 @@ def test_no_exact_combination_is_left(counts):
         assert not n or not brute_complement({**plan.left, length: n - 1}, 24 - length)
 
 
+@pytest.mark.parametrize("kind", ["lognormal", "uniform", "exponential", "narrow"])
+def test_exact_fills_stay_and_cost_no_sequence(kind):
+    rng = np.random.default_rng(7)
+    for n in (300, 3000, 20000):
+        x = {"lognormal": rng.lognormal(5.5, 1.2, n), "uniform": rng.uniform(1, 2048, n), "exponential": rng.exponential(400, n), "narrow": rng.normal(700, 80, n)}[kind]
+        lengths, counts = np.unique(np.clip(x.astype(int), 1, 2048), return_counts=True)
+        counts = dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+        slots, sequences = packing.plan_slots(counts)
+        plain = packing._Plan(counts, packing.CAPACITY)
+        packing._best_fit(plain)
+        assert sequences <= plain.sequences
+        exact = packing._Plan(counts, packing.CAPACITY)
+        if len(packing._exact(exact)) > 50:
+            # Sequences that the plan fills to the last token.
+            used = np.zeros(sequences, np.int64)
+            bounds = {x: sorted([s[1] for s in slots if s[0] == x] + [counts[x]]) for x in counts}
+            for length, low, base, _ in slots.tolist():
+                high = next(b for b in bounds[length] if b > low)
+                used[base : base + high - low] += length
+            assert (used <= packing.CAPACITY).all() and (used == packing.CAPACITY).sum() >= exact.sequences / 2
+
+
 def test_plan_of_all_lengths_is_quick():
     rng = np.random.default_rng(4)
     for counts in ({x: int(n) for x, n in zip(range(1, 2049), rng.integers(1, 5000, 2048))}, {x: 1 for x in range(1, 2049)}, {x: 1 + x % 3 for x in range(900, 2049)}):

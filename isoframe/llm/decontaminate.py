@@ -18,11 +18,16 @@ that holds an item keeps (length - 1) - 2 * edits of the pairs that items of
 this length have.  A pair that only repeats the one before counts where some
 item has such a thing, too.  Of the windows' keys only those are kept that some
 item may have, by a table of bits of fixed size.
+
+Items of fewer than WALKED words need no walk.  Without an edit the window is the
+item; with one, both are equal but for a word of each, so their hashes without
+each word in turn are their keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,12 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isoframe.llm.scratch import written
+from isoframe.llm.skew import dealt_join
 from isoframe.llm.textkit import U64, Texts, arrow_slices, encoded, mix, runs
 
 #: Edits allowed, as a share of the item's words.
 MAX_EDITS = 0.2
-#: Shorter items identify nothing and aren't searched.
-MIN_WORDS = 8
+#: Words of the items that are searched, at least, and of those for which a
+#: document is dropped: what is shorter may stand in any text.
+MIN_WORDS, TELLING = 1, 8
+#: Items of fewer words allow one edit at most and are found by equal hashes, not by walks.
+WALKED = 8
 #: Longer items are searched by parts of PART to 1.5 * PART words or so.
 PART = 15
 #: Sampled steps of each repetition of the embedding; see repeats().
@@ -57,7 +66,10 @@ def repeats(length: int) -> int:
     """Repetitions with which 95 of 100 passages at MAX_EDITS share a key.
 
     Measured on random words, for substitutions, deletions, insertions and all.
+    Of an item that isn't walked, the number of its exact keys.
     """
+    if length < WALKED:
+        return length if edits_allowed(length) else 1
     return 16 if length < 15 else 32 if length < 23 else 48
 
 
@@ -89,6 +101,12 @@ def sampled(words: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=256)
+def _steps(length: int) -> np.ndarray:
+    """Sampled steps (repetitions, samples) of walks over so many words."""
+    return np.stack([np.random.Generator(np.random.PCG64([r, length])).choice(WALK * length, STEPS, replace=False) for r in range(repeats(length))])
+
+
 def walk_keys(words: np.ndarray, length: int) -> np.ndarray:
     """Keys (rows, repetitions) of rows of ``length`` word hashes.
 
@@ -96,7 +114,15 @@ def walk_keys(words: np.ndarray, length: int) -> np.ndarray:
     rows walk once.
     """
     times = repeats(length)
-    steps = np.stack([np.random.Generator(np.random.PCG64([r, length])).choice(WALK * length, STEPS, replace=False) for r in range(times)])
+    if length < WALKED:
+        keys = np.empty((len(words), times), U64)
+        for j in range(times):
+            rest = np.delete(words, j, axis=1) if times > 1 else words
+            keys[:, j] = U64(length)
+            for k in range(rest.shape[1]):
+                keys[:, j] = mix(keys[:, j] * U64(31) + rest[:, k])
+        return keys
+    steps = _steps(length)
     whole = np.ascontiguousarray(words).view(np.dtype((np.void, 8 * length))).ravel()
     _, first, back = np.unique(whole, return_index=True, return_inverse=True)
     keys = np.empty((len(first), times), U64)
@@ -138,16 +164,15 @@ def edits_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(begin[end]), end
 
 
-def _items(benchmark: DataFrame) -> DataFrame:
-    """item_id, n_words, keys, keys of the walks alone and text of items long
-    enough to search."""
+def _items(benchmark: DataFrame, min_words: int) -> DataFrame:
+    """item_id, n_words, keys, keys of the walks alone and text of items of so many words."""
 
     def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for item_id, text in zip(batch.item_id.astype("object"), batch.text, strict=True):
                 t = Texts(encoded([text]), lower=True)
-                if len(t.start) >= MIN_WORDS:
+                if len(t.start) >= min_words:
                     words, n = t.words()[None, :], len(t.start)
                     walked = [(a, walk_keys(words[:, a : a + size], size)[0]) for a, size in parts(n)]
                     keys = np.concatenate([keys_of(w, n, a) for a, w in walked])
@@ -225,7 +250,11 @@ def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray,
     # Texts without as many pairs of any items as the least that suffice are out.
     total = np.concatenate([[0], np.cumsum(have != 0)])[t.first]
     full = np.repeat(np.diff(total) >= min((size - 1 - 2 * edits_allowed(size) for _, size in sizes), default=1 << 40), np.diff(t.first))
-    place = np.flatnonzero(full)
+    # Within the longest window from a place there must be as many as any needs.
+    counted = np.concatenate([[0], np.cumsum(have != 0)])
+    ahead = np.minimum(np.arange(len(words)) + max((size for _, size in sizes), default=0), len(words))
+    least = min((size - 1 - 2 * edits_allowed(size) for _, size in sizes), default=1 << 40)
+    place = np.flatnonzero(full & (counted[ahead] - counted[:-1] >= least))
     room = t.first[t.doc[place] + 1] - place
     for n, length in sizes:
         edits = edits_allowed(length)
@@ -280,21 +309,25 @@ def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: boo
     return plain.mapInArrow(cut, KEYS)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, item_id, start, end, edits of each item that a document holds.
 
     start and end are word places of the best passage, end exclusive.  Words
     are runs of characters other than space and 0x09-0x0D, with A-Z in lower
-    case.  Null or empty texts hold nothing; items that are null or of fewer
-    than MIN_WORDS words are not searched; rows with a null id are searched and
-    reported with it.  Repeated rows give one result for each doc_id and item.
+    case.  Null or empty texts hold nothing, nor are items
+    without words, or of fewer than ``min_words``, held;
+    rows with a null id are searched and reported with it.  Repeated rows give
+    one result for each doc_id and item.
     """
-    items = written(_items(benchmark), "items")
+    items = written(_items(benchmark, min_words), "items")
     windows = written(_windows(docs, *_pair_table(items), _known_keys(items)), "windows")
-    item_keys = items.select("item_id", "item", F.explode("keys").alias("key"))
-    # The keys are met first without texts; then each candidate once.
-    window_keys = windows.select(F.xxhash64("text").alias("t"), "size", F.explode("keys").alias("key")).distinct()
-    pairs = window_keys.join(item_keys, "key").select("t", "item_id", "item").distinct()
+    # The keys are met first without texts; then each candidate once.  A key, an
+    # item or a window's text that much of the table has is dealt over parts.
+    named = items.withColumn("i", F.xxhash64("item_id", "item"))
+    item_keys = named.select("i", F.explode("keys").alias("key")).distinct()
+    window_keys = written(windows.select(F.xxhash64("text").alias("t"), F.explode("keys").alias("key")).distinct(), "window-keys")
+    met = written(dealt_join(window_keys, item_keys, ["key"]).select("t", "i").distinct(), "candidates")
+    pairs = dealt_join(met, named.select("i", "item_id", "item").distinct(), ["i"])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -309,13 +342,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     texts = windows.select(F.xxhash64("text").alias("t"), "text").groupBy("t").agg(F.first("text").alias("text"))
     matches = pairs.join(texts, "t").mapInPandas(compare, "t long, item_id long, a int, b int, edits int")
-    found = windows.select("doc_id", "start", F.xxhash64("text").alias("t")).distinct().join(matches, "t")
+    places = windows.select("doc_id", "start", F.xxhash64("text").alias("t"))
+    found = dealt_join(places, written(matches, "matches"), ["t"])
     best = F.min(F.struct("edits", (F.col("start") + F.col("a")).alias("start"), (F.col("start") + F.col("b")).alias("end"))).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.start", "best.end", "best.edits")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that hold no item, with all their columns, whatever their names.
+def clean(docs: DataFrame, benchmark: DataFrame, min_words: int = TELLING) -> DataFrame:
+    """Rows of ``docs`` that hold no item of ``min_words`` words or more, with all
+    their columns, whatever their names.
 
     Each row is judged by its own text, so rows without a doc_id, and rows of
     equal doc_id, stay or go for themselves.  Null and empty texts stay.
@@ -324,5 +359,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     id_, text = (F.col(f"c{docs.columns.index(name)}") for name in ("doc_id", "text"))
     keyed = plain.withColumn("key", F.xxhash64(id_, text))
-    found = contaminated(keyed.select(F.col("key").alias("doc_id"), text.alias("text")), benchmark)
+    found = contaminated(keyed.select(F.col("key").alias("doc_id"), text.alias("text")), benchmark, min_words)
     return keyed.join(found.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").drop("key").toDF(*docs.columns)

@@ -87,7 +87,9 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, item, "x"), (3, item, "x"), (None, item, None), (4, "a " * 50000 + item, "y")], "doc_id long, text string, key string")
     bench = spark.createDataFrame([(7, item, 1), (None, item, 2), (8, None, 3), (9, "", 4), (10, "one two", 5)], "item_id long, text string, start int")
     got = {(r.doc_id, r.item_id, r.start, r.end, r.edits) for r in d.contaminated(docs, bench).collect()}
-    assert got == {(x, i, s, s + 9, 0) for x, s in ((3, 0), (None, 0), (4, 50000)) for i in (7, None)}
+    # The item of two words is held, too, but no document goes for it.
+    assert got == {(x, i, s, s + n, 0) for x, s in ((3, 0), (None, 0), (4, 50000)) for i, n in ((7, 9), (None, 9), (10, 2))}
+    assert [r.doc_id for r in d.clean(docs, bench.where("item_id = 10")).where("doc_id = 3").collect()] == [3, 3]
     assert [r.doc_id for r in d.clean(docs, bench).orderBy("doc_id").collect()] == [1, 2]
     assert d.clean(docs, bench).columns == docs.columns
     assert d.contaminated(docs.limit(0), bench).count() == 0
@@ -115,3 +117,16 @@ def test_recall_at_the_edit_limit(spark):
     share = {c: sum(case[i] == c for i in got) / 20 for c in set(case)}
     print(share)
     assert min(share.values()) >= 0.9 and len(got) >= 0.97 * len(case)
+
+
+def test_short_items_are_all_found(spark):
+    rng = random.Random(12)
+    text = lambda n: [f"w{rng.randrange(60)}" for _ in range(n)]
+    items = [text(n) for n in range(1, 8) for _ in range(6)] + [["w1", "w1", "w1", "w1", "w1"], text(20)]
+    docs = [text(rng.randrange(0, 60)) for _ in range(250)]
+    for k, item in enumerate(items):
+        docs.append(text(rng.randrange(9)) + edited(item, int(0.2 * len(item)), rng) + text(rng.randrange(9)))
+    found = d.contaminated(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(docs)], "doc_id long, text string"), spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    want = {(i, j) for i, t in enumerate(docs) for j, item in enumerate(items) if distance(item, t) <= int(0.2 * len(item)) < len(item)}
+    assert got <= want and {(i, j) for i, j in want if len(items[j]) < d.WALKED} <= got and len(want) > 300

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from isoframe.llm.scratch import written
 from isoframe.llm.skew import dealt_join
-from isoframe.llm.textkit import U64, Texts, arrow_slices, encoded, mix, runs
+from isoframe.llm.textkit import U64, Texts, arrow_slices, encoded, mix, runs, slices
 
 #: Edits allowed, as a share of the item's words.
 MAX_EDITS = 0.2
@@ -52,8 +52,8 @@ PART = 15
 STEPS = 3
 #: Steps of a walk over n words, as a multiple of n.
 WALK = 2
-#: Rows that walk side by side.
-BLOCK = 4096
+#: Rows that walk, and pairs that are compared, side by side.
+BLOCK, COMPARED = 4096, 512
 #: 2 ** PAIR_BITS buckets of word pairs, of eight bytes each, are sent to tasks.
 PAIR_BITS = 20
 #: 2 ** FILTER_BITS bits of keys that items have are sent to tasks, too.
@@ -164,6 +164,40 @@ def edits_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(begin[end]), end
 
 
+def edits_of_many(items: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
+    """Rows of ``edits_within`` for an item and a text each, side by side."""
+    out = np.zeros((len(items), 3), np.int64)
+    sizes = np.array([(len(a), len(b)) for a, b in zip(items, texts, strict=True)], np.int64).reshape(-1, 2)
+    # Alike sizes together, the longest items of a block first.
+    order = np.lexsort((sizes[:, 1], sizes[:, 0]))[::-1]
+    for low in range(0, len(order), COMPARED):
+        rows = order[low : low + COMPARED]
+        n, m = sizes[rows].T
+        item, text = np.zeros((len(rows), n.max()), U64), np.zeros((len(rows), m.max()), U64)
+        for k, r in enumerate(rows.tolist()):
+            item[k, : n[k]], text[k, : m[k]] = items[r], texts[r]
+        places = np.arange(m.max() + 1, dtype=np.int32)
+        cost = np.zeros((len(rows), len(places)), np.int32)
+        begin = np.repeat(places[None], len(rows), 0)
+        for i in range(1, int(n.max()) + 1):
+            # Rows whose item has so many words come first.
+            r = int(np.count_nonzero(n >= i))
+            swap = cost[:r, :-1] + (text[:r] != item[:r, i - 1 : i])
+            drop = cost[:r, 1:] + 1
+            new, start = np.empty((r, len(places)), np.int32), np.zeros((r, len(places)), np.int32)
+            new[:, 0] = i
+            np.minimum(swap, drop, out=new[:, 1:])
+            start[:, 1:] = np.where(swap <= drop, begin[:r, :-1], begin[:r, 1:])
+            new -= places
+            least = np.minimum.accumulate(new, 1)
+            first = np.maximum.accumulate(np.where(new == least, places, 0), 1)
+            cost[:r], begin[:r] = least + places, np.take_along_axis(start, first, 1)
+        end = np.where(places > m[:, None], np.int32(1 << 30), cost).argmin(1)
+        line = np.arange(len(rows))
+        out[rows] = np.stack([cost[line, end], begin[line, end], end], 1)
+    return out
+
+
 def _items(benchmark: DataFrame, min_words: int) -> DataFrame:
     """item_id, n_words, keys, keys of the walks alone and text of items of so many words."""
 
@@ -331,15 +365,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WOR
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            raw = [x for two in zip(encoded(batch["item"]), encoded(batch.text), strict=True) for x in two]
             found = []
-            for t, item_id, item, text in zip(batch.t, batch.item_id.astype("object"), batch["item"], batch.text, strict=True):
-                both = Texts(encoded([item, text]), lower=True)
-                words, n = both.words(), both.first[1]
-                edits, start, end = edits_within(words[:n], words[n:])
-                if edits <= edits_allowed(int(n)):
-                    found.append((t, item_id, start, end, edits))
-            yield pd.DataFrame(found, columns=["t", "item_id", "a", "b", "edits"]).astype({"item_id": "Int64"})
-
+            for low, high in slices([raw[k] + raw[k + 1] for k in range(0, len(raw), 2)]):
+                t = Texts(raw[2 * low : 2 * high], lower=True)
+                parts_ = np.split(t.words(), t.first[1:-1])
+                words = np.array([len(x) for x in parts_[::2]], np.int64)
+                found.append(np.column_stack([edits_of_many(parts_[::2], parts_[1::2]), words]))
+            out = batch[["t", "item_id"]].astype({"item_id": "Int64"})
+            found = np.concatenate(found) if found else np.zeros((0, 4), np.int64)
+            out[["edits", "a", "b"]] = found[:, :3]
+            yield out[found[:, 0] <= edits_allowed(found[:, 3])][["t", "item_id", "a", "b", "edits"]]
     texts = windows.select(F.xxhash64("text").alias("t"), "text").groupBy("t").agg(F.first("text").alias("text"))
     matches = pairs.join(texts, "t").mapInPandas(compare, "t long, item_id long, a int, b int, edits int")
     places = windows.select("doc_id", "start", F.xxhash64("text").alias("t"))

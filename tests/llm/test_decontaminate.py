@@ -38,6 +38,15 @@ def test_edits_within(item, text):
     assert edits == distance(item, text) == plain(item, text[start:end])
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 3), min_size=1, max_size=9), st.lists(st.integers(0, 3), max_size=14)), max_size=12))
+def test_many_pairs_at_once_as_one_by_one(pairs):
+    # 0 is what rows are filled up with.
+    items, texts = ([np.array(x, np.uint64) for x in some] for some in (zip(*pairs, strict=True) if pairs else ((), ())))
+    got = d.edits_of_many(items, texts)
+    assert [tuple(r) for r in got.tolist()] == [d.edits_within(a, b) for a, b in zip(items, texts, strict=True)]
+
+
 def edited(words, n, rng):
     words = list(words)
     for _ in range(n):

@@ -61,9 +61,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     where = F.struct("doc_id", "place")
     twice = long.groupBy("hash").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").select("hash")
     candidates = written(dealt_join(written(long, "chunks"), twice, ["hash"], "left_semi"), "candidates")
-    firsts = candidates.groupBy("hash", "chunk").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
-    # Equal chunks, byte for byte.
-    same = dealt_join(candidates, written(firsts, "first-chunks"), ["hash", "chunk"])
+    firsts = candidates.groupBy("hash", F.col("chunk").alias("first_chunk")).agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").drop("last")
+    # Dealt by their hashes, then equal byte for byte.
+    same = dealt_join(candidates, written(firsts, "first-chunks"), ["hash"]).where(F.col("chunk") == F.col("first_chunk"))
     return same.where(where != F.col("first")).select("doc_id", "place", "hash")
 
 

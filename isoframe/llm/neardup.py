@@ -35,6 +35,8 @@ COLLECTIONS, ROWS = 14, 2
 PERCENT = 80
 #: Queries and compared sets of a block, on average.
 QUERIES, COMPARED = 512, 512
+#: Shingles hashed at once.
+HASHED = 1 << 14
 
 _RNG = np.random.Generator(np.random.PCG64(77))
 _MULTIPLY = _RNG.integers(1, 1 << 63, COLLECTIONS * ROWS, dtype=np.uint64) * U64(2) + U64(1)
@@ -44,7 +46,10 @@ _FOLD = U64(0x9E3779B97F4A7C15)
 
 def _collections(shingles: np.ndarray) -> np.ndarray:
     """One hash for each collection: its minhashes combined."""
-    least = (shingles[:, None] * _MULTIPLY + _ADD).min(0).reshape(COLLECTIONS, ROWS)
+    least = np.full(COLLECTIONS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for low in range(0, len(shingles), HASHED):
+        np.minimum(least, (shingles[low : low + HASHED, None] * _MULTIPLY + _ADD).min(0), out=least)
+    least = least.reshape(COLLECTIONS, ROWS)
     out = least[:, 0]
     for r in range(1, ROWS):
         out = (out ^ (out >> U64(31))) * _FOLD + least[:, r]
@@ -83,7 +88,7 @@ def _keys(leaders: DataFrame) -> DataFrame:
     """
     single = leaders.select(F.col("doc_id").alias("doc"), F.posexplode("hashes").alias("i", "h"))
     shared = single.groupBy("i", "h").agg(F.count("*").alias("n")).where("n > 1").select("i", "h")
-    kept = single.join(shared, ["i", "h"]).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("c"))
+    kept = dealt_join(single, shared, ["i", "h"]).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("c"))
     pairs = F.expr("flatten(transform(c, (x, p) -> transform(slice(c, p + 2, size(c)), y -> xxhash64(x.i, y.i, x.h, y.h))))")
     return kept.select("doc", F.explode(pairs).alias("key"))
 
@@ -121,12 +126,14 @@ def _star_links(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
             yield pd.DataFrame(found, columns=["a", "b"])
 
     pivots = texts.select(F.col("doc").alias("pivot"), F.col("text").alias("pivot_text"))
-    return pairs.join(texts, "doc").join(pivots, "pivot").select("doc", "pivot", "text", "pivot_text").mapInPandas(confirm, "a long, b long")
+    # A pivot meets its whole bucket.
+    return dealt_join(pairs, pivots, ["pivot"]).join(texts, "doc").select("doc", "pivot", "text", "pivot_text").mapInPandas(confirm, "a long, b long")
 
 
 def _block_links(keys: DataFrame, labels: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """Links between different components within a bucket."""
-    labelled = keys.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc"))
+    labelled = keys.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("label"))
+    labelled = written(labelled, "labelled-keys")
     counts = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("sign"))
     mixed = (
         counts.groupBy("key")
@@ -135,7 +142,7 @@ def _block_links(keys: DataFrame, labels: DataFrame, texts: DataFrame, k: int) -
     )
     # Buckets with the same sets need one comparison.
     mixed = mixed.groupBy("n", "sign", "largest", "most").agg(F.min("key").alias("key"))
-    rows = labelled.select("key", "doc", "label").join(mixed, "key").withColumn("is_query", F.col("label") != F.col("largest"))
+    rows = dealt_join(labelled, written(mixed, "mixed-buckets"), ["key"]).withColumn("is_query", F.col("label") != F.col("largest"))
     rows = rows.withColumn("query_blocks", F.ceil((F.col("n") - F.col("most")) / QUERIES)).withColumn("blocks", F.ceil(F.col("n") / COMPARED))
     deal = lambda by, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), F.col(by))
     every = lambda by: F.explode(F.sequence(F.lit(0).cast("long"), F.col(by) - 1))
@@ -176,16 +183,17 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     same = ["n_shingles", "sum_1", "sum_2"]
     classes = written(full.groupBy(*same).agg(F.min("doc_id").alias("doc")), "classes")
     members = written(dealt_join(full.select("doc_id", *same), classes, same).select("doc_id", "doc").distinct(), "members")
-    leaders = full.join(members.where("doc_id = doc").select("doc_id").distinct(), "doc_id", "left_semi")
-    keys = _keys(leaders)
+    leaders = written(full.join(members.where("doc_id = doc").select("doc_id").distinct(), "doc_id", "left_semi"), "leaders")
+    keys = written(_keys(leaders), "all-keys")
     pivots = F.array(F.min("doc"), F.max("doc"), F.min_by("doc", F.xxhash64("doc"))).alias("pivots")
     buckets = written(keys.groupBy("key").agg(F.count("*").alias("n"), pivots).where("n > 1").drop("n"), "buckets")
-    keys = written(keys.join(buckets, "key"), "keys")
+    keys = written(dealt_join(keys, buckets, ["key"]), "keys")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string"))
     texts = written(plain.join(keys.select("doc").distinct(), "doc"), "texts")
     pairs = keys.select("doc", F.explode(F.array_distinct("pivots")).alias("pivot")).where("doc <> pivot")
     # Either way round it is the same pair.
-    pairs = pairs.select(F.least("doc", "pivot").alias("doc"), F.greatest("doc", "pivot").alias("pivot")).distinct()
+    pairs = pairs.groupBy(F.least("doc", "pivot").alias("low"), F.greatest("doc", "pivot").alias("high")).agg(F.max("pivot").alias("pivot"))
+    pairs = written(pairs.select(F.when(F.col("pivot") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("doc"), "pivot"), "pairs")
     stars = written(_star_links(pairs, texts, k), "star-links")
     more = _block_links(keys.select("key", "doc"), components(stars), texts, k)
     # A document that several rows have belongs to all their classes.

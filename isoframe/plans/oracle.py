@@ -399,4 +399,17 @@ UNION ALL SELECT gene_ord, t.ok, CAST(CASE WHEN t.is_rev THEN t.n - x.j ELSE x.j
     "region_read": _ctes("fx_aln", more=_WALK + """, spans AS (
   SELECT qname, rec, min(tid) AS tid, min(pos) AS pos, min(pos) + sum(CASE WHEN op IN ('M', 'D', 'N', '=', 'X') THEN len ELSE 0 END) - 1 AS last FROM walk WHERE (flag & 4) = 0 GROUP BY qname, rec
 )""") + "SELECT qname, rec, pos, CAST(last AS INT) AS last FROM spans WHERE tid = 3 AND pos <= 9000 AND last >= 5000",
+    "junction_file": _ctes("fx_aln", more=_WALK + """, counts AS (
+  SELECT tid, CAST(here + 1 AS INT) AS don, CAST(here + len AS INT) AS acc, count(*) FILTER (WHERE nh = 1) AS uniq_c, count(*) FILTER (WHERE nh <> 1) AS multi_c
+  FROM walk WHERE op = 'N' AND len >= 3 AND (flag & 4) = 0 AND (flag & 2) <> 0 GROUP BY 1, 2, 3
+)""")
+    + "SELECT 'chr' || CAST(tid + 1 AS VARCHAR) AS chrom, CASE WHEN tid < 24 THEN tid END AS tid, don, acc, CAST(uniq_c AS INT) AS uniq_c, CAST(multi_c AS INT) AS multi_c FROM counts",
+    "junction_order": _ctes("fx_aln", more=_WALK + """, counts AS (
+  SELECT tid, CAST(here + 1 AS INT) AS don, CAST(here + len AS INT) AS acc, count(*) FILTER (WHERE nh = 1) AS uniq_c, count(*) FILTER (WHERE nh <> 1) AS multi_c
+  FROM walk WHERE op = 'N' AND len >= 3 AND (flag & 4) = 0 AND (flag & 2) <> 0 GROUP BY 1, 2, 3
+)""") + """SELECT CAST(k AS BIGINT) AS place, value FROM (VALUES (1, '###STRAND 0:undefined, 1:+, 2:-'), (2, '###ANNO 0:novel, 1:annotated'),
+  (3, '###MOTIF 0:non-canonical, 1:GT/AG, 2:CT/AC, 3:GC/AG, 4:CT/GC, 5:AT/AC, 6:GT/AT'), (4, '#CHR' || chr(9) || 'START' || chr(9) || 'END' || chr(9) || 'STRAND' || chr(9) || 'ANNO' || chr(9) || 'UNIQ_C' || chr(9) || 'MULTI_C' || chr(9) || 'MOTIF')) h(k, value)
+UNION ALL SELECT 4 + row_number() OVER (ORDER BY tid, don, acc), concat_ws(chr(9), 'chr' || CAST(tid + 1 AS VARCHAR), CAST(don AS VARCHAR), CAST(acc AS VARCHAR), '0', '1', CAST(uniq_c AS VARCHAR), CAST(multi_c AS VARCHAR), '0') FROM counts""",
+    "gtf_odd": _ctes("fx_exon", more=_TR) + """SELECT 't' || CAST(ok AS VARCHAR) AS trans_id, 't' || CAST(ok AS VARCHAR) AS trans_name, CAST(gene AS VARCHAR) AS gene_id, CAST(gene AS VARCHAR) AS gene_name,
+       CAST(CASE WHEN tid < 24 THEN tid ELSE -1 END AS INT) AS tid, CAST(n AS INT) AS n_exons, is_rev FROM anno""",
 }

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoframe.functions import cigar, intervals
+from isoframe.functions import cigar, intervals, ordered
 from isoframe.operators import classify, evidence, fusion, junctions, merge, report, select, split
 from isoframe.operators.transcripts import from_alignments, shown, strand
 from isoframe.plans import update
@@ -364,6 +364,44 @@ def gene_gtf(spark, sf_dir):
     return gtf.gene_text(rows.withColumn("gene_name", F.concat(F.lit("G"), "gene_id")), "src")
 
 
+@query
+def junction_file(spark, sf_dir):
+    """Counted junctions as a table of nine columns, written, and read with the
+    numbers of contigs of which one is unknown."""
+    rows = alignments(spark, sf_dir).withColumn("chrom", F.concat(F.lit("chr"), F.col("tid") + 1))
+    counts = junctions.counted(junctions.extracted(rows)).withColumn("chrom", F.concat(F.lit("chr"), F.col("tid") + 1))
+    path = new_path(spark, "junction-table")
+    tables.junctions_from_counts(counts).write.csv(path, sep="\t")
+    contigs = spark.range(24).select(F.concat(F.lit("chr"), F.col("id") + 1).alias("name"), F.col("id").cast("int").alias("tid"))
+    return tables.read_junctions(spark, path, contigs).select("chrom", "tid", "don", "acc", "uniq_c", "multi_c")
+
+
+@query
+def junction_order(spark, sf_dir):
+    """A junction file as it is written: its lines and their order."""
+    rows = alignments(spark, sf_dir).withColumn("chrom", F.concat(F.lit("chr"), F.col("tid") + 1))
+    counts = junctions.counted(junctions.extracted(rows)).withColumn("chrom", F.concat(F.lit("chr"), F.col("tid") + 1))
+    path = new_path(spark, "junctions")
+    tables.write_junctions(counts, path)
+    lines = ordered.run_heads(gtf.numbered(spark, path).drop("file"), F.col("ord"), "head", "place")
+    return lines.select("place", "value")
+
+
+@query
+def gtf_odd(spark, sf_dir):
+    """Annotation lines of which some lack an id or a name, on contigs of which
+    one is unknown, written with ids only and read back."""
+    rows = transcripts(spark, sf_dir, "anno").withColumn("seqname", F.concat(F.lit("chr"), F.col("tid") + 1)).withColumn("trans_id", F.concat(F.lit("t"), "ord"))
+    short = gtf.lines(rows, "src", full=False).where("value LIKE '%\texon\t%'")
+    # By number: a gene's name for its id, a transcript's name for its id.
+    named = F.when(F.col("ord") % 30 == 0, F.regexp_replace("value", "gene_id", "gene_name")).when(F.col("ord") % 30 == 10, F.regexp_replace("value", "transcript_id", "transcript_name")).otherwise(F.col("value"))
+    path = new_path(spark, "odd-gtf")
+    short.select("ord", "row", named.alias("value")).orderBy("ord", "row").select("value").write.text(path)
+    contigs = spark.range(24).select(F.concat(F.lit("chr"), F.col("id") + 1).alias("name"), F.col("id").cast("int").alias("tid"))
+    out = gtf.read(spark, path, contigs)
+    return out.select("trans_id", "trans_name", "gene_id", "gene_name", "tid", F.size("exons").alias("n_exons"), "is_rev")
+
+
 #: A contig and two places on it.
 REGION = (3, 5000, 9000)
 

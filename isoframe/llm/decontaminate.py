@@ -273,8 +273,12 @@ def edits_allowed(length):
     return np.floor(MAX_EDITS * length).astype(np.int64) if isinstance(length, np.ndarray) else int(MAX_EDITS * length)
 
 
-def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray, again: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Items' and parts' length, starts and ends of windows that may hold a part."""
+def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray, again: bool) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """Items' length, a part's place and length, starts and ends of windows that may hold it.
+
+    The window must have enough pairs for the part, and the text around it
+    for the whole item.
+    """
     pairs, at = runs(words, t.doc, 2)
     have = np.zeros(len(words), U64)
     have[at] = table[pairs >> U64(64 - PAIR_BITS)]
@@ -297,8 +301,34 @@ def _starts(t: Texts, words: np.ndarray, lengths: np.ndarray, table: np.ndarray,
         size = np.minimum(room, length)
         held = before[place + size - 1] - before[place]
         may = np.flatnonzero((held >= length - 1 - 2 * edits) & (size >= length - edits))
-        if len(may):
-            yield n, length, place[may], place[may] + size[may]
+        if not len(may):
+            continue
+        start, end, doc = place[may], place[may] + size[may], t.doc[place[may]]
+        spare = edits_allowed(n)
+        for at in (at for at, part in parts(n) if part == length):
+            low = np.maximum(start - at - spare, t.first[doc])
+            high = np.minimum(start + n - at + spare, t.first[doc + 1])
+            ok = before[high - 1] - before[low] >= n - 1 - 2 * spare
+            if ok.any():
+                yield n, at, length, start[ok], end[ok]
+
+
+def _joined(met: list[tuple]) -> Iterator[tuple]:
+    """Windows of a text for items of one length that begin near each other, as
+    one, with the keys of all: doc, length, first and last word, keys.
+
+    A passage brings a window for each place from which its keys are met.
+    """
+    met.sort(key=lambda x: x[:3])
+    k = 0
+    while k < len(met):
+        doc, n, low, high, _ = met[k]
+        last = k
+        while last < len(met) and met[last][:2] == (doc, n) and met[last][2] <= low + n // 2:
+            high = max(high, met[last][3])
+            last += 1
+        yield doc, n, low, high, np.unique(np.concatenate([x[4] for x in met[k:last]]))
+        k = last
 
 
 def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: bool, known: np.ndarray) -> DataFrame:
@@ -312,28 +342,29 @@ def _windows(docs: DataFrame, lengths: np.ndarray, table: np.ndarray, again: boo
             ids = batch.column("doc_id")
             for a, b, raw in arrow_slices(batch.column("text")):
                 t = Texts(raw, lower=True)
-                words, rows, seen = t.words(), [], set()
-                by_length: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
-                for n, length, start, end in _starts(t, words, lengths, table, again):
-                    by_length.setdefault(length, []).append((n, start, end))
+                words, rows, seen, met = t.words(), [], set(), []
+                by_length: dict[int, list[tuple[int, int, np.ndarray, np.ndarray]]] = {}
+                for n, at, length, start, end in _starts(t, words, lengths, table, again):
+                    by_length.setdefault(length, []).append((n, at, start, end))
                 for length, found in by_length.items():
-                    start, end = (np.concatenate([f[k] for f in found]) for k in (1, 2))
-                    size = np.repeat([n for n, _, _ in found], [len(f[1]) for f in found])
+                    start, end = (np.concatenate([f[k] for f in found]) for k in (2, 3))
+                    size, part = (np.repeat([f[k] for f in found], [len(f[2]) for f in found]) for k in (0, 1))
                     # One walk for each place, whatever items it may hold.
                     place, first, back = np.unique(start, return_index=True, return_inverse=True)
                     inside = place[:, None] + np.arange(length)
                     walked = walk_keys(np.where(inside < end[first, None], words[np.minimum(inside, len(words) - 1)], U64(0)), length)
                     hits = _hits(walked, known)
                     for r in np.flatnonzero(hits.any(1)[back]).tolist():
-                        n, doc, w = int(size[r]), int(t.doc[start[r]]), back[r]
-                        for at in (at for at, part in parts(n) if part == length):
-                            low = max(int(start[r]) - at - edits_allowed(n), int(t.first[doc]))
-                            high = min(int(end[r]) + n - at - length + edits_allowed(n), int(t.first[doc + 1]))
-                            text = t.buf[t.start[low] : t.end[high - 1]].tobytes()
-                            # Text that repeats itself gives equal windows; the first counts.
-                            if (doc, n, at, text) not in seen:
-                                seen.add((doc, n, at, text))
-                                rows.append((a + doc, low - int(t.first[doc]), n, keys_of(walked[w, hits[w]], n, at), text))
+                        n, at, doc, w = int(size[r]), int(part[r]), int(t.doc[start[r]]), back[r]
+                        low = max(int(start[r]) - at - edits_allowed(n), int(t.first[doc]))
+                        high = min(int(end[r]) + n - at - length + edits_allowed(n), int(t.first[doc + 1]))
+                        met.append((doc, n, low, high, keys_of(walked[w, hits[w]], n, at)))
+                for doc, n, low, high, keys in _joined(met):
+                    text = t.buf[t.start[low] : t.end[high - 1]].tobytes()
+                    # Text that repeats itself gives equal windows; the first counts.
+                    if (doc, n, text) not in seen:
+                        seen.add((doc, n, text))
+                        rows.append((a + doc, low - int(t.first[doc]), n, keys, text))
                 if rows:
                     doc, *columns = zip(*rows)
                     arrays = [pa.array(x, kind) for x, kind in zip(columns, (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()), strict=True)]

@@ -148,6 +148,7 @@ def write_fusions(fusions: DataFrame, contigs: DataFrame, path: str) -> None:
     names = lambda side: contigs.select(F.col("tid").alias(f"{side}_tid"), F.col("name").alias(f"{side}_chr"))
     rows = fusions.join(names("left"), "left_tid").join(names("right"), "right_tid")
     strand = lambda side: F.when(F.col(f"{side}_is_rev"), "-").otherwise("+")
+    # The columns of a fusion file.
     heads = ["#fusion_id", "1st_chr", "1st_strand", "st_start_site", "1st_end_site", "2nd_chr", "2nd_strand", "2nd_start_site", "2nd_end_site"]
     columns = ["qname"] + [c for side in ("left", "right") for c in (f"{side}_chr", strand(side), F.col(f"{side}_ref_start").cast("string"), F.col(f"{side}_ref_end").cast("string"))]
     body = rows.select(F.lit(1).alias("part"), "qname", F.concat_ws("\t", *columns).alias("value"))

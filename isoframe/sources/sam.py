@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isoframe.functions.ordered import run_heads
 from isoframe.sources.gtf import numbered
 
 RECORD = "file string, ord long, qname string, flag int, chrom string, tid int, pos int, mapq int, cigar string, l_qseq int, nm int, as_score int, nh int, xs string"
@@ -40,11 +41,18 @@ def write(records: DataFrame, contigs: DataFrame, path: str, by_place: bool = Fa
     """Write records as SAM text without bases, after their header.
 
     In order of ord, or ``by_place``: by contig and place, unmapped ones last.
+    Records of a read that follow one another by ord stay in one file, as reads
+    of different files are different reads.
     """
     head = contigs.select(F.lit(0).alias("part"), F.col("tid").cast("long").alias("ord"), F.concat(F.lit("@SQ\tSN:"), "name", F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
     tags = [F.concat(F.lit(f"{name}:{kind}:"), F.col(c).cast("string")) for name, kind, c in (("NM", "i", "nm"), ("AS", "i", "as_score"), ("NH", "i", "nh"), ("XS", "A", "xs"))]
     fixed = ["qname", F.col("flag").cast("string"), "chrom", (F.col("pos") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.when(F.col("l_qseq") > 0, F.repeat(F.lit("N"), F.col("l_qseq"))).otherwise("*"), F.lit("*")]
-    where = [F.when(F.col("tid") >= 0, F.col("tid")).otherwise(1 << 30).cast("int"), F.col("pos")] if by_place else [F.lit(0), F.lit(0)]
-    body = records.select(F.lit(1).alias("part"), where[0].alias("contig"), where[1].alias("at"), "ord", F.concat_ws("\t", *fixed, *tags).alias("value"))
-    head = head.select("part", F.lit(0).alias("contig"), F.lit(0).alias("at"), "ord", "value")
-    head.unionByName(body).orderBy("part", "contig", "at", "ord").select("value").write.text(path)
+    if by_place:
+        keys = [F.when(F.col("tid") >= 0, F.col("tid")).otherwise(1 << 30).cast("long"), F.col("pos").cast("long"), F.col("ord")]
+    else:
+        records = run_heads(records.drop("file"), F.col("qname"), "first")
+        keys = [F.lit(0), F.lit(0), F.col("first")]
+    body = records.select(F.lit(1).alias("part"), *(k.cast("long").alias(c) for k, c in zip(keys, ("contig", "at", "first"), strict=True)), "ord", F.concat_ws("\t", *fixed, *tags).alias("value"))
+    head = head.select("part", *(F.lit(0).cast("long").alias(c) for c in ("contig", "at", "first")), "ord", "value")
+    order = ["part", "contig", "at", "first"]
+    head.unionByName(body).repartitionByRange(*order).sortWithinPartitions(*order, "ord").select("value").write.text(path)

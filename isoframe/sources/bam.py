@@ -14,7 +14,9 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
@@ -65,12 +67,16 @@ def header(stream) -> list[tuple[str, int]]:
     return out
 
 
+@lru_cache(1 << 16)
+def _cigar(packed: bytes) -> str:
+    return "".join(f"{x >> 4}{OPERATIONS[x & 15]}" for (x,) in struct.iter_unpack("<I", packed)) or "*"
+
+
 def record(raw: bytes, names: list[str]) -> tuple:
     """The columns after file and ord of one record."""
     tid, pos, l_name, mapq, _, n_cigar, flag, l_seq = struct.unpack_from("<iiBBHHHi", raw)
     at = 32 + l_name
-    packed = struct.unpack_from(f"<{n_cigar}I", raw, at)
-    cigar = "".join(f"{x >> 4}{OPERATIONS[x & 15]}" for x in packed) or "*"
+    cigar = _cigar(raw[at : at + 4 * n_cigar])
     found = tags(raw[at + 4 * n_cigar + (l_seq + 1) // 2 + l_seq :])
     return raw[32 : at - 1].decode(), flag, names[tid] if tid >= 0 else None, tid, pos, mapq, cigar, l_seq, found.get("NM"), found.get("AS"), found.get("NH"), found.get("XS")
 
@@ -155,7 +161,8 @@ def _guessed(path: str, contigs: int, begin: int, end: int) -> int:
 
 
 def scan(path: str, known: tuple, begin: int, end: int, place: int | None) -> tuple[int, int, int]:
-    first = _guessed(path, len(known[0]), begin, end) if place is None else place
+    # A file's first record needs no search.
+    first = place if place is not None else known[1] if known[1] >> 16 < end and begin == 0 else _guessed(path, len(known[0]), begin, end)
     if first < 0:
         raise ValueError("no record begins here")
     content, n = bgzf.Content(path, first), 0
@@ -182,16 +189,23 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return ranges.read(spark, path, FORMAT)
 
 
-def packed(row, tids: dict[str, int]) -> bytes:
-    """A record without bases: N for each, and no qualities."""
-    ops = [] if row.cigar in (None, "*") else [(int(n), OPERATIONS.index(op)) for n, op in OPERATION.findall(row.cigar)]
-    name, tid, pos, n = row.qname.encode() + b"\0", tids.get(row.chrom, -1), -1 if row.pos is None else row.pos, row.l_qseq or 0
-    end = pos + (sum(n for n, op in ops if OPERATIONS[op] in "MDN=X") or 1)
-    out = struct.pack("<iiBBHHHiiii", tid, pos, len(name), row.mapq or 0, _bin(pos, end), len(ops), row.flag, n, -1, -1, 0)
-    out += name + b"".join(struct.pack("<I", k << 4 | op) for k, op in ops) + b"\xff" * ((n + 1) // 2) + b"\xff" * n
-    for tag, value in (("NM", row.nm), ("AS", row.as_score), ("NH", row.nh)):
-        out += b"" if value is None else tag.encode() + b"i" + struct.pack("<i", value)
-    out += b"" if row.xs is None else b"XSA" + row.xs.encode()
+@lru_cache(1 << 16)
+def _operations(cigar: str | None) -> tuple[int, bytes, int]:
+    """How many operations a CIGAR string has, their codes, and the bases of the reference that they cover."""
+    ops = [] if cigar in (None, "*") else [(int(n), OPERATIONS.index(op)) for n, op in OPERATION.findall(cigar)]
+    return len(ops), struct.pack(f"<{len(ops)}I", *(k << 4 | op for k, op in ops)), sum(n for n, op in ops if OPERATIONS[op] in "MDN=X")
+
+
+def packed(row: tuple, tids: dict[str, int]) -> bytes:
+    """A record, of the columns of SCHEMA, without bases: N for each, and no qualities."""
+    _, _, qname, flag, chrom, _, pos, mapq, cigar, l_qseq, nm, as_score, nh, xs = row
+    n_ops, ops, covered = _operations(cigar)
+    name, pos, n = qname.encode() + b"\0", -1 if pos is None else pos, l_qseq or 0
+    out = struct.pack("<iiBBHHHiiii", tids.get(chrom, -1), pos, len(name), mapq or 0, _bin(pos, pos + (covered or 1)), n_ops, flag, n, -1, -1, 0)
+    out += name + ops + b"\xff" * ((n + 1) // 2 + n)
+    for tag, value in ((b"NMi", nm), (b"ASi", as_score), (b"NHi", nh)):
+        out += b"" if value is None else tag + struct.pack("<i", value)
+    out += b"" if xs is None else b"XSA" + xs.encode()
     return struct.pack("<i", len(out)) + out
 
 
@@ -210,16 +224,21 @@ def write(rows: DataFrame, contigs: DataFrame, path: str) -> None:
     Files follow one another by contig and place, unmapped records last.
     ``contigs`` (name, tid, length) is one row for each contig.
     """
-    spark = rows.sparkSession
-    spark.dataSource.register(BamSource)
     named = [(r["name"], r["length"]) for r in contigs.orderBy("tid").select("name", "length").collect()]
-    head = "\n".join(f"{name}\t{length}" for name, length in named)
+    writer = BamWriter(path, "\n".join(f"{name}\t{length}" for name, length in named))
     last = F.when(F.col("tid") >= 0, F.col("tid")).otherwise(1 << 30)
     columns = [c.split()[0] for c in SCHEMA.split(", ")]
     plain = rows.select(*(F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in columns))
     plain = plain.select(*(F.col(c.split()[0]).cast(c.split()[1]) for c in SCHEMA.split(", ")))
     ordered = plain.repartitionByRange(last, "pos", "ord").sortWithinPartitions(last, "pos", "ord")
-    ordered.write.format("bam").mode("append").option("path", path).option("contigs", head).save()
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = writer.write(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        yield pa.RecordBatch.from_pydict({"part": [made.part], "made": [made.made]})
+
+    # A row for each file; a task that runs again writes another one.
+    made = ordered.mapInArrow(written, "part long, made string").collect()
+    writer.commit([Written(r["part"], r["made"]) for r in made])
 
 
 class BamSource(DataSource):
@@ -281,7 +300,7 @@ class BamWriter(DataSourceWriter):
         def content():
             yield self._head()
             for row in rows:
-                yield packed(row, tids)
+                yield packed(tuple(row), tids)
 
         with system.open_output_stream(made) as out:
             for some in bgzf.blocks(content()):

@@ -16,6 +16,39 @@ def _plan(rows, kind: str = "optimizedPlan") -> str:
     return getattr(rows._jdf.queryExecution(), kind)().toString()
 
 
+def test_tables_are_dealt_by_their_size(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "ROWS", 100)
+    n = fixtures.parts(spark, SF)
+    assert n > 50
+    for name in ("transcripts_nested", "transcript_extent"):
+        plan = _plan(queries.QUERIES[name](spark, SF), "executedPlan")
+        # No shuffle but the one of each table.
+        assert plan.count("Exchange hashpartitioning") == plan.count(f", {n})"), name
+    plan = _plan(queries.QUERIES["merge_identical_chain"](spark, SF), "executedPlan")
+    assert plan.count("Exchange hashpartitioning") == plan.count(f", {n})")
+
+
+def test_islands_look_at_distinct_starts(spark, monkeypatch):
+    seen = []
+    headed = intervals._headed
+    monkeypatch.setattr(intervals, "_headed", lambda starts: (seen.append(starts.count()), headed(starts))[1])
+    rng = random.Random(3)
+    rows = [(rng.randrange(2), a := rng.randrange(60), a + rng.randrange(-1, 4), k) for k in range(900)]
+    spans = spark.createDataFrame(rows, "tid int, start int, end int, ord long")
+    expected, far, head = {}, {}, {}
+    for tid, start, end, ord_ in sorted(rows, key=lambda r: (r[0], r[1], r[3])):
+        if tid not in far or start > far[tid]:
+            head[tid] = start
+        far[tid] = max(far.get(tid, end), end)
+        expected[ord_] = head[tid]
+    assert {r.ord: r.island for r in intervals.islands(spans).collect()} == expected
+    united = {(r.tid, r.start): r.n for r in intervals.union(spans).collect()}
+    counts: dict = {}
+    for tid, _, _, ord_ in rows:
+        counts[tid, expected[ord_]] = counts.get((tid, expected[ord_]), 0) + 1
+    assert united == counts and max(seen) <= 120
+
+
 def test_first_records_are_not_searched(spark, tmp_path, monkeypatch):
     rows, contigs = queries._records(spark, SF)
     bam.write(rows, contigs, str(tmp_path / "out"))

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PATTERN = "([0-9]+)([MIDNSHPX=B])"
 SPANS = "array<struct<start:int,end:int>>"
 
 
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with more columns, each worked out once a row.
+
+    Conditions on a plain column are moved before it, and the column is worked out
+    again in each; they aren't moved before an array that is unpacked.
+    """
+    return rows.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def ops(cigar: Column) -> Column:
     """array<struct<len int, op string>>, null for a null string."""
     part = lambda i: F.regexp_extract_all(cigar, F.lit(PATTERN), F.lit(i))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from isoframe.functions import cigar, intervals
 from isoframe.functions.ordered import run_heads
 from isoframe.params import Params
+from isoframe.plans.cut import kept
 
 
 def measured(alignments: DataFrame) -> DataFrame:
@@ -15,12 +16,13 @@ def measured(alignments: DataFrame) -> DataFrame:
 
     Rows without an edit distance are left out: they can't be judged.
     """
-    rows = alignments.where((F.col("flag").bitwiseAND(4) == 0) & F.col("nm").isNotNull()).withColumn("ops", cigar.ops(F.col("cigar")))
-    rows = rows.where(F.size("ops") > 0).withColumn("covered", F.col("l_qseq") - cigar.end_clips(F.col("ops")))
-    rows = rows.withColumn("n_introns", cigar.count(F.col("ops"), "N")).withColumn("deleted", cigar.length(F.col("ops"), "D"))
-    score = (F.col("covered") - F.col("nm") + F.col("deleted")).alias("score")
-    span = cigar.length(F.col("ops"), "MDN=X").alias("ref_len")
-    return rows.select("*", score, span).drop("ops")
+    rows = alignments.where((F.col("flag").bitwiseAND(4) == 0) & F.col("nm").isNotNull())
+    rows = cigar.once(rows, ops=cigar.ops(F.col("cigar"))).where(F.size("ops") > 0)
+    rows = cigar.once(
+        rows, covered=F.col("l_qseq") - cigar.end_clips(F.col("ops")), n_introns=cigar.count(F.col("ops"), "N"),
+        deleted=cigar.length(F.col("ops"), "D"), ref_len=cigar.length(F.col("ops"), "MDN=X"),
+    )
+    return rows.withColumn("score", F.col("covered") - F.col("nm") + F.col("deleted")).drop("ops")
 
 
 def covered_enough(rows: DataFrame, params: Params = Params()) -> DataFrame:
@@ -44,7 +46,8 @@ def outside(rows: DataFrame, removal: DataFrame) -> DataFrame:
 
     With the tool's coordinates a record at ``pos`` covers pos..pos+ref_len-1.
     """
-    spans = rows.select("*", F.col("pos").alias("start"), (F.col("pos") + F.col("ref_len") - 1).alias("end"))
+    # Read twice: for the spans that are joined, and for what they leave.
+    spans = kept(rows, "judged").select("*", F.col("pos").alias("start"), (F.col("pos") + F.col("ref_len") - 1).alias("end"))
     # The overlap join asks for more than a shared end, so ends are widened.
     other = removal.select("tid", (F.col("start") - 1).alias("start"), (F.col("end") + 1).alias("end"))
     return intervals.overlap_join(spans, other, ["tid"], "left_anti", ["qname", "ord"]).drop("start", "end")

@@ -16,6 +16,12 @@ def _plan(rows, kind: str = "optimizedPlan") -> str:
     return getattr(rows._jdf.queryExecution(), kind)().toString()
 
 
+def test_cigar_strings_are_parsed_once(spark):
+    # Two searches of a string are one parse.
+    for name in ("cigar_exons", "best_alignment"):
+        assert _plan(queries.QUERIES[name](spark, SF)).count("regexp_extract_all") == 2, name
+
+
 def test_tables_are_dealt_by_their_size(spark, monkeypatch):
     monkeypatch.setattr(fixtures, "ROWS", 100)
     n = fixtures.parts(spark, SF)

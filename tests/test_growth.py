@@ -63,3 +63,8 @@ def test_first_records_are_not_searched(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(bam, "_guessed", None)
     first, _, n = bam.scan(path, known, 0, 1 << 25, None)
     assert first == known[1] and n > 0
+
+
+def test_runs_read_their_rows_once(spark):
+    plan = _plan(queries.QUERIES["best_of_runs"](spark, SF))
+    assert "regexp_extract_all" not in plan

@@ -23,10 +23,11 @@ def write(records: DataFrame, path: str, files: int | None = None) -> None:
     Unmapped records, which have no place, are written beside them.
     """
     mapped = (F.col("flag").bitwiseAND(4) == 0) & (F.col("tid") >= 0)
-    placed = records.where(mapped).withColumn("end", F.col("pos") + F.greatest(cigar.reference_length(cigar.ops(F.col("cigar"))), F.lit(1)) - 1)
     order = ["tid", "pos", "ord"]
-    dealt = placed.repartitionByRange(*([files] if files else []), *order)
-    dealt.sortWithinPartitions(*order).write.parquet(f"{path}/records")
+    dealt = records.where(mapped).repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(*order)
+    # After the shuffle, whose keys are sampled in a run of their own.
+    placed = dealt.withColumn("end", F.col("pos") + F.greatest(cigar.reference_length(cigar.ops(F.col("cigar"))), F.lit(1)) - 1)
+    placed.write.parquet(f"{path}/records")
     records.where(~F.coalesce(mapped, F.lit(False))).write.parquet(f"{path}/unplaced")
     spark = records.sparkSession
     rows = spark.read.parquet(f"{path}/records").select("tid", "pos", "end", F.input_file_name().alias("file"))

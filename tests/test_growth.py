@@ -65,6 +65,15 @@ def test_first_records_are_not_searched(spark, tmp_path, monkeypatch):
     assert first == known[1] and n > 0
 
 
+def test_placed_files_grow_with_the_tables(spark, monkeypatch):
+    asked = []
+    write = placed.write
+    monkeypatch.setattr(queries, "parts", lambda *_: 20)
+    monkeypatch.setattr(placed, "write", lambda rows, path, files: (asked.append(files), write(rows, path, files)))
+    queries.QUERIES["region_read"](spark, SF)
+    assert asked == [20]
+
+
 def test_runs_read_their_rows_once(spark):
     plan = _plan(queries.QUERIES["best_of_runs"](spark, SF))
     assert "regexp_extract_all" not in plan

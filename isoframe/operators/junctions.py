@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from isoframe.functions import cigar
 from isoframe.params import Params
+from isoframe.plans.cut import kept
 from isoframe.sources.tables import CHUNK
 
 #: The splice motifs, numbered from 1; odd ones lie on the
 #: forward strand, 1, and even ones on the reverse strand, 2.
 MOTIFS = ["GTAG", "CTAC", "GCAG", "CTGC", "ATAC", "GTAT"]
 
-#: Parts over which the reads of an intron are dealt.
-PARTS = 16
+#: Reads of an intron from which they are dealt over parts.
+CROWD = 50_000
 
 
 def number(bases: Column) -> Column:
@@ -53,19 +54,23 @@ def extracted(alignments: DataFrame, params: Params = Params(), genome: DataFram
     ``genome`` (see ``motifs``; joined by name) gives motifs and strands; it
     and ``alignments`` then need a column chrom.
     """
-    kept = alignments.where(F.col("flag").bitwiseAND(4) == 0)
+    mapped = alignments.where(F.col("flag").bitwiseAND(4) == 0)
     if paired:
-        kept = kept.where(F.col("flag").bitwiseAND(2) != 0)
+        mapped = mapped.where(F.col("flag").bitwiseAND(2) != 0)
     spans = cigar.introns(cigar.ops(F.col("cigar")), F.col("pos") + 1, params.min_intron)
     names = ["tid"] if genome is None else ["tid", "chrom"]
-    rows = kept.select("ord", *names, F.coalesce(F.col("nh") == 1, F.lit(False)).alias("is_uniq"), F.posexplode(spans).alias("place", "span"))
+    rows = mapped.select("ord", *names, F.coalesce(F.col("nh") == 1, F.lit(False)).alias("is_uniq"), F.posexplode(spans).alias("place", "span"))
     rows = rows.select("ord", *names, "is_uniq", "place", F.col("span.start").alias("don"), F.col("span.end").alias("acc"))
     if genome is None:
         return rows.withColumn("motif", F.lit(0)).withColumn("strand", F.lit(0))
-    # Introns that many reads have are dealt over parts.
-    parts = motifs(rows, genome).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("ord", "place"), F.lit(PARTS)).cast("int"))
-    found = dealt.join(parts, ["chrom", "don", "acc", "part"], "left").drop("part").withColumn("motif", F.coalesce("motif", F.lit(0)))
+    keys = ["chrom", "don", "acc"]
+    counts = kept(rows.groupBy(*keys).agg(F.count("*").alias("n")), "introns")
+    # Introns that many reads have are dealt over parts; no more rows than reads by CROWD.
+    common = F.broadcast(counts.where(F.col("n") > CROWD).select(*keys, F.ceil(F.col("n") / CROWD).cast("int").alias("parts")))
+    n = F.coalesce("parts", F.lit(1))
+    parts = motifs(counts, genome).join(common, keys, "left").withColumn("part", F.explode(F.sequence(F.lit(0), n - 1))).drop("parts")
+    dealt = rows.join(common, keys, "left").withColumn("part", F.pmod(F.xxhash64("ord", "place"), n).cast("int")).drop("parts")
+    found = dealt.join(parts, [*keys, "part"], "left").drop("part").withColumn("motif", F.coalesce("motif", F.lit(0)))
     return found.withColumn("strand", F.when(F.col("motif") == 0, 0).otherwise(2 - F.col("motif") % 2))
 
 

@@ -6,6 +6,7 @@ import random
 
 
 from isoframe.functions import intervals
+from isoframe.operators import junctions
 from isoframe.plans import fixtures, queries
 from isoframe.sources import bam, placed
 
@@ -77,3 +78,12 @@ def test_placed_files_grow_with_the_tables(spark, monkeypatch):
 def test_runs_read_their_rows_once(spark):
     plan = _plan(queries.QUERIES["best_of_runs"](spark, SF))
     assert "regexp_extract_all" not in plan
+
+
+def test_only_common_introns_are_dealt(spark, monkeypatch):
+    rows = spark.range(300).selectExpr("id AS ord", "0 AS flag", "0 AS tid", "'c' AS chrom", "IF(id < 200, 5, CAST(id AS INT)) AS pos", "'5M30N5M' AS cigar", "1 AS nh")
+    genome = spark.createDataFrame([("c", "GTAGC" * 100)], "chrom string, sequence string")
+    whole = junctions.extracted(rows, genome=genome, paired=False).orderBy("ord").collect()
+    monkeypatch.setattr(junctions, "CROWD", 50)
+    assert junctions.extracted(rows, genome=genome, paired=False).orderBy("ord").collect() == whole
+    assert len(whole) == 300 and "sequence(0, 15" not in _plan(junctions.extracted(rows, genome=genome, paired=False), "analyzed")

@@ -6,9 +6,15 @@ import os
 from array import array
 from functools import lru_cache
 
-#: Words and pre-tokens remembered by each Python worker, each: the first it
-#: meets, which are likely the common ones.
+#: Words, and pre-tokens of other words, remembered by each Python worker: the first
+#: it meets, which are likely the common ones.
 REMEMBER = 250_000
+#: Words with marks after them are remembered while fewer words than this are;
+#: later ones are put together from both.
+REMEMBER_MARKED = 100_000
+#: Characters that make one pre-token where they follow a letter: the
+#: punctuation of ASCII but for the apostrophe, with which suffixes begin.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Longest one remembered, in characters.
 LONGEST = 64
 #: All versions of Unicode in use class the characters before this one alike.
@@ -42,7 +48,7 @@ class _Remembered(dict):
 
     def __missing__(self, key: str) -> bytes:
         value = self.find(key)
-        if len(self) < REMEMBER and len(key) <= LONGEST:
+        if len(self) < (REMEMBER_MARKED if key[-1:] in MARKS else REMEMBER) and len(key) <= LONGEST:
             self[key] = value
         return value
 
@@ -51,14 +57,19 @@ class _Crossing(Exception):
     """White space meets at a space, so that pre-tokens may cross it."""
 
 
+def _letters(word: str) -> bool:
+    """Whether all of a word is letters, whichever version of Unicode is asked."""
+    return word.isalpha() and (word.isascii() or max(word) < AGREED)
+
+
 class Encoder:
     """Ids of texts, put together from those of words that recur.
 
     The vocabulary's pattern cuts a text into pre-tokens, each encoded for
     itself by the BPE model of the ``tokenizers`` library.  A space after and
     before other characters begins a pre-token, so texts are split at spaces and line
-    ends, and the words' ids are remembered; where white space meets, the
-    pattern goes over the whole text.  A text with a special token's string
+    ends, and the words' ids are remembered; the pattern isn't asked about letters
+    with MARKS after them.  Where white space meets, it goes over the whole text.  A text with a special token's string
     goes to the library as it is.
     """
 
@@ -72,6 +83,8 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.find = regex.compile(public_tokenizers.PATTERN)
         self._model = self.tokenizer.model
+        # Words are remembered here; looking for them in the model's own cache costs a fifth of its time.
+        self._model._resize_cache(0)
         self._names = _byte_names()
         self._as: dict[str, str] = {}
         self.pretokens = _Remembered(self.of_pretoken)
@@ -84,7 +97,11 @@ class Encoder:
 
     def of_pretoken(self, pretoken: str) -> bytes:
         """Ids of one pre-token, in which no special token is seen."""
-        spelled = pretoken.encode().decode("latin-1").translate(self._names)
+        # ASCII letters are written as they are.
+        spelled = pretoken if pretoken.isascii() and pretoken.isalpha() else pretoken.encode().decode("latin-1").translate(self._names)
+        return self._of_spelled(spelled)
+
+    def _of_spelled(self, spelled: str) -> bytes:
         return array("I", [t.id for t in self._model.tokenize(spelled)]).tobytes()
 
     def view(self, text: str) -> str:
@@ -120,11 +137,20 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of what stands between two spaces, with the one before it."""
+        if _letters(word):
+            return self._of_spelled(self._names[0x20] + word) if word.isascii() else self.of_pretoken(" " + word)
         if not word or word[-1].isspace() or (word[0].isspace() and (word[0] != "\n" or word[1].isspace())):
             raise _Crossing
-        if word.isalpha() and (word.isascii() or max(word) < AGREED):
-            return self.pretokens[" " + word]
-        return self._joined(word if word[0] == "\n" else " " + word)
+        if word[0] != "\n":
+            return self._marked(word, self._words) or self._joined(" " + word)
+        return self.pretokens["\n"] + (self._marked(word[1:], self.pretokens) or self._joined(word[1:]))
+
+    def _marked(self, word: str, ids: _Remembered) -> bytes:
+        """Ids of letters, as ``ids`` has them, with or without marks after them; none of another word."""
+        stem = word.rstrip(MARKS)
+        if not _letters(stem):
+            return b""
+        return ids[stem] + self.pretokens[word[len(stem) :]] if len(stem) < len(word) else ids[stem]
 
     def ids(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from isoframe.llm import packing, token_counts, token_output
+from isoframe.llm import packing, token_counts, token_output, tokens
 from isoframe.llm.scratch import new_path
 from isoframe.llm.tokens import encoder, vocabulary
 
@@ -42,6 +42,27 @@ def test_ids_of_odd_texts(text):
     assert np.frombuffer(encoder(vocabulary()).ids(text), "<u4").tolist() == ids(text)
 
 
+def test_marked_words_need_neither_the_pattern_nor_another_copy(monkeypatch):
+    """A word is remembered once, however it is written, and later marked ones not at all."""
+    monkeypatch.setattr(tokens, "REMEMBER_MARKED", 0)
+    encode = tokens.Encoder(vocabulary())
+    asked = []
+    monkeypatch.setattr(encode, "split", lambda text: asked.append(text) or [])
+    text = " stone, stone stone!! Größe; Größe...\nStone, <stone> a_b\nstone"
+    got = np.frombuffer(encode.ids(text), "<u4").tolist()
+    assert asked == [" <stone>", " a_b", ""]
+    monkeypatch.undo()
+    assert np.frombuffer(tokens.Encoder(vocabulary()).ids(text), "<u4").tolist() == ids(text)
+    assert sorted(encode._words) == sorted({"stone", "Größe", "a_b", "\nstone"}) and len(got) < len(ids(text))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["", "\n", "'", "("]), st.sampled_from(["word", "Größe", "Ā", "ɐb", "it's", "é", "1", "a1", ""]), st.text(alphabet=st.sampled_from(list("!?.,_~'|<>$^`£´")), max_size=3)), max_size=8))
+def test_ids_of_marked_words(words):
+    text = " ".join(map("".join, words))
+    assert np.frombuffer(encoder(vocabulary()).ids(text), "<u4").tolist() == ids(text)
+
+
 def test_pretokens_are_the_librarys():
     """The pattern used for counting splits as the vocabulary's own rule does."""
     split = token_counts.counter(vocabulary()).split

@@ -3,11 +3,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 import __spark_entry__
 import corpus_pipeline
 from isoframe.llm import quality
-from isoframe.llm.scratch import written
+from isoframe.llm.scratch import BATCH, BATCH_ROWS, written
 from isoframe.llm.tokens import encoder, vocabulary
 
 from .test_decontaminate import distance
@@ -78,3 +79,19 @@ def test_every_operator_has_a_query():
     for n in range(1, 11):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+def test_texts_go_to_python_in_short_batches(spark, monkeypatch):
+    """Whole texts of a stage aren't held by the ten thousand."""
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    rows = spark.range(5000).coalesce(1)
+    before = spark.conf.get(BATCH)
+    try:
+        assert {r.n for r in written(rows.mapInArrow(sizes, "n long"), "sizes").collect()} == {BATCH_ROWS}
+        assert spark.conf.get(BATCH) == before
+        monkeypatch.setattr(quality, "train", lambda docs, labels: None)
+        monkeypatch.setattr(quality, "keep", lambda docs, model: docs)
+        corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+        assert int(spark.conf.get(BATCH)) <= BATCH_ROWS
+    finally:
+        spark.conf.set(BATCH, before)

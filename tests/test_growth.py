@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
-
+import uuid
+from pathlib import Path
 
 from isoframe.functions import intervals
 from isoframe.operators import junctions
-from isoframe.plans import fixtures, queries
+from isoframe.plans import cut, fixtures, queries
 from isoframe.sources import bam, placed
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +88,31 @@ def test_only_common_introns_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(junctions, "CROWD", 50)
     assert junctions.extracted(rows, genome=genome, paired=False).orderBy("ord").collect() == whole
     assert len(whole) == 300 and "sequence(0, 15" not in _plan(junctions.extracted(rows, genome=genome, paired=False), "analyzed")
+
+
+def _jobs(spark, make) -> int:
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "")
+    make()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_classes_take_few_jobs(spark):
+    # Each of them leaves its share in the driver's memory; there were 79.
+    assert _jobs(spark, lambda: queries.QUERIES["classify_compat"](spark, SF).count()) <= 60
+
+
+def test_joins_of_few_spans_count_them_once(spark):
+    spans = spark.range(50).selectExpr("1 AS tid", "CAST(id AS INT) AS start", "CAST(id + 5 AS INT) AS end")
+    made = []
+    assert _jobs(spark, lambda: made.append(intervals.overlap_join(spans, spans, ["tid"]))) <= 2
+    # No table of crowded bins is looked at, as there are none.
+    assert _plan(made[0], "analyzed").count("Join") == 1
+
+
+def test_only_classes_stay_of_what_they_are_made_from(spark):
+    folder = Path(cut.shared_dir(spark).removeprefix("file://"))
+    before = set(folder.glob("*"))
+    assert queries.QUERIES["classify_compat"](spark, SF).count() > 0
+    assert [p.name.rpartition("-")[0] for p in set(folder.glob("*")) - before] == ["classified"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoframe.functions.ordered import run_heads
+from isoframe.plans.cut import discard, kept_tidily, settled, tidy
 from isoframe.sources.gtf import numbered
 
 RECORD = "file string, ord long, qname string, flag int, chrom string, tid int, pos int, mapq int, cigar string, l_qseq int, nm int, as_score int, nh int, xs string"
@@ -33,26 +34,36 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         "file", "ord", f(0).alias("qname"), f(1).try_cast("int").alias("flag"), f(2).alias("chrom"), (f(3).try_cast("int") - 1).alias("pos"), f(4).try_cast("int").alias("mapq"), f(5).alias("cigar"),
         F.when(f(9) == "*", 0).otherwise(F.length(f(9))).alias("l_qseq"), tag("NM", "i").cast("int").alias("nm"), tag("AS", "i").cast("int").alias("as_score"), tag("NH", "i").cast("int").alias("nh"), tag("XS", "A").alias("xs"),
     )
-    named = header(spark, path).select(F.col("name").alias("chrom"), "tid")
+    # A row for each contig: records needn't be shuffled to meet theirs.
+    named = F.broadcast(header(spark, path).select(F.col("name").alias("chrom"), "tid"))
     return rows.join(named, "chrom", "left").select(*(c.split()[0] for c in RECORD.split(", ")))
 
 
-def write(records: DataFrame, contigs: DataFrame, path: str, by_place: bool = False) -> None:
+def write(records: DataFrame, contigs: DataFrame, path: str, by_place: bool = False, compression: str = "none") -> None:
     """Write records as SAM text without bases, after their header.
 
     In order of ord, or ``by_place``: by contig and place, unmapped ones last.
     Records of a read that follow one another by ord stay in one file, as reads
-    of different files are different reads.
+    of different files are different reads.  A read's length is that of a row of N, so
+    text takes far more room than the records; ``compression`` is one of Spark's for
+    text, and a compressed file of the folder is read by one task.
     """
     head = contigs.select(F.lit(0).alias("part"), F.col("tid").cast("long").alias("ord"), F.concat(F.lit("@SQ\tSN:"), "name", F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
     tags = [F.concat(F.lit(f"{name}:{kind}:"), F.col(c).cast("string")) for name, kind, c in (("NM", "i", "nm"), ("AS", "i", "as_score"), ("NH", "i", "nh"), ("XS", "A", "xs"))]
-    fixed = ["qname", F.col("flag").cast("string"), "chrom", (F.col("pos") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.when(F.col("l_qseq") > 0, F.repeat(F.lit("N"), F.col("l_qseq"))).otherwise("*"), F.lit("*")]
+    fixed = ["qname", F.col("flag").cast("string"), "chrom", (F.col("pos") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0")]
     if by_place:
         keys = [F.when(F.col("tid") >= 0, F.col("tid")).otherwise(1 << 30).cast("long"), F.col("pos").cast("long"), F.col("ord")]
     else:
-        records = run_heads(records.drop("file"), F.col("qname"), "first")
+        # Step by step, so that the shuffles of one are gone before the next.
+        steps = settled(lambda: run_heads(kept_tidily(records.drop("file"), "records"), F.col("qname"), "first"), "records-in-runs")
         keys = [F.lit(0), F.lit(0), F.col("first")]
-    body = records.select(F.lit(1).alias("part"), *(k.cast("long").alias(c) for k, c in zip(keys, ("contig", "at", "first"), strict=True)), "ord", F.concat_ws("\t", *fixed, *tags).alias("value"))
+    body = (records if by_place else steps).select(F.lit(1).alias("part"), *(k.cast("long").alias(c) for k, c in zip(keys, ("contig", "at", "first"), strict=True)), "ord", F.concat_ws("\t", *fixed).alias("value"), F.coalesce("l_qseq", F.lit(0)).alias("n"), F.concat_ws("\t", F.lit("*"), *tags).alias("rest"))
     head = head.select("part", *(F.lit(0).cast("long").alias(c) for c in ("contig", "at", "first")), "ord", "value")
     order = ["part", "contig", "at", "first"]
-    head.unionByName(body).repartitionByRange(*order).sortWithinPartitions(*order, "ord").select("value").write.text(path)
+    lines = head.unionByName(body, allowMissingColumns=True).repartitionByRange(*order).sortWithinPartitions(*order, "ord")
+    # The rows of N aren't shuffled; the header has neither them nor the rest.
+    bases = F.when(F.col("n") > 0, F.repeat(F.lit("N"), F.col("n"))).when(F.col("n").isNotNull(), "*")
+    with tidy(records.sparkSession):
+        lines.select(F.concat_ws("\t", "value", bases, "rest").alias("value")).write.text(path, compression=compression)
+    if not by_place:
+        discard(steps)

@@ -116,3 +116,11 @@ def test_only_classes_stay_of_what_they_are_made_from(spark):
     before = set(folder.glob("*"))
     assert queries.QUERIES["classify_compat"](spark, SF).count() > 0
     assert [p.name.rpartition("-")[0] for p in set(folder.glob("*")) - before] == ["classified"]
+
+
+def test_only_compressed_text_stays_of_written_sam(spark):
+    folder = Path(cut.shared_dir(spark).removeprefix("file://"))
+    before = set(folder.glob("*"))
+    queries.QUERIES["sam_filtered"](spark, SF)
+    (left,) = set(folder.glob("*")) - before
+    assert left.name.startswith("sam-") and {p.suffix for p in left.glob("part-*")} == {".gz"}
